@@ -1,0 +1,16 @@
+"""Newest-row-per-key picks as aggregations with map-side partials, so no key's rows meet in one task."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+
+def newest_per_key(df: DataFrame, keys: dict[str, Column], order: list[Column], value: Column, name: str) -> DataFrame:
+    """Per key, ``value`` of the row that is largest by ``order`` and then by ``value``. Rows with a NULL key drop.
+
+    A NULL in ``order`` sorts lowest; pass ``c.isNull()`` before ``c`` to put it first.
+    """
+    picked = df.select(*[e.alias(k) for k, e in keys.items()], F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)], value.alias("v")).alias("_best"))
+    picked = picked.dropna(subset=list(keys))
+    return picked.groupBy(*keys).agg(F.max("_best").alias("_best")).select(*keys, F.col("_best.v").alias(name))
