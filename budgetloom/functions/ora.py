@@ -48,9 +48,9 @@ def delete(s: Column, text: str) -> Column:
     return F.replace(s, F.lit(text), F.lit(""))
 
 
-def unquote(s: Column) -> Column:
-    """Drop single quotes and outer spaces; nothing left is NULL."""
-    return nz(F.trim(delete(s, "'")))
+def bare(s: Column) -> Column:
+    """Text without single quotes and outer spaces."""
+    return F.trim(delete(s, "'"))
 
 
 def is_number(s: Column) -> Column:

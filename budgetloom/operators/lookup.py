@@ -21,15 +21,13 @@ def attach(df: DataFrame, build: DataFrame, on: dict[str, Column], how: str = "l
     join sits on a shuffle on both sides.
     """
     names = list(on)
-    kinds = {k: build.schema[k].dataType for k in names}
-    probe = df.withColumns({f"_p{i}": on[k].cast(kinds[k]) for i, k in enumerate(names)})
-    probe = probe.withColumn("_ph", F.xxhash64(*[f"_p{i}" for i in range(len(names))]))
+    keys = {f"_p{i}": on[k].cast(build.schema[k].dataType) for i, k in enumerate(names)}
+    probe = df.withColumns({**keys, "_ph": F.xxhash64(*keys.values())})
     rest = [c for c in build.columns if c not in on]
-    side = build.select(*[F.col(k).alias(f"_b{i}") for i, k in enumerate(names)], *rest)
-    side = side.withColumn("_bh", F.xxhash64(*[f"_b{i}" for i in range(len(names))]))
+    side = build.select(*[F.col(k).alias(f"_b{i}") for i, k in enumerate(names)], F.xxhash64(*names).alias("_bh"), *rest)
     equal = reduce(and_, [F.col(f"_p{i}") == F.col(f"_b{i}") for i in range(len(names))], F.col("_ph") == F.col("_bh"))
-    helpers = [f"_{side_}{i}" for side_ in "pb" for i in range(len(names))] + ["_ph", "_bh"]
-    return probe.join(side, equal, how).drop(*helpers)
+    helpers = [f"_{s}{i}" for s in "pb" for i in range(len(names))]
+    return probe.join(side, equal, how).drop("_ph", "_bh", *helpers)
 
 
 def one_per_key(dim: DataFrame, keys: list[str], take: dict[str, Column]) -> DataFrame:

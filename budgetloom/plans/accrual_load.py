@@ -7,9 +7,10 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.ora import nz
 from ..sources.schemas import SCHEMAS
 from ..sources.warehouse import Warehouse, surrogate_key
-from .accrual_rules import error_rows, rule_counts, verdict
+from .accrual_rules import TEXT_FIELDS, error_rows, rule_counts, verdict
 
 RECORDS, ERRORS, LOG = "er_selfservice_accrual_records", "er_accrual_stg_error", "er_accural_log"
 
@@ -19,8 +20,8 @@ class EmptySubmission(ValueError):
 
 
 def pending(records: DataFrame, run_ts: datetime) -> DataFrame:
-    """Submitted records with the fields every load sets."""
-    return records.withColumns({"created_dt": F.lit(run_ts), "status": F.lit("Pending")})
+    """Submitted records with the fields every load sets; '' in a text field is stored as NULL."""
+    return records.withColumns({c: nz(F.col(c)) for c in TEXT_FIELDS}).withColumns({"created_dt": F.lit(run_ts), "status": F.lit("Pending")})
 
 
 def insert_accruals(wh: Warehouse, records: DataFrame, run_ts: datetime) -> None:

@@ -10,11 +10,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ora import cat, delete, nz, substr, unquote
+from ..functions.ora import bare, cat, delete, mid, nz
 from ..operators.lookup import attach
 
 # Account reference type of each application (fixed values).
@@ -58,22 +59,23 @@ def _has_rows(df: DataFrame) -> Column:
 def mark_profit_center(df: DataFrame, t: Tables) -> DataFrame:
     """``ok_center``: the R12 code is a responsibility center, or the five parts are a known short code."""
     r12 = F.col("r12_code")
-    is_r12 = F.trim(r12) != ""
-    parts = cat(*[F.rtrim(delete(F.col(p), "'")) for p in PROFIT_CENTER_PARTS])
+    parts = F.concat_ws("", *[F.rtrim(delete(F.col(p), "'")) for p in PROFIT_CENTER_PARTS])
     r12_keys = t["profit_center_dim"].select(F.lit("r12").alias("c_kind"), F.col("hyperion_responsibility_center").alias("c_key"))
+    # a center with outer spaces never equals its own trimmed text, and without any short code no center is looked at
+    r12_keys = r12_keys.filter((F.col("c_key") == F.trim("c_key")) & _has_rows(t["er_gl_profit_center"]))
     short_keys = t["er_gl_profit_center"].select(F.lit("short").alias("c_kind"), F.col("short_code").alias("c_key")).distinct()
-    known = r12_keys.unionByName(short_keys).dropna(subset=["c_key"]).groupBy("c_kind", "c_key").agg(F.count(F.lit(1)).alias("c_n"))
-    kind = F.when(is_r12, F.lit("r12")).otherwise(F.lit("short"))
+    known = r12_keys.unionByName(short_keys).filter(F.col("c_key") != "").groupBy("c_kind", "c_key").agg(F.count(F.lit(1)).alias("c_n"))
+    kind = F.when(F.trim(r12) != "", F.lit("r12")).otherwise(F.lit("short"))
     out = attach(df, known, {"c_kind": kind, "c_key": F.coalesce(r12, parts)})
     n = F.col("c_n")
     several = F.raise_error(F.concat(F.lit("more than one profit center for R12 code "), r12)).cast("boolean")
-    by_r12 = F.when(n > 1, several).otherwise(n.isNotNull() & (r12 == F.trim(r12)) & _has_rows(t["er_gl_profit_center"]))
-    return out.withColumn("ok_center", F.when(is_r12, by_r12).otherwise(n.isNotNull())).drop("c_n")
+    return out.withColumn("ok_center", F.when(n > 1, several).otherwise(n.isNotNull())).drop("c_n")
 
 
 def _marked(df: DataFrame, known: DataFrame, on: dict[str, Column], name: str) -> DataFrame:
-    """Boolean ``name``: whether the key is among the known codes."""
-    codes = known.dropna().distinct().withColumn("_hit", F.lit(True))
+    """Boolean ``name``: whether the key is among the known codes. '' is no code, so keys need no NULL for it."""
+    present = reduce(and_, [F.col(c) != "" for c in known.columns])
+    codes = known.filter(present).distinct().withColumn("_hit", F.lit(True))
     return attach(df, codes, on).withColumn(name, F.coalesce("_hit", F.lit(False))).drop("_hit")
 
 
@@ -81,7 +83,7 @@ def mark_account(df: DataFrame, t: Tables) -> DataFrame:
     known = t["er_tp_references"].select(F.col("gc_reference_type").alias("a_type"), F.col("tp_reference").alias("a_ref"))
     known = known.filter(F.col("a_type").isin(*ACCOUNT_TYPES.values()))
     kind = F.coalesce(*[F.when(F.col("accr_app_id") == app, F.lit(ref)) for app, ref in ACCOUNT_TYPES.items()])
-    return _marked(df, known, {"a_type": kind, "a_ref": unquote(F.col("accr_acct_code"))}, "ok_account")
+    return _marked(df, known, {"a_type": kind, "a_ref": bare(F.col("accr_acct_code"))}, "ok_account")
 
 
 def mark_revenue_type(df: DataFrame, t: Tables) -> DataFrame:
@@ -105,24 +107,26 @@ def mark_currency(df: DataFrame, t: Tables) -> DataFrame:
 
 def bare_contract_ref(ref: Column) -> Column:
     """Reference without its country tail: a final MEX goes with the character before it, CHL only loses that character."""
-    tail = substr(ref, -3)
-    head = substr(ref, 1, F.instr(ref, tail) - 2)
-    return unquote(F.when(tail == "MEX", head).when(tail == "CHL", F.concat_ws("", head, tail)).otherwise(ref))
+
+    def head(tail: str) -> Column:
+        return mid(ref, 1, F.instr(ref, tail) - 2)
+
+    return bare(F.when(ref.endswith("MEX"), head("MEX")).when(ref.endswith("CHL"), F.concat(head("CHL"), F.lit("CHL"))).otherwise(ref))
 
 
 def mark_contract(df: DataFrame, t: Tables) -> DataFrame:
-    known = t["contract_dim"].select(nz(F.trim("gc_our_contract_ref")).alias("r_ref"))
+    known = t["contract_dim"].select(F.trim("gc_our_contract_ref").alias("r_ref"))
     return _marked(df, known, {"r_ref": bare_contract_ref(F.col("contract_ref"))}, "ok_contract")
 
 
 def mark_business_class(df: DataFrame, t: Tables) -> DataFrame:
     known = t["business_classification_dim"].select(F.upper("busness_class_dsc").alias("b_dsc"))
-    return _marked(df, known, {"b_dsc": F.upper(unquote(F.col("business_class_dsc")))}, "ok_business")
+    return _marked(df, known, {"b_dsc": F.upper(bare(F.col("business_class_dsc")))}, "ok_business")
 
 
 def mark_contract_class(df: DataFrame, t: Tables) -> DataFrame:
     known = t["contract_classification_dim"].select(F.upper("contract_sub_type_dsc").alias("k_dsc"))
-    return _marked(df, known, {"k_dsc": F.upper(unquote(F.col("contract_class_dsc")))}, "ok_class")
+    return _marked(df, known, {"k_dsc": F.upper(bare(F.col("contract_class_dsc")))}, "ok_class")
 
 
 # --- the rules -----------------------------------------------------------------------------------
@@ -130,11 +134,15 @@ def mark_contract_class(df: DataFrame, t: Tables) -> DataFrame:
 
 @dataclass(frozen=True)
 class Rule:
-    """``failed`` may be NULL, which counts as passed; ``mark`` adds the marker column the condition reads."""
+    """``failed`` may be NULL, which counts as passed; ``mark`` adds the marker column the condition reads.
+
+    ``message`` is the text before the value, the field with the value (None: the profit-center code), and
+    the text after it.
+    """
 
     id: str
     failed: Callable[[], Column]
-    message: Callable[[], Column]
+    message: tuple[str, str | None, str]
     mark: Callable[[DataFrame, Tables], DataFrame] | None = None
 
 
@@ -142,13 +150,8 @@ def is_actual() -> Column:
     return F.trim(F.upper("accr_actual_restate")) == "ACTUAL"
 
 
-def _text(before: str, field: str, after: str) -> Callable[[], Column]:
-    return lambda: F.concat_ws("", F.lit(before), F.col(field), F.lit(after))
-
-
-def _center_text() -> Column:
-    code = F.coalesce(cat(*[F.rtrim(p) for p in PROFIT_CENTER_PARTS]), F.col("r12_code"))
-    return F.concat_ws("", F.lit("Profit Center or R12 code "), code, F.lit(" does not exist"))
+def _center_code() -> Column:
+    return F.coalesce(cat(*[F.rtrim(p) for p in PROFIT_CENTER_PARTS]), F.col("r12_code"))
 
 
 def _first(field: str) -> Column:
@@ -158,9 +161,9 @@ def _first(field: str) -> Column:
 def _account_rule(id_: str, app: str, before: str = "Client Account Code ") -> Rule:
     def failed() -> Column:
         bad = (F.col("accr_app_id") == app) & ~F.col("ok_account")
-        return bad & (unquote(F.col("accr_acct_code")) != "1") if app == "R" else bad
+        return bad & ~nz(bare(F.col("accr_acct_code"))).isin("1") if app == "R" else bad
 
-    return Rule(id_, failed, _text(before, "accr_acct_code", " does not exists"), mark_account)
+    return Rule(id_, failed, (before, "accr_acct_code", " does not exists"), mark_account)
 
 
 def _bad_amount() -> Column:
@@ -170,12 +173,12 @@ def _bad_amount() -> Column:
 
 def _bad_year() -> Column:
     year = F.col("accr_underwriting_yr")
-    return year.isNull() | _first("accr_underwriting_yr").isin(*LETTERS, *YEAR_MARKS) | (F.length(unquote(year)) != 2)
+    return year.isNull() | _first("accr_underwriting_yr").isin(*LETTERS, *YEAR_MARKS) | (F.length(nz(bare(year))) != 2)
 
 
 def _bad_period() -> Column:
     p = F.col("accr_gl_period_mon_year")
-    return p.isNull() | (F.length(p) != 7) | (substr(p, 3, 1) != "-") | ~substr(p, 1, 2).between("01", "12")
+    return p.isNull() | (F.length(p) != 7) | (mid(p, 3, 1) != "-") | ~mid(p, 1, 2).between("01", "12")
 
 
 def _bad_app() -> Column:
@@ -190,55 +193,63 @@ def _unknown(field: str, marker: str) -> Callable[[], Column]:
 RULES: dict[str, Rule] = {
     r.id: r
     for r in (
-        Rule("V01", lambda: ~F.col("ok_center"), _center_text, mark_profit_center),
+        Rule("V01", lambda: ~F.col("ok_center"), ("Profit Center or R12 code ", None, " does not exist"), mark_profit_center),
         _account_rule("V02", "G", "Client Account Code"),
         _account_rule("V03", "T"),
         _account_rule("V04", "R"),
-        Rule("V05", _bad_amount, _text("Amount ", "accr_amt", " not Numeric")),
+        Rule("V05", _bad_amount, ("Amount ", "accr_amt", " not Numeric")),
         _account_rule("V06", "F"),
         _account_rule("V07", "C"),
         Rule(
             "V08",
             lambda: is_actual() & F.col("bad_actual"),
-            _text("Revenue Type ", "accr_revenue_code", " not valid (BSA, FEE, NCB, ACC, INS)"),
+            ("Revenue Type ", "accr_revenue_code", " not valid (BSA, FEE, NCB, ACC, INS)"),
             mark_revenue_type,
         ),
         Rule(
             "V09",
             lambda: F.trim(F.upper("accr_actual_restate")).isin(*RESTATED) & F.col("bad_restated"),
-            _text("Revenue Type  ", "accr_revenue_code", " not valid (BSA, FEE, ACC, INS)"),
+            ("Revenue Type  ", "accr_revenue_code", " not valid (BSA, FEE, ACC, INS)"),
             mark_revenue_type,
         ),
-        Rule("V10", _bad_year, _text("Underwriting Year ", "accr_underwriting_yr", " is invalid")),
+        Rule("V10", _bad_year, ("Underwriting Year ", "accr_underwriting_yr", " is invalid")),
         Rule(
             "V11",
             lambda: ~F.coalesce(F.trim(F.upper("c14")), F.lit(" ")).isin(*REVENUE_SOURCES),
-            _text("Revenue Source ", "c14", " not valid (N, P, R, O)"),
+            ("Revenue Source ", "c14", " not valid (N, P, R, O)"),
         ),
-        Rule("V12", _bad_app, _text("Application ID ", "accr_app_id", " not valid (C, F, G, R, T)")),
-        Rule("V13", lambda: ~F.col("ok_currency"), _text("Original Currency Code ", "accr_org_ccy_code", " not found"), mark_currency),
-        Rule("V14", _bad_period, _text("Accouting Period ", "accr_gl_period_mon_year", "is in wrong format")),
+        Rule("V12", _bad_app, ("Application ID ", "accr_app_id", " not valid (C, F, G, R, T)")),
+        Rule("V13", lambda: ~F.col("ok_currency"), ("Original Currency Code ", "accr_org_ccy_code", " not found"), mark_currency),
+        Rule("V14", _bad_period, ("Accouting Period ", "accr_gl_period_mon_year", "is in wrong format")),
         Rule(
             "V15",
             lambda: F.col("accr_actual_restate").isNull() | ~F.upper("accr_actual_restate").isin(*RESTATE_VALUES),
-            _text(
-                "Actual/Restate ",
-                "accr_actual_restate",
-                " not valid (Actual, Restate Acquisition, Restate Reclassification, Restate Other)",
-            ),
+            ("Actual/Restate ", "accr_actual_restate", " not valid (Actual, Restate Acquisition, Restate Reclassification, Restate Other)"),
         ),
-        Rule("V16", _unknown("contract_ref", "ok_contract"), _text("Contract Ref ", "contract_ref", " not valid"), mark_contract),
-        Rule("V17", _unknown("business_class_dsc", "ok_business"), _text("Business class dsc ", "business_class_dsc", " not valid"), mark_business_class),
-        Rule("V18", _unknown("contract_class_dsc", "ok_class"), _text("Contract class dsc ", "contract_class_dsc", " not valid"), mark_contract_class),
-        Rule("V19", lambda: F.col("accr_client_name").isNull(), _text("Cedent name ", "accr_client_name", " not valid")),
+        Rule("V16", _unknown("contract_ref", "ok_contract"), ("Contract Ref ", "contract_ref", " not valid"), mark_contract),
+        Rule("V17", _unknown("business_class_dsc", "ok_business"), ("Business class dsc ", "business_class_dsc", " not valid"), mark_business_class),
+        Rule("V18", _unknown("contract_class_dsc", "ok_class"), ("Contract class dsc ", "contract_class_dsc", " not valid"), mark_contract_class),
+        Rule("V19", lambda: F.col("accr_client_name").isNull(), ("Cedent name ", "accr_client_name", " not valid")),
     )
 }
 
 
 def file_records(records: DataFrame, file_id: str | None) -> DataFrame:
-    """Records of one file, or of every file when none is named; '' in a text field is NULL."""
-    rows = records if file_id is None else records.filter(F.col("fk_accr_file_id") == F.lit(file_id))
-    return rows.withColumns({c: nz(F.col(c)) for c in TEXT_FIELDS})
+    """Records of one file, or of every file when none is named."""
+    return records if file_id is None else records.filter(F.col("fk_accr_file_id") == F.lit(file_id))
+
+
+def error_message(rules: list[Rule]) -> Column:
+    """Message of the row's ``rule_id``: one concatenation whose parts are chosen by rule."""
+
+    def chosen(part: Callable[[Rule], Column]) -> Column:
+        return reduce(lambda w, r: w.when(F.col("rule_id") == r.id, part(r)), rules[1:], F.when(F.col("rule_id") == rules[0].id, part(rules[0])))
+
+    def text(position: int) -> Column:
+        return F.element_at(F.create_map(*[F.lit(v) for r in rules for v in (r.id, r.message[position])]), F.col("rule_id"))
+
+    value = chosen(lambda r: F.col(r.message[1]) if r.message[1] else _center_code())
+    return F.concat_ws("", text(0), value, text(2))
 
 
 def error_rows(
@@ -250,11 +261,11 @@ def error_rows(
     for mark in dict.fromkeys(r.mark for r in chosen if r.mark):
         rows = mark(rows, tables)
     ids = F.array(*[F.when(r.failed(), F.lit(r.id)).otherwise(F.lit("")) for r in chosen])
-    failed = rows.withColumn("rule_ids", F.array_remove(ids, "")).withColumn("rule_id", F.explode("rule_ids"))
-    message = reduce(lambda w, r: w.when(F.col("rule_id") == r.id, r.message()), chosen[1:], F.when(F.col("rule_id") == chosen[0].id, chosen[0].message()))
+    # exploding the expression itself keeps Spark from testing it in a filter first
+    failed = rows.withColumn("rule_id", F.explode(F.array_remove(ids, "")))
     return failed.select(
         *RECORD_FIELDS,
-        message.alias("error_message"),
+        error_message(chosen).alias("error_message"),
         run_ts.alias("error_dt"),
         F.lit(load_num).cast("long").alias("er_accrual_load_num"),
         *DESCRIPTORS,

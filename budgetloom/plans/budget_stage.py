@@ -77,7 +77,8 @@ def budget_lines(extract: DataFrame, years: int | Iterable[int]) -> DataFrame:
 def stage1(extract: DataFrame, years: int | Iterable[int]) -> DataFrame:
     """Twelve month sums per (year, contract, entity, account), with the member split into client and contract."""
     keys = ["budget_year", "clvr_contract_mbr", "clvr_entity_mbr", "clvr_account_mbr"]
-    sums = [F.round(F.sum(f"{m}_amt"), 2).cast(MONEY).alias(a) for m, a in zip(MONTHS, AMOUNTS)]
+    # the cast to two decimals rounds half away from zero
+    sums = [F.sum(f"{m}_amt").cast(MONEY).alias(a) for m, a in zip(MONTHS, AMOUNTS)]
     member = F.col("clvr_contract_mbr")
     return (
         budget_lines(extract, years)
@@ -106,46 +107,38 @@ def client_code(source_type: Column, name: Column) -> Column:
     return F.coalesce(F.when(~known_type, unknown), number, F.lit(-2).cast("long"))
 
 
+# Text before the last underscore.
+BEFORE_LAST_UNDERSCORE = r"(?s)^(.*)_"
+# A text whose last two hyphens (or its start and only hyphen) enclose one character.
+ONE_BETWEEN_HYPHENS = r"(?s)^((?:.*-)?)([^-])(-[^-]*)$"
+
+
 def with_contract_decode(df: DataFrame) -> DataFrame:
     """Add ``contract_decode``, the contract reference written inside ``contract_dsc``.
 
     The cases apply only to texts that start with CO_, so the first underscore is at position 3 and the
-    text after it starts at position 4. Positions are columns of their own, so each is computed once.
+    text after it starts at position 4.
     """
     c = F.col("contract_dsc")
-    df = df.withColumns(
-        {
-            "_yy": F.instr(c, "YY"),
-            "_last": instr_last(c, "_"),
-            "_size": F.length(c),
-            "_hyphens": F.length(c) - F.length(delete(c, "-")),
-            "_body": mid(c, 4),
-        }
-    )
-    yy, last, size, body = (F.col(n) for n in ("_yy", "_last", "_size", "_body"))
+    df = df.withColumns({"_yy": F.instr(c, "YY"), "_size": F.length(c)})
+    yy, size, body = F.col("_yy"), F.col("_size"), mid(c, 4)
     long_text = (yy > 0) & (size >= 20)
+    four_hyphens = size - F.length(delete(c, "-")) == 4
 
-    # long texts with other than four hyphens: without YY, up to the last underscore
+    # other long texts: without YY, up to the last underscore, a lone character between hyphens gets a zero in front
     bare = F.when((size >= 22) & c.contains("YY-"), F.replace(body, F.lit("YY-"), F.lit("-"))).otherwise(delete(body, "YY"))
-    df = df.withColumn("_bare", F.when(long_text & (F.col("_hyphens") != 4), bare))
-    df = df.withColumn("_cut", mid(F.col("_bare"), 1, instr_last(F.col("_bare"), "_") - 1))
-    # a single character between the last two hyphens gets a zero in front
-    v = F.col("_cut")
-    df = df.withColumns({"_h1": instr_last(v, "-"), "_h2": instr_last(v, "-", 2)})
-    h1, h2 = F.col("_h1"), F.col("_h2")
-    padded = F.concat_ws("", mid(v, 1, h2), F.lit("0"), mid(v, h1 - 1, F.length(v) - h2))
+    padded = F.regexp_replace(F.regexp_extract(bare, BEFORE_LAST_UNDERSCORE, 1), ONE_BETWEEN_HYPHENS, "$10$2$3")
 
     no_reference = ~c.startswith("CO_") | c.like("%_NA") | c.contains("Orphan")
     decode = (
         F.when(no_reference, F.lit("-1"))
         .when((yy > 9) & (size < 20), mid(c, 4, yy - 4))
-        .when(long_text & (F.col("_hyphens") == 4), F.substring_index(delete(body, "YY"), "-", 4))
-        .when(long_text, F.when(h1 - h2 == 2, padded).otherwise(v))
+        .when(long_text & four_hyphens, F.substring_index(delete(body, "YY"), "-", 4))
+        .when(long_text, padded)
         .when((yy == 0) & (size == 9), delete(c, "CO_"))
-        .otherwise(mid(c, 4, last - 4))
+        .otherwise(mid(c, 4, instr_last(c, "_") - 4))
     )
-    df = df.withColumn("_decode", decode).withColumn("contract_decode", nz(F.col("_decode")))
-    return df.drop("_yy", "_last", "_size", "_hyphens", "_body", "_bare", "_cut", "_h1", "_h2", "_decode")
+    return df.withColumn("_decode", decode).withColumn("contract_decode", nz(F.col("_decode"))).drop("_yy", "_size", "_decode")
 
 
 def profit_center_codes(tables: dict[str, DataFrame]) -> DataFrame:

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ora import instr_last, is_number, mid, nz
-from ..operators.latest import newest_per_key
 from ..operators.lookup import attach
 
 CONTRACT_KEYS = ["budget_year", "contract_dsc", "contract_decode", "profit_center_dsc"]
@@ -228,94 +227,86 @@ def prefix_matches(dim: DataFrame) -> DataFrame:
     return found.select("key", F.lit("-").alias("key2"), F.when(F.col("b.n") > 1, F.lit(-2).cast("long")).otherwise(F.col("b.id")).alias("id"))
 
 
-def twin_matches(dim: DataFrame) -> DataFrame:
-    """(First six, next three characters) -> the row with the newest date; an open date is newest, then the largest id."""
-    ref, eff = F.col("contract_ref"), F.col("contract_eff_dt")
-    keys = {"key": nz(F.substring(ref, 1, 6)), "key2": nz(mid(ref, 7, 3))}
-    return newest_per_key(dim, keys, [eff.isNull(), eff], F.col("contract_dim_id"), "id")
-
-
-def reference_matches(dim: DataFrame, latest_year_only: bool = False) -> DataFrame:
-    """Exact reference among rows with a date -> its id, -2 when several.
-
-    Every dated row counts. ``latest_year_only`` counts only those of the reference's newest year.
-    """
+def latest_reference_matches(dim: DataFrame) -> DataFrame:
+    """Exact reference among the dated rows of its newest year -> its id, -2 when several."""
     rows = dim.select(F.col("contract_ref").alias("key"), F.year("contract_eff_dt").alias("y"), "contract_dim_id").dropna(subset=["key", "y"])
-    keys = ["key", "y"] if latest_year_only else ["key"]
-    found = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.max("contract_dim_id").alias("id"))
-    if latest_year_only:
-        found = found.groupBy("key").agg(F.max(F.struct("y", "n", "id")).alias("b")).select("key", "b.n", "b.id")
-    return found.select("key", F.lit("-").alias("key2"), F.when(F.col("n") > 1, F.lit(-2).cast("long")).otherwise(F.col("id")).alias("id"))
-
-
-def budget_matches(dim: DataFrame) -> DataFrame:
-    """Budget reference -> largest id of the latest effective year."""
-    year = F.year("contract_eff_dt")
-    dated = dim.filter(year.isNotNull())
-    return newest_per_key(dated, {"key": F.col("budget_ref")}, [year], F.col("contract_dim_id"), "id").select("key", F.lit("-").alias("key2"), "id")
-
+    found = rows.groupBy("key", "y").agg(F.count(F.lit(1)).alias("n"), F.max("contract_dim_id").alias("id"))
+    best = found.groupBy("key").agg(F.max(F.struct("y", "n", "id")).alias("b"))
+    return best.select("key", F.lit("-").alias("key2"), F.when(F.col("b.n") > 1, F.lit(-2).cast("long")).otherwise(F.col("b.id")).alias("id"))
 
-def budget_section_matches(dim: DataFrame) -> DataFrame:
-    """(Trimmed budget reference, section) -> largest id of the newest underwriting year."""
-    rows = dim.dropna(subset=["under_writing_year"])
-    keys = {"key": nz(F.trim("budget_ref")), "key2": F.col("section_number")}
-    return newest_per_key(rows, keys, [F.col("under_writing_year")], F.col("contract_dim_id"), "id")
 
+def newest_matches(dim: DataFrame, latest_year_only: bool = False) -> DataFrame:
+    """The matches that take the newest row of a key, all in one scan and one aggregation.
 
-def budget_uwy_matches(dim: DataFrame) -> DataFrame:
-    """Trimmed budget reference -> largest id of the newest underwriting year."""
-    rows = dim.dropna(subset=["under_writing_year"])
-    return newest_per_key(rows, {"key": nz(F.trim("budget_ref"))}, [F.col("under_writing_year")], F.col("contract_dim_id"), "last_id")
-
+    ``twin``: first six and next three characters, newest date, an open date being newest. ``ref``: exact
+    reference with a date, -2 when several rows have it. ``budget``: budget reference, latest effective
+    year. ``budget_section`` and ``budget_uwy``: trimmed budget reference, with or without the section,
+    newest underwriting year. Ties go to the largest id.
+    """
+    ref, eff, budget, uwy = (F.col(c) for c in ("contract_ref", "contract_eff_dt", "budget_ref", "under_writing_year"))
+    year, trimmed, no = F.year(eff), F.trim(budget), F.lit("-")
+
+    def entry(kind: str, keep: Column, key: Column, key2: Column, rank: Column, is_open: Column = F.lit(False)) -> Column:
+        parts = {"kind": F.lit(kind), "key": key, "key2": key2, "is_open": is_open, "rank": rank.cast("long")}
+        return F.when(keep, F.struct(*[v.alias(k) for k, v in parts.items()]))
+
+    entries = [
+        entry("twin", ref.isNotNull(), F.substring(ref, 1, 6), mid(ref, 7, 3), F.unix_seconds(eff.cast("timestamp")), eff.isNull()),
+        entry("budget", year.isNotNull(), budget, no, year),
+        entry("budget_section", uwy.isNotNull(), trimmed, F.col("section_number"), uwy),
+        entry("budget_uwy", uwy.isNotNull(), trimmed, no, uwy),
+    ]
+    if not latest_year_only:
+        entries.append(entry("ref", year.isNotNull(), ref, no, year))
+    rows = dim.select(F.explode(F.array(*entries)).alias("e"), "contract_dim_id").select("e.*", "contract_dim_id")
+    rows = rows.filter((F.col("key") != "") & (F.col("key2") != ""))
+    best = rows.groupBy("kind", "key", "key2").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.struct("is_open", "rank", "contract_dim_id")).alias("b")
+    )
+    several = (F.col("kind") == "ref") & (F.col("n") > 1)
+    return best.select("kind", "key", "key2", F.when(several, F.lit(-2).cast("long")).otherwise(F.col("b.contract_dim_id")).alias("id"))
 
-def contract_matches(dim: DataFrame, latest_year_only: bool = False) -> dict[str, DataFrame]:
-    """Kind of match -> (key, key2, id), at most one row per key."""
-    return {
-        "section": section_matches(dim),
-        "prefix": prefix_matches(dim),
-        "twin": twin_matches(dim),
-        "budget": budget_matches(dim),
-        "ref": reference_matches(dim, latest_year_only),
-        "budget_section": budget_section_matches(dim),
-    }
 
+def contract_matches(dim: DataFrame, latest_year_only: bool = False) -> DataFrame:
+    """(kind, key, key2, id), at most one row per kind and keys: all a contract can be matched on.
 
-def stacked(matches: dict[str, DataFrame], kinds: tuple[str, ...], prefix: str, id_name: str) -> DataFrame:
-    """Several kinds of match as one build side, so that each row takes its own kind in one join."""
-    parts = [
-        matches[k].select(F.lit(k).alias(f"{prefix}kind_"), F.col("key").alias(f"{prefix}key_"), F.col("key2").alias(f"{prefix}key2_"), F.col("id").alias(id_name))
-        for k in kinds
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    ``latest_year_only`` looks for exact references in the newest year alone; by default every dated row counts.
+    """
+    own = {"section": section_matches(dim), "prefix": prefix_matches(dim)}
+    if latest_year_only:
+        own["ref"] = latest_reference_matches(dim)
+    parts = [df.select(F.lit(kind).alias("kind"), "key", "key2", "id") for kind, df in own.items()]
+    return reduce(DataFrame.unionByName, parts, newest_matches(dim, latest_year_only))
 
 
 # --- putting both together -----------------------------------------------------------------------
 
 
-PRIMARY_KINDS = ("section", "prefix", "twin", "budget", "ref")
+def _probe(rows: DataFrame, matches: DataFrame, kind: Column, key: Column, key2: Column, name: str) -> DataFrame:
+    """Add the matched id as ``name``. Every probe joins the same build side, which Spark then shuffles or broadcasts once."""
+    side = matches.withColumnsRenamed({"kind": "m_kind", "key": "m_key", "key2": "m_key2", "id": name})
+    return attach(rows, side, {"m_kind": kind, "m_key": key, "m_key2": key2})
 
 
-def primary_match(keyed: DataFrame, dim: DataFrame, latest_year_only: bool = False, kinds: tuple[str, ...] = PRIMARY_KINDS) -> DataFrame:
+def primary_match(keyed: DataFrame, matches: DataFrame) -> DataFrame:
     """Add ``primary_id``: the application's own match; NULL when there is none, -2 when ambiguous."""
-    build = stacked(contract_matches(dim, latest_year_only), kinds, "", "primary_id")
-    return attach(keyed, build, {"kind_": F.col("kind"), "key_": F.col("key"), "key2_": F.col("key2")})
+    return _probe(keyed, matches, F.col("kind"), F.col("key"), F.col("key2"), "primary_id")
 
 
-def fallback_match(keyed: DataFrame, dim: DataFrame) -> DataFrame:
+def fallback_match(keyed: DataFrame, matches: DataFrame) -> DataFrame:
     """Add ``back_id``: the match on the budget reference, tried when the primary match finds nothing."""
-    build = stacked(contract_matches(dim), ("budget_section", "budget"), "b", "back_id")
-    rows = attach(keyed, build, {"bkind_": F.col("back_kind"), "bkey_": F.col("back_key"), "bkey2_": F.col("back_key2")})
-    rows = attach(rows, budget_uwy_matches(dim).withColumnRenamed("key", "last_key_"), {"last_key_": F.col("last_key")})
-    back, last = F.col("back_id"), F.col("last_id")
+    rows = _probe(keyed, matches, F.col("back_kind"), F.col("back_key"), F.col("back_key2"), "back_id")
+    rows = _probe(rows, matches, F.lit("budget_uwy"), F.col("last_key"), F.lit("-"), "last_id")
+    back = F.col("back_id")
     retry = (F.col("back_kind") == "budget_section") & (back.isNull() | (back == -1))
-    return rows.withColumn("back_id", F.when(retry, last).otherwise(back)).drop("last_id")
+    return rows.withColumn("back_id", F.when(retry, F.col("last_id")).otherwise(back)).drop("last_id")
 
 
 def resolve_contracts(contracts: DataFrame, tables: dict[str, DataFrame], latest_year_only: bool = False) -> DataFrame:
     """Contract keys of distinct contracts: (year, contract, profit center, app_id, contract_dim_id)."""
-    dim = tables["contract_dim"]
+    matches = contract_matches(tables["contract_dim"], latest_year_only)
     keyed = with_search_keys(with_application(contracts, tables))
-    rows = fallback_match(primary_match(keyed, dim, latest_year_only), dim)
+    rows = fallback_match(primary_match(keyed, matches), matches)
     own = F.col("primary_id")
     found = F.when(own.isNull() | (own == -1), F.coalesce(F.col("back_id"), F.lit(-1))).otherwise(own)
     return rows.select(*CONTRACT_KEYS, "app_id", found.cast("long").alias("contract_dim_id"))

@@ -19,37 +19,39 @@ def _pad(n: int, key: str = "c_custkey") -> str:
     return f"lpad(cast({key} as varchar(20)), {n}, '0')"
 
 
-_MEMBER = f"""case cast(o.o_custkey % 10 as int)
-  when 0 then concat('CL_', cast(o.o_custkey as varchar(20)), '_NA')
-  when 1 then concat('CO_', cast(o.o_custkey as varchar(20)), '_NA')
-  when 2 then concat('CO_', {_pad(6, "o.o_custkey")}, 'YY01_', cast(o.o_custkey % 97 as varchar(20)), '_', cast(o.o_custkey as varchar(20)))
-  when 3 then concat('CO_', {_pad(8, "o.o_custkey")}, 'YY-01-02-03-1_', case when c.c_acctbal > 4000 then lpad(cast(o.o_custkey % 1000 as varchar(20)), 3, '0') else '7' end, '_', cast(o.o_custkey as varchar(20)))
-  when 4 then concat('CO_', {_pad(6, "o.o_custkey")}, '_', cast(o.o_custkey as varchar(20)))
-  when 5 then concat('CO_', {_pad(6, "o.o_custkey")}, '-MX_', cast(81 + o.o_custkey % 18 as varchar(20)), '_1_', cast(o.o_custkey as varchar(20)))
-  when 6 then concat('Line (A) ', cast(o.o_custkey as varchar(20)))
-  when 7 then case when c.c_acctbal > 5000 then concat('A&B-', cast(o.o_custkey as varchar(20)))
-    when c.c_acctbal > 2000 then concat('CO_', {_pad(6, "o.o_custkey")}, 'YYabc_XL-9-1-4_', cast(o.o_custkey as varchar(20)))
-    else concat('CO_', {_pad(6, "o.o_custkey")}, '-MX_ZZ_1_', cast(o.o_custkey as varchar(20))) end
-  when 8 then case when c.c_mktsegment = 'BUILDING' then 'Unallocated' when c.c_mktsegment = 'MACHINERY' then 'No_Customer'
-    when c.c_mktsegment = 'HOUSEHOLD' then concat('Client_', cast(o.o_custkey as varchar(20)), '_', cast(o.o_custkey as varchar(20)))
-    else concat('CO_', {_pad(8, "o.o_custkey")}, '-12-3_x_', cast(o.o_custkey as varchar(20))) end
-  else concat('CO_ABY', cast(o.o_custkey % 10 as varchar(20)), 'YY7_', cast(o.o_custkey % 97 as varchar(20)), '_', cast(o.o_custkey as varchar(20))) end"""
+_MEMBER = f"""case cast(c_custkey % 10 as int)
+  when 0 then concat('CL_', cast(c_custkey as varchar(20)), '_NA')
+  when 1 then concat('CO_', cast(c_custkey as varchar(20)), '_NA')
+  when 2 then concat('CO_', {_pad(6)}, 'YY01_', cast(c_custkey % 97 as varchar(20)), '_', cast(c_custkey as varchar(20)))
+  when 3 then concat('CO_', {_pad(8)}, 'YY-01-02-03-1_', case when c_acctbal > 4000 then lpad(cast(c_custkey % 1000 as varchar(20)), 3, '0') else '7' end, '_', cast(c_custkey as varchar(20)))
+  when 4 then concat('CO_', {_pad(6)}, '_', cast(c_custkey as varchar(20)))
+  when 5 then concat('CO_', {_pad(6)}, '-MX_', cast(81 + c_custkey % 18 as varchar(20)), '_1_', cast(c_custkey as varchar(20)))
+  when 6 then concat('Line (A) ', cast(c_custkey as varchar(20)))
+  when 7 then case when c_acctbal > 5000 then concat('A&B-', cast(c_custkey as varchar(20)))
+    when c_acctbal > 2000 then concat('CO_', {_pad(6)}, 'YYabc_XL-9-1-4_', cast(c_custkey as varchar(20)))
+    else concat('CO_', {_pad(6)}, '-MX_ZZ_1_', cast(c_custkey as varchar(20))) end
+  when 8 then case when c_mktsegment = 'BUILDING' then 'Unallocated' when c_mktsegment = 'MACHINERY' then 'No_Customer'
+    when c_mktsegment = 'HOUSEHOLD' then concat('Client_', cast(c_custkey as varchar(20)), '_', cast(c_custkey as varchar(20)))
+    else concat('CO_', {_pad(8)}, '-12-3_x_', cast(c_custkey as varchar(20))) end
+  else concat('CO_ABY', cast(c_custkey % 10 as varchar(20)), 'YY7_', cast(c_custkey % 97 as varchar(20)), '_', cast(c_custkey as varchar(20))) end"""
 
 _AMOUNTS = ",\n ".join(
-    f"case when month(l.l_shipdate) = {i} then cast(l.l_extendedprice as decimal(18,2)) * cast(l.l_discount as decimal(18,3)) end as {m}_amt"
+    f"case when l.mon = {i} then l.amt end as {m}_amt"
     for i, m in enumerate(MONTHS, 1)
 )
 
 FIXTURES: dict[str, str] = {
-    "clvr_level0_extract": f"""select concat('PC~', cast(c.c_nationkey as varchar(10))) as clvr_entity_mbr,
- {_MEMBER} as clvr_contract_mbr,
- case when l.l_linenumber = 7 then 'FX_Gain' else concat('ACCT_', l.l_returnflag, l.l_linestatus) end as clvr_account_mbr,
+    "clvr_level0_extract": f"""select c.entity as clvr_entity_mbr, c.member as clvr_contract_mbr,
+ l.account as clvr_account_mbr,
  case when l.l_linenumber = 6 then 'Local' else 'Reporting_USD' end as clvr_currency_type_mbr,
  case when l.l_tax > 0.07 then 'Actual' else 'Budget' end as clvr_scenario_mbr,
- 'Final' as clvr_version_mbr,
- concat('FY', substring(cast(year(l.l_shipdate) as varchar(4)), 3, 2)) as clvr_fiscal_year_mbr,
+ 'Final' as clvr_version_mbr, l.tag as clvr_fiscal_year_mbr,
  {_AMOUNTS}
-from {{lineitem}} l join {{orders}} o on l.l_orderkey = o.o_orderkey join {{customer}} c on o.o_custkey = c.c_custkey""",
+from (select l_orderkey, l_linenumber, l_tax, month(l_shipdate) as mon, concat('FY', substring(cast(year(l_shipdate) as varchar(4)), 3, 2)) as tag,
+  case when l_linenumber = 7 then 'FX_Gain' else concat('ACCT_', l_returnflag, l_linestatus) end as account,
+  cast(cast(l_extendedprice as decimal(18,2)) * cast(l_discount as decimal(18,3)) as decimal(18,5)) as amt from {{lineitem}}) l
+ join {{orders}} o on l.l_orderkey = o.o_orderkey
+ join (select c_custkey, concat('PC~', cast(c_nationkey as varchar(10))) as entity, {_MEMBER} as member from {{customer}}) c on o.o_custkey = c.c_custkey""",
     "er_budget_revenue_type_xref": """select concat('ACCT_', l_returnflag, l_linestatus) as er_budget_revenue_type_code,
  case when l_returnflag = 'A' and l_linestatus = 'F' then null else concat('S', l_returnflag) end as fk_er_source_code,
  concat('R', l_linestatus) as fk_er_revenue_type_code, concat('T', l_returnflag, l_linestatus) as fk_er_transaction_type_code

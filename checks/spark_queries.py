@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from budgetloom.operators.xref import code_xref
 from budgetloom.plans import accrual_load, accrual_rules, budget_fact, budget_stage, classify, contract_map, pipeline
-from budgetloom.sources.warehouse import Warehouse
+from budgetloom.sources.warehouse import Warehouse, surrogate_key
 
 from .fixtures import FIXTURES, YEARS, derive
 
@@ -71,6 +71,12 @@ def _stage2(spark: SparkSession, sf: str) -> DataFrame:
     return budget_stage.stage2(budget_stage.stage1(t["clvr_level0_extract"], YEARS), t)
 
 
+def _stage2_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Stage 2 as a stored table, as the job keeps it: the contract rules read it twice."""
+    rows = _stage2(spark, sf).withColumn("er_hyperion_stage_2_id", surrogate_key(1))
+    return scratch(spark).refresh("er_hyperion_stage_2", rows)
+
+
 def stage1_refresh(spark: SparkSession, sf: str) -> DataFrame:
     wh = scratch(spark)
     wh.refresh("er_hyperion_stage_1", _stage1(spark, sf))
@@ -105,7 +111,11 @@ def _map_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 
 
 def _contracts(spark: SparkSession, sf: str) -> DataFrame:
-    return contract_map.with_application(contract_map.candidates(_stage2(spark, sf)), _map_tables(spark, sf))
+    return contract_map.with_application(contract_map.candidates(_stage2_table(spark, sf)), _map_tables(spark, sf))
+
+
+def _matches(spark: SparkSession, sf: str) -> DataFrame:
+    return contract_map.contract_matches(derive(spark, sf, "contract_dim")["contract_dim"])
 
 
 def app_resolve(spark: SparkSession, sf: str) -> DataFrame:
@@ -118,19 +128,18 @@ def _by_rule(kind: str, office: bool | None = None) -> Query:
         if office is not None:
             is_office = F.coalesce(F.col("app_id") == 13, F.lit(False))
             keyed = keyed.filter(is_office if office else ~is_office)
-        found = contract_map.primary_match(keyed, derive(spark, sf, "contract_dim")["contract_dim"], kinds=(kind,))
-        return found.select(*CONTRACT_COLUMNS, "primary_id")
+        return contract_map.primary_match(keyed, _matches(spark, sf)).select(*CONTRACT_COLUMNS, "primary_id")
 
     return run
 
 
 def contract_fallback(spark: SparkSession, sf: str) -> DataFrame:
     keyed = contract_map.with_search_keys(_contracts(spark, sf))
-    return contract_map.fallback_match(keyed, derive(spark, sf, "contract_dim")["contract_dim"]).select(*CONTRACT_COLUMNS, "back_id")
+    return contract_map.fallback_match(keyed, _matches(spark, sf)).select(*CONTRACT_COLUMNS, "back_id")
 
 
 def contract_keys(spark: SparkSession, sf: str) -> DataFrame:
-    return contract_map.contract_map(_stage2(spark, sf), _map_tables(spark, sf))
+    return contract_map.contract_map(_stage2_table(spark, sf), _map_tables(spark, sf))
 
 
 def xref_codes(spark: SparkSession, sf: str) -> DataFrame:
@@ -153,12 +162,12 @@ def contract_class(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def whole_fact(spark: SparkSession, sf: str) -> DataFrame:
-    rows = pipeline.budget_fact(derive(spark, sf, *BUDGET_TABLES), YEARS)
+    rows = pipeline.fact_rows(_stage2_table(spark, sf), derive(spark, sf, *DIM_TABLES, "er_dm_hyp_pc_xref", *MAP_TABLES, *CLASS_TABLES))
     return rows.select(*STAGE2_KEYS, "revenue_date_dim_id", "budget_amt_usd", *DIM_KEYS, "contract_dim_id", *CLASS_KEYS)
 
 
 def budget_by_class(spark: SparkSession, sf: str) -> DataFrame:
-    rows = pipeline.budget_fact(derive(spark, sf, *BUDGET_TABLES), YEARS)
+    rows = pipeline.fact_rows(_stage2_table(spark, sf), derive(spark, sf, *DIM_TABLES, "er_dm_hyp_pc_xref", *MAP_TABLES, *CLASS_TABLES))
     amount = F.sum("budget_amt_usd").cast("decimal(38,2)").alias("amt")
     return rows.groupBy("revenue_year", *CLASS_KEYS).agg(F.count(F.lit(1)).alias("n_rows"), amount)
 
