@@ -53,11 +53,6 @@ def bare(s: Column) -> Column:
     return F.trim(delete(s, "'"))
 
 
-def is_number(s: Column) -> Column:
-    """Whether TO_NUMBER would take the text."""
-    return s.try_cast(WHOLE).isNotNull()
-
-
 def to_whole(s: Column) -> Column:
     """TO_NUMBER into an INTEGER for text that is not NULL: rounds half away from zero, raises on text that is no number."""
     bad = F.raise_error(F.concat(F.lit("not a number: "), s)).cast(WHOLE)

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ora import instr_last, is_number, mid, nz
+from ..functions.ora import instr_last, mid, nz
 from ..operators.lookup import attach
 
 CONTRACT_KEYS = ["budget_year", "contract_dsc", "contract_decode", "profit_center_dsc"]
@@ -129,7 +129,8 @@ def with_positions(contracts: DataFrame) -> DataFrame:
         }
     )
     middle = F.col("d_middle")
-    return out.withColumn("d_middle", F.when(F.length(middle) == 3, middle).otherwise(F.concat(F.lit("0"), middle)))
+    padded = F.when(F.length(middle) == 3, middle).otherwise(F.concat(F.lit("0"), middle))
+    return out.withColumns({"d_middle": padded, "office_no": F.col("c_office").try_cast("decimal(38,10)")})
 
 
 def zero_inserted(s: Column) -> Column:
@@ -173,11 +174,11 @@ def twin_suffix() -> Column:
 
 def office_reference() -> Column:
     """Reference searched by application 13; NULL when the office is not a number."""
-    d, office = F.col("contract_decode"), F.col("c_office")
-    country = F.coalesce(*[F.when(office == k, F.lit(v)) for k, v in OFFICE_COUNTRY.items()], F.lit(""))
-    joint = F.when(office.try_cast("decimal(38,10)").isin(*NO_HYPHEN_OFFICES), F.lit("")).otherwise(F.lit("-"))
+    d, office, number = (F.col(n) for n in ("contract_decode", "c_office", "office_no"))
+    country = F.try_element_at(F.create_map(*[F.lit(v) for pair in OFFICE_COUNTRY.items() for v in pair]), office)
+    joint = F.when(number.isin(*NO_HYPHEN_OFFICES), F.lit("")).otherwise(F.lit("-"))
     ref = F.concat_ws("", mid(d, 1, F.col("d_size") - 3), joint, country)
-    return F.when(office.isNull() | is_number(office), ref)
+    return F.when(office.isNull() | number.isNotNull(), ref)
 
 
 def with_search_keys(contracts: DataFrame) -> DataFrame:
@@ -202,7 +203,7 @@ def with_search_keys(contracts: DataFrame) -> DataFrame:
             "last_key": F.when(sectioned, d),
         }
     )
-    return rows.drop("c_yy", "c_last", "c_office", "d_size", "d_hyphen", "d_head", "d_middle", "d_tail", "near", "sectioned")
+    return rows.drop("c_yy", "c_last", "c_office", "d_size", "d_hyphen", "d_head", "d_middle", "d_tail", "office_no", "near", "sectioned")
 
 
 # --- what the contract dimension offers ----------------------------------------------------------
