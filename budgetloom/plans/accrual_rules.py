@@ -53,7 +53,7 @@ Tables = dict[str, DataFrame]
 
 
 def _has_rows(df: DataFrame) -> Column:
-    return df.limit(1).agg((F.count(F.lit(1)) > 0).alias("any")).scalar()
+    return df.agg((F.count(F.lit(1)) > 0).alias("any")).scalar()
 
 
 def mark_profit_center(df: DataFrame, t: Tables) -> DataFrame:
