@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 AMBIGUOUS = -2
 
 
-def attach(df: DataFrame, build: DataFrame, on: dict[str, Column], how: str = "left") -> DataFrame:
+def attach(df: DataFrame, build: DataFrame, on: dict[str, Column], how: str = "left", add: dict[str, Column] | None = None) -> DataFrame:
     """Join ``df`` to ``build`` where each ``build`` column named in ``on`` equals the given ``df`` expression.
 
+    The result has the columns of ``df`` and the other columns of ``build``, or the ``add`` columns (name ->
+    expression over both) in place of the latter.
+
     No broadcast is forced: Spark broadcasts ``build`` when its estimated or measured size is under
     ``spark.sql.autoBroadcastJoinThreshold`` and shuffles both sides otherwise. The hash of the keys is an
     extra join key. It changes no result, but an aggregated ``build`` is already clustered on its keys, so
@@ -26,8 +29,11 @@ def attach(df: DataFrame, build: DataFrame, on: dict[str, Column], how: str = "l
     rest = [c for c in build.columns if c not in on]
     side = build.select(*[F.col(k).alias(f"_b{i}") for i, k in enumerate(names)], F.xxhash64(*names).alias("_bh"), *rest)
     equal = reduce(and_, [F.col(f"_p{i}") == F.col(f"_b{i}") for i in range(len(names))], F.col("_ph") == F.col("_bh"))
-    helpers = [f"_{s}{i}" for s in "pb" for i in range(len(names))]
-    return probe.join(side, equal, how).drop("_ph", "_bh", *helpers)
+    joined = probe.join(side, equal, how)
+    if how in ("left_anti", "left_semi"):
+        return joined.select(*df.columns)
+    added = rest if add is None else [v.alias(name) for name, v in add.items()]
+    return joined.select(*df.columns, *added)
 
 
 def one_per_key(dim: DataFrame, keys: list[str], take: dict[str, Column]) -> DataFrame:
@@ -45,7 +51,6 @@ def lookup(df: DataFrame, dim: DataFrame, on: dict[str, Column], take: dict[str,
     if on_many not in ("error", "max", "ambiguous"):
         raise ValueError(f"unknown on_many: {on_many}")
     build = one_per_key(dim, list(on), take)
-    found = attach(df, build, on)
     n = F.col("_n")
     out = {}
     for name in take:
@@ -57,4 +62,4 @@ def lookup(df: DataFrame, dim: DataFrame, on: dict[str, Column], take: dict[str,
         elif on_many == "ambiguous":
             value = F.when(n > 1, F.lit(AMBIGUOUS).cast(kind)).otherwise(value)
         out[name] = value
-    return found.withColumns(out).drop("_n")
+    return attach(df, build, on, add=out)

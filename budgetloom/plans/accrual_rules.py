@@ -66,24 +66,24 @@ def mark_profit_center(df: DataFrame, t: Tables) -> DataFrame:
     short_keys = t["er_gl_profit_center"].select(F.lit("short").alias("c_kind"), F.col("short_code").alias("c_key")).distinct()
     known = r12_keys.unionByName(short_keys).filter(F.col("c_key") != "").groupBy("c_kind", "c_key").agg(F.count(F.lit(1)).alias("c_n"))
     kind = F.when(F.trim(r12) != "", F.lit("r12")).otherwise(F.lit("short"))
-    out = attach(df, known, {"c_kind": kind, "c_key": F.coalesce(r12, parts)})
     n = F.col("c_n")
     several = F.raise_error(F.concat(F.lit("more than one profit center for R12 code "), r12)).cast("boolean")
-    return out.withColumn("ok_center", F.when(n > 1, several).otherwise(n.isNotNull())).drop("c_n")
+    ok = F.when(n > 1, several).otherwise(n.isNotNull())
+    return attach(df, known, {"c_kind": kind, "c_key": F.coalesce(r12, parts)}, add={"ok_center": ok})
 
 
-def _marked(df: DataFrame, known: DataFrame, on: dict[str, Column], name: str) -> DataFrame:
-    """Boolean ``name``: whether the key is among the known codes. '' is no code, so keys need no NULL for it."""
+def _marked(df: DataFrame, known: DataFrame, on: dict[str, Column], marks: Callable[[Column], dict[str, Column]]) -> DataFrame:
+    """Add the ``marks`` made from whether the key is among the known codes. '' is no code, so keys need no NULL for it."""
     present = reduce(and_, [F.col(c) != "" for c in known.columns])
     codes = known.filter(present).distinct().withColumn("_hit", F.lit(True))
-    return attach(df, codes, on).withColumn(name, F.coalesce("_hit", F.lit(False))).drop("_hit")
+    return attach(df, codes, on, add=marks(F.coalesce("_hit", F.lit(False))))
 
 
 def mark_account(df: DataFrame, t: Tables) -> DataFrame:
     known = t["er_tp_references"].select(F.col("gc_reference_type").alias("a_type"), F.col("tp_reference").alias("a_ref"))
     known = known.filter(F.col("a_type").isin(*ACCOUNT_TYPES.values()))
     kind = F.coalesce(*[F.when(F.col("accr_app_id") == app, F.lit(ref)) for app, ref in ACCOUNT_TYPES.items()])
-    return _marked(df, known, {"a_type": kind, "a_ref": bare(F.col("accr_acct_code"))}, "ok_account")
+    return _marked(df, known, {"a_type": kind, "a_ref": bare(F.col("accr_acct_code"))}, lambda hit: {"ok_account": hit})
 
 
 def mark_revenue_type(df: DataFrame, t: Tables) -> DataFrame:
@@ -95,14 +95,14 @@ def mark_revenue_type(df: DataFrame, t: Tables) -> DataFrame:
     code = F.col("accr_revenue_code")
     key = F.coalesce(code, F.when(is_actual(), F.lit("XXXX")).otherwise(F.lit("xxxx")))
     listed = types.agg(F.coalesce(F.max(F.col("t_code").isNull()), F.lit(False))).scalar()
-    out = _marked(df, types, {"t_code": key}, "_known")
-    known = F.col("_known")
-    return out.withColumns({"bad_actual": ~known & ~listed, "bad_restated": ~(known & (key != "NCB")) & ~listed}).drop("_known")
+    return _marked(
+        df, types, {"t_code": key}, lambda hit: {"bad_actual": ~hit & ~listed, "bad_restated": ~(hit & (key != "NCB")) & ~listed}
+    )
 
 
 def mark_currency(df: DataFrame, t: Tables) -> DataFrame:
     known = t["er_currency_info"].select(F.col("gc_currency_code").alias("y_code")).filter(F.col("y_code") != "XXX")
-    return _marked(df, known, {"y_code": F.trim("accr_org_ccy_code")}, "ok_currency")
+    return _marked(df, known, {"y_code": F.trim("accr_org_ccy_code")}, lambda hit: {"ok_currency": hit})
 
 
 def bare_contract_ref(ref: Column) -> Column:
@@ -116,17 +116,17 @@ def bare_contract_ref(ref: Column) -> Column:
 
 def mark_contract(df: DataFrame, t: Tables) -> DataFrame:
     known = t["contract_dim"].select(F.trim("gc_our_contract_ref").alias("r_ref"))
-    return _marked(df, known, {"r_ref": bare_contract_ref(F.col("contract_ref"))}, "ok_contract")
+    return _marked(df, known, {"r_ref": bare_contract_ref(F.col("contract_ref"))}, lambda hit: {"ok_contract": hit})
 
 
 def mark_business_class(df: DataFrame, t: Tables) -> DataFrame:
     known = t["business_classification_dim"].select(F.upper("busness_class_dsc").alias("b_dsc"))
-    return _marked(df, known, {"b_dsc": F.upper(bare(F.col("business_class_dsc")))}, "ok_business")
+    return _marked(df, known, {"b_dsc": F.upper(bare(F.col("business_class_dsc")))}, lambda hit: {"ok_business": hit})
 
 
 def mark_contract_class(df: DataFrame, t: Tables) -> DataFrame:
     known = t["contract_classification_dim"].select(F.upper("contract_sub_type_dsc").alias("k_dsc"))
-    return _marked(df, known, {"k_dsc": F.upper(bare(F.col("contract_class_dsc")))}, "ok_class")
+    return _marked(df, known, {"k_dsc": F.upper(bare(F.col("contract_class_dsc")))}, lambda hit: {"ok_class": hit})
 
 
 # --- the rules -----------------------------------------------------------------------------------

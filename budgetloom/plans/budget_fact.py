@@ -36,9 +36,8 @@ def with_cedent(df: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
         for kind, key in (("id", "tp_id"), ("parent", "tp_ult_parent_id"))
     ]
     kind = F.when(F.col("contract_dsc").like("CL_%_NA"), F.lit("parent")).otherwise(F.lit("id"))
-    out = attach(df, sides[0].unionByName(sides[1]), {"tp_kind": kind, "tp_key": F.col("client_code")})
     cedent = F.when(F.col("_n").isNull(), F.lit(-1).cast("long")).otherwise(F.col("tp_dim"))
-    return out.withColumn("cedent_dim_id", cedent).drop("tp_dim", "_n")
+    return attach(df, sides[0].unionByName(sides[1]), {"tp_kind": kind, "tp_key": F.col("client_code")}, add={"cedent_dim_id": cedent})
 
 
 def unpivot_months(df: DataFrame) -> DataFrame:

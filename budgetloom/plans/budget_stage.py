@@ -150,12 +150,11 @@ def profit_center_codes(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def with_profit_center_code(df: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
-    """Add ``profit_center_code`` ('-1' when the description is unknown) and ``pc_found``."""
-    out = attach(df, profit_center_codes(tables), {"pc_key": F.trim("profit_center_dsc")})
+    """Add ``profit_center_code``, '-1' when the description is unknown."""
     low, high = F.col("pc_low"), F.col("pc_high")
     clash = F.raise_error(F.concat_ws(" ", F.lit("more than one active code for profit center:"), "profit_center_dsc")).cast("string")
     code = F.when(low != high, clash).otherwise(F.coalesce(low, F.lit("-1")))
-    return out.withColumns({"profit_center_code": code, "pc_found": low.isNotNull()}).drop("pc_low", "pc_high")
+    return attach(df, profit_center_codes(tables), {"pc_key": F.trim("profit_center_dsc")}, add={"profit_center_code": code})
 
 
 def with_account_codes(df: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:

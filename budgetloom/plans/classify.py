@@ -56,15 +56,10 @@ def business_class_default(contract: Column, value: Column) -> Column:
 def with_classes(df: DataFrame, tables: dict[str, DataFrame], on_many: str = "error") -> DataFrame:
     """Add both classification keys to rows with a ``contract_dim_id``."""
     contract = F.col("contract_dim_id")
-    out = attach(df, business_classes(tables, on_many), {"bc_contract": contract})
-    out = attach(out, contract_classes(tables), {"cc_contract": contract})
     business = business_class_default(contract, F.col("business_class_id"))
-    return out.withColumns(
-        {
-            "business_classification_dim_id": business,
-            "contract_classification_dim_id": F.coalesce("contract_class_id", F.lit(-2)).cast("long"),
-        }
-    ).drop("business_class_id", "contract_class_id")
+    cover = F.coalesce("contract_class_id", F.lit(-2)).cast("long")
+    out = attach(df, business_classes(tables, on_many), {"bc_contract": contract}, add={"business_classification_dim_id": business})
+    return attach(out, contract_classes(tables), {"cc_contract": contract}, add={"contract_classification_dim_id": cover})
 
 
 def class_defaults(fact: DataFrame) -> DataFrame:

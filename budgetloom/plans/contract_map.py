@@ -300,7 +300,7 @@ def fallback_match(keyed: DataFrame, matches: DataFrame) -> DataFrame:
     rows = _probe(rows, matches, F.lit("budget_uwy"), F.col("last_key"), F.lit("-"), "last_id")
     back = F.col("back_id")
     retry = (F.col("back_kind") == "budget_section") & (back.isNull() | (back == -1))
-    return rows.withColumn("back_id", F.when(retry, F.col("last_id")).otherwise(back)).drop("last_id")
+    return rows.withColumn("back_id", F.when(retry, F.col("last_id")).otherwise(back))
 
 
 def resolve_contracts(contracts: DataFrame, tables: dict[str, DataFrame], latest_year_only: bool = False) -> DataFrame:
@@ -323,5 +323,6 @@ def with_contract_keys(rows: DataFrame, contracts: DataFrame) -> DataFrame:
     own = {f"m_{k}": F.coalesce(F.col(k), F.lit("")) if k == "contract_decode" else F.col(k) for k in CONTRACT_KEYS}
     side = contracts.withColumnsRenamed({k: f"m_{k}" for k in CONTRACT_KEYS})
     side = side.withColumn("m_contract_decode", F.coalesce("m_contract_decode", F.lit("")))
-    out = attach(rows, side, own)
-    return out.withColumn("contract_dim_id", F.coalesce(F.col("contract_dim_id"), F.lit(-1).cast("long")))
+    found = {c: F.col(c) for c in contracts.columns if c not in CONTRACT_KEYS}
+    found["contract_dim_id"] = F.coalesce("contract_dim_id", F.lit(-1).cast("long"))
+    return attach(rows, side, own, add=found)

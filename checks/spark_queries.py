@@ -253,7 +253,17 @@ def accrual_audit_log(spark: SparkSession, sf: str) -> DataFrame:
     return wh.read("er_accural_log").select("er_accrual_load_num", "status", "comments")
 
 
-QUERIES: dict[str, Query] = {
+def comparable(query: Query) -> Query:
+    """The same rows with amounts as doubles, which every client of the two engines renders alike."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        df = query(spark, sf)
+        return df.select(*[F.col(c).cast("double").alias(c) if t.startswith("decimal") else F.col(c) for c, t in df.dtypes])
+
+    return run
+
+
+_ALL: dict[str, Query] = {
     "stage1_month_sums": _stage1,
     "stage1_refresh": stage1_refresh,
     "stage2_decode": stage2_decode,
@@ -284,3 +294,5 @@ QUERIES: dict[str, Query] = {
     "accrual_load": accrual_load_job,
     "accrual_audit_log": accrual_audit_log,
 }
+
+QUERIES: dict[str, Query] = {name: comparable(query) for name, query in _ALL.items()}
