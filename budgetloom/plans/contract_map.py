@@ -164,7 +164,7 @@ def year_mark_near_end() -> Column:
     return F.when(last >= 9, mid(c, last - 8, 8)).otherwise(wrapped).contains("YY")
 
 
-def twin_suffix() -> Column:
+def tail_suffix() -> Column:
     """Text between YY and the last underscore, padded to three characters when it is one or two long."""
     start = F.col("c_yy")
     size = F.col("c_last") - start - 2
@@ -187,7 +187,7 @@ def with_search_keys(contracts: DataFrame) -> DataFrame:
     d, app, near = F.col("contract_decode"), F.col("app_id"), F.col("near")
     rows = rows.withColumn("near", (app == 10) & year_mark_near_end())
     kind = (
-        F.when(app == 1, "section").when(near, "prefix").when(app == 10, "twin").when(app == 14, "budget").otherwise("ref")
+        F.when(app == 1, "section").when(near, "prefix").when(app == 10, "suffix").when(app == 14, "budget").otherwise("ref")
     )
     sectioned = F.col("d_size").between(12, 15) & F.col("d_hyphen")
     rows = rows.withColumns({"kind": kind, "sectioned": sectioned})
@@ -196,7 +196,7 @@ def with_search_keys(contracts: DataFrame) -> DataFrame:
     rows = rows.withColumns(
         {
             "key": key,
-            "key2": F.when(F.col("kind") == "twin", twin_suffix()).otherwise(F.lit("-")),
+            "key2": F.when(F.col("kind") == "suffix", tail_suffix()).otherwise(F.lit("-")),
             "back_kind": F.when(sectioned, "budget_section").otherwise("budget"),
             "back_key": F.when(sectioned, F.concat("d_head", "d_middle")).otherwise(d),
             "back_key2": F.when(sectioned, F.col("d_tail")).otherwise(F.lit("-")),
@@ -239,7 +239,7 @@ def latest_reference_matches(dim: DataFrame) -> DataFrame:
 def newest_matches(dim: DataFrame, latest_year_only: bool = False) -> DataFrame:
     """The matches that take the newest row of a key, all in one scan and one aggregation.
 
-    ``twin``: first six and next three characters, newest date, an open date being newest. ``ref``: exact
+    ``suffix``: first six and next three characters, newest date, an open date being newest. ``ref``: exact
     reference with a date, -2 when several rows have it. ``budget``: budget reference, latest effective
     year. ``budget_section`` and ``budget_uwy``: trimmed budget reference, with or without the section,
     newest underwriting year. Ties go to the largest id.
@@ -252,7 +252,7 @@ def newest_matches(dim: DataFrame, latest_year_only: bool = False) -> DataFrame:
         return F.when(keep, F.struct(*[v.alias(k) for k, v in parts.items()]))
 
     entries = [
-        entry("twin", ref.isNotNull(), F.substring(ref, 1, 6), mid(ref, 7, 3), F.unix_seconds(eff.cast("timestamp")), eff.isNull()),
+        entry("suffix", ref.isNotNull(), F.substring(ref, 1, 6), mid(ref, 7, 3), F.unix_seconds(eff.cast("timestamp")), eff.isNull()),
         entry("budget", year.isNotNull(), budget, no, year),
         entry("budget_section", uwy.isNotNull(), trimmed, F.col("section_number"), uwy),
         entry("budget_uwy", uwy.isNotNull(), trimmed, no, uwy),

@@ -13,8 +13,7 @@ def _strings(names) -> str:
 _MONEY_COLUMNS = ", ".join(f"{a} decimal(38,2)" for a in AMOUNTS)
 _CODE_TABLE = "tbl_code_id long, short_code string"
 
-SCHEMAS: dict[str, str] = {
-    # inputs
+INPUTS: dict[str, str] = {
     "clvr_level0_extract": _strings(f"clvr_{c}_mbr" for c in ("entity", "contract", "account", "currency_type", "scenario", "version", "fiscal_year"))
     + ", "
     + ", ".join(f"{m}_amt decimal(38,10)" for m in MONTHS),
@@ -45,7 +44,9 @@ SCHEMAS: dict[str, str] = {
     "er_tp_references": "tp_reference string, gc_reference_type string",
     "er_currency_info": "gc_currency_code string",
     "er_accruals_revenue_type": "short_code string",
-    # written by the jobs
+}
+
+OUTPUTS: dict[str, str] = {
     "er_hyperion_stage_1": "budget_year int, "
     + _strings(("source_type", "profit_center_dsc", "hyperion_client_name", "contract_dsc", "hyperion_revenue_type"))
     + ", "
@@ -65,6 +66,8 @@ SCHEMAS: dict[str, str] = {
     "er_accural_log": "er_accrual_load_num long, dt_updated timestamp, status string, comments string",
 }
 
+SCHEMAS: dict[str, str] = {**INPUTS, **OUTPUTS}
+
 PARTITIONS: dict[str, str] = {
     "budget_fact": "revenue_year",
     "er_selfservice_accrual_records": "fk_accr_file_id",

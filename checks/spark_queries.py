@@ -275,7 +275,7 @@ _ALL: dict[str, Query] = {
     "app_resolve": app_resolve,
     "contract_app1": _by_rule("section"),
     "contract_app10_prefix": _by_rule("prefix"),
-    "contract_app10_twin": _by_rule("twin"),
+    "contract_app10_suffix": _by_rule("suffix"),
     "contract_app13": _by_rule("ref", office=True),
     "contract_app14": _by_rule("budget"),
     "contract_generic": _by_rule("ref", office=False),

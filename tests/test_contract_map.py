@@ -125,7 +125,7 @@ def test_app10_row_without_suffix_is_found_only_beside_none(spark):
     assert resolve(spark, (10,), text, ref(1, "000112")) == -1
 
 
-def test_app10_twin_suffix(spark):
+def test_app10_suffix(spark):
     text = ("CO_000104", "000104")  # no YY, last underscore at 3: suffix 00 and the second character
     assert resolve(spark, (10,), text, ref(1, "00010400O"), ref(2, "000104")) == 1
     dated = [ref(1, "00010400O", date(2020, 1, 1)), ref(2, "00010400O", date(2021, 1, 1))]

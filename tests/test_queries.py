@@ -1,4 +1,4 @@
-"""Every registered query against its DuckDB twin, and the driver's entry points."""
+"""Every registered query against its DuckDB counterpart, and the driver's entry points."""
 
 import pytest
 
@@ -8,7 +8,7 @@ from checks.compare import duck_rows, rows_of
 SF = "/root/testdata/sf0.001"
 
 
-def test_every_query_has_a_twin():
+def test_every_query_has_a_counterpart():
     assert set(entry_points.queries()) == set(entry_points.oracle_sql())
 
 
