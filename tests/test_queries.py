@@ -22,3 +22,20 @@ def test_query_matches_duckdb(spark, name):
 
 def test_entry(spark):
     assert entry_points.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name", ["budget_fact", "accrual_errors"])
+def test_results_do_not_depend_on_broadcasting(spark, name):
+    """As with dimensions too large to broadcast: every join shuffles, none is a nested loop."""
+    settings = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = spark.conf.get(settings[0])
+    try:
+        for s in settings:
+            spark.conf.set(s, "-1")
+        df = entry_points.queries()[name](spark, SF)
+        assert rows_of(df) == duck_rows(SF, entry_points.oracle_sql()[name])[1]
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "NestedLoop" not in plan and "Cartesian" not in plan and "BroadcastHashJoin" not in plan
+    finally:
+        spark.conf.set(settings[0], before)
+        spark.conf.unset(settings[1])
