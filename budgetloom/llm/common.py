@@ -28,3 +28,15 @@ def share(key: str, parts: int) -> Column:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def likely(df: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column) -> DataFrame:
+    """The rows of ``df`` whose key may be among the wanted ones: all that are, and few others.
+
+    A filter ahead of a join, so that texts which it drops are not shuffled. It is a bitmap of hashes in 2^17 words of
+    64 bits, whatever the input's size, and so may be broadcast; when very many keys are wanted, it lets more rows pass.
+    """
+    words = wanted.select(F.xxhash64(wanted_key).alias("_h")).groupBy(F.expr("shiftrightunsigned(_h, 47)").alias("_word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(_h & 63 as int))")).alias("_bits"))
+    hashed = df.withColumn("_key_hash", F.xxhash64(key))
+    same = (F.expr("shiftrightunsigned(_key_hash, 47)") == F.col("_word")) & (F.expr("shiftright(_bits, cast(_key_hash & 63 as int)) & 1L") == 1)
+    return hashed.join(F.broadcast(words), same, "left_semi").select(*df.columns)

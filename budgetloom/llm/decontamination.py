@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from budgetloom.llm.common import stored
+from budgetloom.llm.common import likely, stored
 from budgetloom.operators.lookup import attach
 
 TOKEN = re.compile(r"\w+")
@@ -107,8 +107,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: s
     bitmap = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
     word = F.shiftrightunsigned("hash", 64 - BITMAP_BITS + 6)
     bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(hash, {64 - BITMAP_BITS}) & 63 as int))")
-    for r in known.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits")).collect():  # at most 2^18 words
-        bitmap[r["word"]] = r["bits"]
+    words = known.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits")).toPandas()  # at most 2^18 rows
+    bitmap[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
     sent = docs.sparkSession.sparkContext.broadcast(bitmap.view(np.uint64))
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,7 +128,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: s
     matched = attach(hits, known.select(F.col("hash").alias("seed"), "item", "item_at"), {"seed": F.col("hash")}, how="inner")
     aligned = stored(matched.select("key", "item", (F.col("at") - F.col("item_at")).alias("shift")).distinct(), "alignments")
     with_item = aligned.withColumnRenamed("item", "i").join(items, F.col("i").eqNullSafe(F.col("item"))).drop("i")
-    pairs = texts.join(with_item.withColumnRenamed("key", "k"), F.col("key").eqNullSafe(F.col("k"))).select("key", "item", "text", "item_text", "shift")
+    pairs = likely(texts, F.col("key"), aligned, F.col("key")).join(with_item.withColumnRenamed("key", "k"), F.col("key").eqNullSafe(F.col("k"))).select("key", "item", "text", "item_text", "shift")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

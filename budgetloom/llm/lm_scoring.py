@@ -21,7 +21,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import islice
+from itertools import islice, repeat
 
 import numpy as np
 import pandas as pd
@@ -195,24 +195,25 @@ def score(docs: DataFrame, training: DataFrame, text: str = "text", model_words:
     weights = np.concatenate(([n for _, n in common[:words]], shape_tokens))
     model = train_log_bilinear(texts, weights, end)
 
-    sent = spark.sparkContext.broadcast((model, {t: (i if i < words else words + shape(t), n) for i, (t, n) in enumerate(common)}))
+    symbol_of = np.array([i if i < words else words + shape(t) for i, (t, _) in enumerate(common)], np.int64)
+    sent = spark.sparkContext.broadcast((model, {t: i for i, (t, _) in enumerate(common)}, symbol_of, np.log10(np.array([n for _, n in common]) + 0.5)))
 
     def evaluate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lm, known = sent.value
-        logs = {t: np.log10(n + 0.5) for t, (_, n) in known.items()}
+        lm, index, symbol_of, log_count = sent.value
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 out: list[tuple] = []
                 for t in part.column(1).to_pylist():
                     tokens = [*tokens_of(t), END]
-                    rare = Counter(x for x in tokens if x not in known)
-                    line = np.array([known[x][0] if x in known else words + shape(x) for x in tokens])
-                    shared = line >= words
-                    base = sum(logs[x] for x in tokens if x in known)
-                    inside = sum(logs[x] for x, s in zip(tokens, shared, strict=True) if s and x in known)
-                    lm_score = float(lm.log10_probability(line, end).sum(dtype=np.float64)) + inside - float(shape_log[line[shared] - words].sum())
-                    out.append((len(tokens), sum(1 for x in tokens if x in known), base, lm_score, [{"token": k, "n": v} for k, v in rare.items()]))
+                    found = np.array(list(map(index.get, tokens, repeat(-1))))
+                    line, missing = symbol_of[found], np.flatnonzero(found < 0)
+                    rare = [tokens[i] for i in missing]
+                    line[missing] = [words + shape(x) for x in rare]
+                    shared, logs = line >= words, log_count[found]
+                    logs[missing] = 0.0
+                    lm_score = float(lm.log10_probability(line, end).sum(dtype=np.float64)) + float(logs[shared].sum()) - float(shape_log[line[shared] - words].sum())
+                    out.append((len(tokens), len(tokens) - len(missing), float(logs.sum()), lm_score, [{"token": k, "n": v} for k, v in Counter(rare).items()]))
                 yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array([r[i] for r in out], k) for i, k in enumerate(kinds_out)]], ["row", "n_tokens", "n_common", "base", "lm", "rare"])
 
     kinds_out = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.struct([("token", pa.binary()), ("n", pa.int64())])))
