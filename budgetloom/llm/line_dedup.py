@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from budgetloom.llm.common import stored
+from budgetloom.llm.common import likely, stored
 from budgetloom.operators.lookup import attach
 
 SPACE = r"[\x20\x09-\x0D]+"
@@ -102,8 +102,9 @@ def dropped_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_
     keys = lines.where("keys is not null").select("h1", "h2", F.explode("keys").alias("k")).distinct()
     shared = keys.groupBy("k").agg(F.count("*").alias("lines")).where("lines > 1").select("k")
     able = attach(keys, shared, {"k": F.col("k")}, how="left_semi").select("h1", "h2").distinct()
-    where = able.join(firsts, ["h1", "h2"]).groupBy(F.col("first.doc").alias("d")).agg(F.collect_list(F.struct("first", "h1", "h2")).alias("wanted"))
-    held = docs.select(F.col(key).alias("doc"), F.col(text).cast("string").alias("body")).join(where, F.col("doc").eqNullSafe(F.col("d")))
+    where = stored(able.join(firsts, ["h1", "h2"]).groupBy(F.col("first.doc").alias("d")).agg(F.collect_list(F.struct("first", "h1", "h2")).alias("wanted")), "able-places")
+    texts = docs.select(F.col(key).alias("doc"), F.col(text).cast("string").alias("body"))
+    held = likely(texts, F.col("doc"), where, F.col("d")).join(where, F.col("doc").eqNullSafe(F.col("d")))
     taken = held.select(F.split("body", "\n").alias("all"), F.explode("wanted").alias("x")).select("x.*", words_of(F.get("all", F.col("x.first.line"))).alias("words"))
     survivors = stored(taken.where((F.xxhash64("words") == F.col("h1")) & (F.xxhash64(F.lit(7), "words") == F.col("h2"))).dropDuplicates(["h1", "h2"]), "able-lines")
     near = near_pairs(survivors).groupBy(F.col("a.h1").alias("h1"), F.col("a.h2").alias("h2")).agg(F.min("b.first").alias("near"))
