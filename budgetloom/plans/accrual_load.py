@@ -21,7 +21,8 @@ class EmptySubmission(ValueError):
 
 def pending(records: DataFrame, run_ts: datetime) -> DataFrame:
     """Submitted records with the fields every load sets; '' in a text field is stored as NULL."""
-    return records.withColumns({c: nz(F.col(c)) for c in TEXT_FIELDS}).withColumns({"created_dt": F.lit(run_ts), "status": F.lit("Pending")})
+    texts = [*TEXT_FIELDS, *(c for c in ("file_id", "fk_accr_file_id", "user_id") if c in records.columns)]
+    return records.withColumns({c: nz(F.col(c)) for c in texts}).withColumns({"created_dt": F.lit(run_ts), "status": F.lit("Pending")})
 
 
 def insert_accruals(wh: Warehouse, records: DataFrame, run_ts: datetime) -> None:
@@ -36,9 +37,13 @@ def validate_accruals(wh: Warehouse, tables: dict[str, DataFrame], file_id: str,
     """Check one file's records, store the error rows and the outcome, and return the load number.
 
     All rules are stored together or, when one raises, none; the failure is logged and raised again.
-    Every run leaves a log row, so that the next load number can be told from the stored tables.
+    Every run leaves a log row, so that the next load number can be told from the stored tables; a load number
+    that has one is refused.
     """
     wh.create(ERRORS)
+    wh.create(LOG)
+    if load_num is not None and not wh.read(LOG).filter(F.col("er_accrual_load_num") == load_num).isEmpty():
+        raise ValueError(f"load number {load_num} has been used")
     if load_num is None:
         load_num = max(wh.next_id(ERRORS, "er_accrual_load_num"), wh.next_id(LOG, "er_accrual_load_num"))
 

@@ -9,10 +9,8 @@ from ..operators.lookup import attach
 from ..operators.xref import code_xref
 
 
-def business_classes(tables: dict[str, DataFrame], on_many: str = "error") -> DataFrame:
-    """contract_dim_id -> business_class_id through section, contract and the class cross-reference."""
-    if on_many not in ("error", "max"):
-        raise ValueError(f"unknown on_many: {on_many}")
+def business_classes(tables: dict[str, DataFrame]) -> DataFrame:
+    """contract_dim_id -> business_class_id (the largest) and their number, through section, contract and the class cross-reference."""
     dim = tables["contract_dim"].select("contract_dim_id", "dd_er_section_id", "er_contract_id").filter(~F.col("contract_dim_id").isin(-1, -2))
     section = tables["er_contract_section"].select(F.col("er_contract_section_id").alias("dd_er_section_id"), F.col("fk_er_contract_id").alias("er_contract_id"))
     classes = tables["er_contract_section_class"].select(F.col("fk_er_contract_section_id").alias("dd_er_section_id"), "fk_gc_class_of_business")
@@ -26,11 +24,7 @@ def business_classes(tables: dict[str, DataFrame], on_many: str = "error") -> Da
         .join(target, F.col("short_code_to") == F.col("busness_class_code"))
     )
     per_contract = hits.groupBy("contract_dim_id").agg(F.count(F.lit(1)).alias("n"), F.max("business_classification_dim_id").alias("v"))
-    value = F.col("v")
-    if on_many == "error":
-        text = F.concat(F.lit("more than one business class for contract "), F.col("contract_dim_id").cast("string"))
-        value = F.when(F.col("n") > 1, F.raise_error(text).cast("long")).otherwise(value)
-    return per_contract.select(F.col("contract_dim_id").alias("bc_contract"), value.alias("business_class_id"))
+    return per_contract.select(F.col("contract_dim_id").alias("bc_contract"), F.col("v").alias("business_class_id"), F.col("n").alias("n_business_classes"))
 
 
 def contract_classes(tables: dict[str, DataFrame]) -> DataFrame:
@@ -54,11 +48,19 @@ def business_class_default(contract: Column, value: Column) -> Column:
 
 
 def with_classes(df: DataFrame, tables: dict[str, DataFrame], on_many: str = "error") -> DataFrame:
-    """Add both classification keys to rows with a ``contract_dim_id``."""
-    contract = F.col("contract_dim_id")
-    business = business_class_default(contract, F.col("business_class_id"))
+    """Add both classification keys to rows with a ``contract_dim_id``.
+
+    Several business classes are an error, or the largest counts (``on_many="max"``), for contracts that rows name.
+    """
+    if on_many not in ("error", "max"):
+        raise ValueError(f"unknown on_many: {on_many}")
+    contract, found = F.col("contract_dim_id"), F.col("business_class_id")
+    if on_many == "error":
+        text = F.concat(F.lit("more than one business class for contract "), contract.cast("string"))
+        found = F.when(F.col("n_business_classes") > 1, F.raise_error(text).cast("long")).otherwise(found)
+    business = business_class_default(contract, found)
     cover = F.coalesce("contract_class_id", F.lit(-2)).cast("long")
-    out = attach(df, business_classes(tables, on_many), {"bc_contract": contract}, add={"business_classification_dim_id": business})
+    out = attach(df, business_classes(tables), {"bc_contract": contract}, add={"business_classification_dim_id": business})
     return attach(out, contract_classes(tables), {"cc_contract": contract}, add={"contract_classification_dim_id": cover})
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ora import instr_last, mid, nz
@@ -34,12 +34,16 @@ NO_HYPHEN_OFFICES = (82, 97)
 TAIL_SECTION = ".._........YY-..-..-..-._..."
 
 
+# Contract texts that name no single contract (fixed values).
+NO_CONTRACT = ("%_NA", "CL_%", "Client%", "Unallocated%", "New_Client%", "Not_Available")
+
+
 # --- candidates and application ------------------------------------------------------------------
 
 
 def candidates(stage_2: DataFrame) -> DataFrame:
     """Distinct contracts that name a single contract, with their decoded reference."""
-    one_contract = F.expr("contract_dsc NOT LIKE ALL ('%_NA', 'CL_%', 'Client%', 'Unallocated%', 'New_Client%', 'Not_Available')")
+    one_contract = reduce(lambda a, b: a & b, [~F.col("contract_dsc").like(p) for p in NO_CONTRACT])
     return stage_2.filter(one_contract).select(*CONTRACT_KEYS).distinct()
 
 
@@ -85,11 +89,16 @@ def with_application(contracts: DataFrame, tables: dict[str, DataFrame]) -> Data
     at 14 goes to 1), then only 1 or only 10, else none.
     """
     rows = attach(contracts, profit_center_apps(tables), {"pc_dsc": F.col("profit_center_dsc")}, "inner")
-    own = ["budget_year", "contract_dsc"]
-    every = rows.groupBy(*own).agg(
-        F.min("app_low").alias("all_low"), F.max("app_high").alias("all_high"), F.max("has_13").alias("any_13"), F.max("has_14").alias("any_14")
+    # A window holds the profit centers of one contract; its input is computed once.
+    own = Window.partitionBy("budget_year", "contract_dsc")
+    rows = rows.withColumns(
+        {
+            "all_low": F.min("app_low").over(own),
+            "all_high": F.max("app_high").over(own),
+            "any_13": F.max("has_13").over(own),
+            "any_14": F.max("has_14").over(own),
+        }
     )
-    rows = rows.join(every, own, "left")
     low, high = F.col("all_low"), F.col("all_high")
     moved = F.instr("contract_dsc", "-") == 14
 
@@ -284,7 +293,7 @@ def contract_matches(dim: DataFrame, latest_year_only: bool = False) -> DataFram
 
 
 def _probe(rows: DataFrame, matches: DataFrame, kind: Column, key: Column, key2: Column, name: str) -> DataFrame:
-    """Add the matched id as ``name``. Every probe joins the same build side, which Spark then shuffles or broadcasts once."""
+    """Add the matched id as ``name``. The build side has one row for each kind and keys."""
     side = matches.withColumnsRenamed({"kind": "m_kind", "key": "m_key", "key2": "m_key2", "id": name})
     return attach(rows, side, {"m_kind": kind, "m_key": key, "m_key2": key2})
 

@@ -49,11 +49,16 @@ class Warehouse:
         writer.parquet(self.path(name))
 
     def replace_years(self, name: str, df: DataFrame, years: Iterable[int]) -> None:
-        """Replace exactly the given years: each year's rows are swapped, and a year without rows is emptied."""
+        """Replace exactly the given years: each year's rows are swapped, and a year without rows is emptied.
+
+        A row of another year, or of none, is an error; nothing is stored then.
+        """
         part = PARTITIONS[name]
         years = list(years)
         seen = Observation()
-        rows = df.select(*columns(name)).filter(F.col(part).isin(years))
+        inside = F.coalesce(F.col(part).isin(years), F.lit(False))
+        text = F.concat(F.lit(f"a row of {name} is outside the years to replace: "), F.coalesce(F.col(part).cast("string"), F.lit("NULL")))
+        rows = df.select(*columns(name)).filter(F.when(inside, F.lit(True)).otherwise(F.raise_error(text).cast("boolean")))
         rows = rows.observe(seen, *[F.count_if(F.col(part) == y).alias(str(y)) for y in years])
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(self.path(name))
         for y in years:

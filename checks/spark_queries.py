@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from datetime import datetime
@@ -12,7 +11,7 @@ from pyspark.sql import functions as F
 
 from budgetloom.operators.xref import code_xref
 from budgetloom.plans import accrual_load, accrual_rules, budget_fact, budget_stage, classify, contract_map, pipeline
-from budgetloom.sources.warehouse import Warehouse, surrogate_key
+from budgetloom.sources.warehouse import Warehouse
 
 from .fixtures import FIXTURES, YEARS, derive
 
@@ -57,24 +56,31 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def scratch(spark: SparkSession) -> Warehouse:
-    """A fresh folder for queries that write: in the cluster's shared checkpoint folder, or a temporary one if none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    return Warehouse(spark, f"{shared.rstrip('/')}/budgetloom-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="budgetloom-"))
+    """A fresh folder for queries whose feature is a stored table, below the session's warehouse."""
+    return Warehouse(spark, f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/budgetloom-{uuid.uuid4().hex}")
+
+
+def years(spark: SparkSession, sf: str) -> list[int]:
+    """The years of the planning extract. The DuckDB text names its years, so others than those are an error."""
+    shipped = spark.read.parquet(f"{sf}/lineitem.parquet").select(F.year("l_shipdate").alias("y")).dropna().distinct().collect()
+    found = sorted(r["y"] for r in shipped)
+    if not set(found) <= set(YEARS):
+        raise ValueError(f"years outside {YEARS[0]} to {YEARS[-1]}: {sorted(set(found) - set(YEARS))}")
+    return found
+
+
+def file_ids(spark: SparkSession, sf: str) -> list[str]:
+    found = derive(spark, sf, RECORDS)[RECORDS].select("fk_accr_file_id").dropna().distinct().collect()
+    return sorted(r["fk_accr_file_id"] for r in found)
 
 
 def _stage1(spark: SparkSession, sf: str) -> DataFrame:
-    return budget_stage.stage1(derive(spark, sf, "clvr_level0_extract")["clvr_level0_extract"], YEARS)
+    return budget_stage.stage1(derive(spark, sf, "clvr_level0_extract")["clvr_level0_extract"], years(spark, sf))
 
 
 def _stage2(spark: SparkSession, sf: str) -> DataFrame:
     t = derive(spark, sf, *STAGE_TABLES)
-    return budget_stage.stage2(budget_stage.stage1(t["clvr_level0_extract"], YEARS), t)
-
-
-def _stage2_table(spark: SparkSession, sf: str) -> DataFrame:
-    """Stage 2 as a stored table, as the job keeps it: the contract rules read it twice."""
-    rows = _stage2(spark, sf).withColumn("er_hyperion_stage_2_id", surrogate_key(1))
-    return scratch(spark).refresh("er_hyperion_stage_2", rows)
+    return budget_stage.stage2(budget_stage.stage1(t["clvr_level0_extract"], years(spark, sf)), t)
 
 
 def stage1_refresh(spark: SparkSession, sf: str) -> DataFrame:
@@ -111,7 +117,7 @@ def _map_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 
 
 def _contracts(spark: SparkSession, sf: str) -> DataFrame:
-    return contract_map.with_application(contract_map.candidates(_stage2_table(spark, sf)), _map_tables(spark, sf))
+    return contract_map.with_application(contract_map.candidates(_stage2(spark, sf)), _map_tables(spark, sf))
 
 
 def _matches(spark: SparkSession, sf: str) -> DataFrame:
@@ -139,7 +145,7 @@ def contract_fallback(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def contract_keys(spark: SparkSession, sf: str) -> DataFrame:
-    return contract_map.contract_map(_stage2_table(spark, sf), _map_tables(spark, sf))
+    return contract_map.contract_map(_stage2(spark, sf), _map_tables(spark, sf))
 
 
 def xref_codes(spark: SparkSession, sf: str) -> DataFrame:
@@ -162,12 +168,12 @@ def contract_class(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def whole_fact(spark: SparkSession, sf: str) -> DataFrame:
-    rows = pipeline.fact_rows(_stage2_table(spark, sf), derive(spark, sf, *DIM_TABLES, "er_dm_hyp_pc_xref", *MAP_TABLES, *CLASS_TABLES))
+    rows = pipeline.fact_rows(_stage2(spark, sf), derive(spark, sf, *DIM_TABLES, "er_dm_hyp_pc_xref", *MAP_TABLES, *CLASS_TABLES))
     return rows.select(*STAGE2_KEYS, "revenue_date_dim_id", "budget_amt_usd", *DIM_KEYS, "contract_dim_id", *CLASS_KEYS)
 
 
 def budget_by_class(spark: SparkSession, sf: str) -> DataFrame:
-    rows = pipeline.fact_rows(_stage2_table(spark, sf), derive(spark, sf, *DIM_TABLES, "er_dm_hyp_pc_xref", *MAP_TABLES, *CLASS_TABLES))
+    rows = pipeline.fact_rows(_stage2(spark, sf), derive(spark, sf, *DIM_TABLES, "er_dm_hyp_pc_xref", *MAP_TABLES, *CLASS_TABLES))
     amount = F.sum("budget_amt_usd").cast("decimal(38,2)").alias("amt")
     return rows.groupBy("revenue_year", *CLASS_KEYS).agg(F.count(F.lit(1)).alias("n_rows"), amount)
 
@@ -175,8 +181,9 @@ def budget_by_class(spark: SparkSession, sf: str) -> DataFrame:
 def fact_year_replace(spark: SparkSession, sf: str) -> DataFrame:
     """Build every year, then replace one of them by itself: the table must come out as if built once."""
     wh, t = scratch(spark), derive(spark, sf, *BUDGET_TABLES)
-    pipeline.build_budget_fact(wh, t, YEARS, RUN_TS)
-    pipeline.build_budget_fact(wh, t, YEARS[0], RUN_TS)
+    every = years(spark, sf)
+    pipeline.build_budget_fact(wh, t, every, RUN_TS)
+    pipeline.build_budget_fact(wh, t, every[0], RUN_TS)
     measures = ["revenue_year", "revenue_date_dim_id", "contract_dim_id", *DIM_KEYS, "budget_amt_usd", *CLASS_KEYS]
     return wh.read("budget_fact").select(*measures)
 
@@ -223,11 +230,9 @@ def accrual_verdict(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def accrual_file_errors(spark: SparkSession, sf: str) -> DataFrame:
-    """The errors of each submitted file, every file checked by a scan of its own."""
-    files = [_errors(spark, sf, file_id=f) for f in "12345"]
-    rows = files[0]
-    for more in files[1:]:
-        rows = rows.unionByName(more)
+    """The errors of each submitted file: the first by a scan of its own, the others in one pass."""
+    first = file_ids(spark, sf)[0]
+    rows = _errors(spark, sf, file_id=first).unionByName(_errors(spark, sf).filter(F.col("fk_accr_file_id") != first))
     return rows.groupBy("fk_accr_file_id", "rule_id").agg(F.count(F.lit(1)).alias("n_errors"))
 
 
@@ -248,17 +253,17 @@ def accrual_audit_log(spark: SparkSession, sf: str) -> DataFrame:
     t = derive(spark, sf, RECORDS, *ACCRUAL_TABLES)
     wh = scratch(spark)
     accrual_load.insert_accruals(wh, t[RECORDS], RUN_TS)
-    for f in "12345":
+    for f in file_ids(spark, sf):
         accrual_load.validate_accruals(wh, t, f, RUN_TS)
     return wh.read("er_accural_log").select("er_accrual_load_num", "status", "comments")
 
 
 def comparable(query: Query) -> Query:
-    """The same rows with amounts as doubles, which every client of the two engines renders alike."""
+    """The same rows with amounts as text, so that every digit and the declared scale are compared."""
 
     def run(spark: SparkSession, sf: str) -> DataFrame:
         df = query(spark, sf)
-        return df.select(*[F.col(c).cast("double").alias(c) if t.startswith("decimal") else F.col(c) for c, t in df.dtypes])
+        return df.select(*[F.col(c).cast("string").alias(c) if t.startswith("decimal") else F.col(c) for c, t in df.dtypes])
 
     return run
 

@@ -81,6 +81,18 @@ def test_several_business_classes(spark):
     with pytest.raises(Exception, match="more than one business class"):
         classify.with_classes(t["contract_dim"].select("contract_dim_id"), t).collect()
     assert classify.with_classes(t["contract_dim"].select("contract_dim_id"), t, "max").first()["business_classification_dim_id"] == 81
+    unnamed = spark.createDataFrame([(-1,)], "contract_dim_id long")
+    assert classify.with_classes(unnamed, t).first()["business_classification_dim_id"] == -1  # several classes of a contract that no row names
+
+
+def test_years_outside_are_refused(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    both = inputs(spark, {"jan_amt": Decimal(1)}, {"feb_amt": Decimal(2), "clvr_fiscal_year_mbr": "FY25"})
+    build_budget_fact(wh, both, [2024, 2025], RUN)
+    before = facts(wh)
+    with pytest.raises(Exception, match="outside the years to replace"):
+        wh.replace_years("budget_fact", wh.read("budget_fact").withColumn("revenue_year", F.lit(2026)), [2024])
+    assert facts(wh) == before
 
 
 def test_class_defaults(spark):
