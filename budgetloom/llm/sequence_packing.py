@@ -30,7 +30,7 @@ DIMS, CURVE_BITS = 4, 12
 PLAIN = re.compile("[\t\n\r\x20-\x7e¡-įı-ſ]*")
 LETTER, NUMBER = "a-zªµºß-öø-ſ", "0-9²³¹¼-¾"
 #: The tokenizer's own word pattern for such characters.
-WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[{NUMBER}]|[^\\s{LETTER}{NUMBER}]+")
+WORDS = re.compile(f"[{LETTER}]+|'(?:s|t|re|ve|m|ll|d)|[{NUMBER}]|[^\\s{LETTER}{NUMBER}]+")
 CACHE_WORDS = 400_000
 _STATE: dict = {}
 
@@ -44,20 +44,34 @@ class WordCache(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.control = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
-        if self.tokenizer.get_vocab_size() > 65536:
-            raise ValueError("a vocabulary of at most 65,536 ids is expected")
-
-    def encode(self, text: str) -> bytes:
-        if not PLAIN.fullmatch(text) or not unicodedata.is_normalized("NFC", text) or any(c in text for c in self.control):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
-        words = WORDS.findall(text.lower())
-        new = [w for w in set(words) if w not in self]
+        vocabulary = self.tokenizer.get_vocab()
+        if max(vocabulary.values()) > 65535:
+            raise ValueError("ids of at most 16 bits are expected")
+        self.ends = np.zeros(65536, bool)  # ids that end a word
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+
+    def learn(self, words: list[str]) -> None:
+        """All new words in one text: white space separates them, and the ids that end a word tell them apart."""
+        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u2")
+        cuts = (2 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+        raw = ids.tobytes()
+        self.update(zip(words, map(raw.__getitem__, map(slice, [0, *cuts[:-1]], cuts)), strict=True))
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text; null is the empty text."""
+        split = [WORDS.findall(t.lower()) if t and self.is_plain(t) else None for t in texts]
+        words = set().union(*filter(None, split))
+        new = [w for w in words if w not in self]
         if len(self) + len(new) > CACHE_WORDS:
             self.clear()
-            new = list(set(words))
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False) if new else (), strict=True):
-            self[w] = np.array(e.ids, "<u2").tobytes()
-        return b"".join(map(self.__getitem__, words))
+            new = list(words)
+        for at in range(0, len(new), 20_000):
+            self.learn(new[at : at + 20_000])
+        whole = lambda t: np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u2").tobytes() if t else b""
+        return [whole(t) if s is None else b"".join(map(self.__getitem__, s)) for t, s in zip(texts, split, strict=True)]
+
+    def is_plain(self, text: str) -> bool:
+        return PLAIN.fullmatch(text) is not None and (text.isascii() or unicodedata.is_normalized("NFC", text)) and not any(c in text for c in self.control)
 
 
 def word_cache(path: str) -> WordCache:
@@ -106,7 +120,7 @@ def tokenised(docs: DataFrame, key: str, text: str, tokenizer: str, end_id: int)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):  # small batches: ids and vectors of few texts at once
                 part = batch.slice(at, 256)
-                ids = [cache.encode(t) + end if t else end for t in part.column(2).to_pylist()]
+                ids = [i + end for i in cache.encode_all(part.column(2).to_pylist())]
                 vectors = [_vector(np.frombuffer(i, "<u2"), table) for i in ids]
                 columns = [part.column(0), part.column(1), pa.array(ids, pa.binary()), pa.array([len(i) // 2 for i in ids], pa.int64())]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(vectors, pa.list_(pa.float64()))], ["row", "id", "ids", "n_tokens", "v"])
@@ -117,8 +131,8 @@ def tokenised(docs: DataFrame, key: str, text: str, tokenizer: str, end_id: int)
 
 def _vector(ids: np.ndarray, table: np.ndarray) -> list[float]:
     total = np.zeros(DIMS)
-    for at in range(0, len(ids), 65536):
-        total += table[ids[at : at + 65536]].sum(axis=0, dtype=np.float64)
+    for at in range(0, len(ids), 4096):
+        total += table[ids[at : at + 4096]].sum(axis=0)
     return (total / np.sqrt(len(ids))).tolist()
 
 
