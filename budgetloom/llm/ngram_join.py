@@ -13,7 +13,7 @@ Any table gives the same result; a better one gives fewer candidates.
 Only components are asked for, so a pair whose ends are connected already is not verified. First each document is
 verified against one pivot of each group (documents sharing a prefix shingle, of a size within the same band): the one
 with the fewest rare shingles, which is near the middle of a group of edited copies. Then every remaining pair between
-components is, so no link that could join two components is lost. Documents of the same words are one class all along.
+components is, if enough shingles match, so no link that could join two components is lost. Documents of the same words are one class all along.
 
 In a group of a frequent shingle, a pair that shares no rare prefix shingle has none of the pair's rare shingles in
 common (they come first, so the prefixes hold them all); the rest bounds their similarity and rules most pairs out.
@@ -33,34 +33,58 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from budgetloom.llm.common import stored
+from budgetloom.llm.common import likely, stored
 from budgetloom.llm.components import components
 from budgetloom.operators.lookup import attach
 
 LEVEL_BITS = 22
 CHUNK = 3_000_000
+BLOCK = 1 << 19
 _ODD = np.random.default_rng(23).integers(0, 1 << 63, 16, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        h = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
-        if len(self) < 400_000:
-            self[word] = h
-        return h
-
-
-_CACHE = _Hashes()
-
-
-def words_of(text: str | None) -> list[bytes]:
-    """bytes.lower and bytes.split know ASCII only."""
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
-
-
-def shingles(words: list[bytes], size: int = 5) -> np.ndarray:
-    """Sorted distinct 64-bit hashes."""
-    h = np.fromiter(map(_CACHE.__getitem__, words), np.uint64, len(words))
+#: Random values of bytes, A-Z like a-z, and powers of an odd number and of its inverse modulo 2^64.
+_BYTE = np.random.default_rng(29).integers(0, 1 << 63, 256, np.uint64)
+_BYTE[65:91] = _BYTE[97:123]
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_BASE = int(_ODD[15])
+_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    if len(_POWERS[0]) < n:
+        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            _POWERS[i] = np.concatenate((np.ones(1, np.uint64), np.cumprod(np.full(n, base, np.uint64))))
+    return _POWERS
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    """A 64-bit hash for each word of a text: a polynomial in its bytes, from differences of running sums."""
+    raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
+    out, begin = [], 0
+    while begin < len(raw):
+        end = min(len(raw), begin + BLOCK)
+        while end < len(raw) and not _SPACE[raw[end]]:  # a block ends between words
+            end += 1
+        out.append(_block_hashes(raw[begin:end]))
+        begin = end
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
+def _block_hashes(raw: np.ndarray) -> np.ndarray:
+    power, inverse = _powers(len(raw) + 1)
+    space = np.concatenate(([True], _SPACE[raw], [True]))
+    edge = np.flatnonzero(space[1:] != space[:-1])
+    start, end = edge[::2], edge[1::2]
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[raw] * power[: len(raw)], dtype=np.uint64)))
+    h = (sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64) * _ODD[14]
+    h = (h ^ (h >> np.uint64(32))) * _ODD[13]
+    return (h ^ (h >> np.uint64(29))) * _ODD[12]
+
+
+def shingles(h: np.ndarray, size: int = 5) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of runs of ``size`` words, given the words' hashes."""
     if len(h) == 0:
         return h
     width = min(size, len(h))
@@ -72,8 +96,8 @@ def shingles(words: list[bytes], size: int = 5) -> np.ndarray:
     return np.unique(out ^ (out >> np.uint64(29)))
 
 
-def class_key(words: list[bytes]) -> int:
-    return int.from_bytes(blake2b(b" ".join(words), digest_size=8).digest(), "little", signed=True)
+def class_key(words: np.ndarray) -> int:
+    return int.from_bytes(blake2b(words.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
 def frequent(docs: DataFrame, text: str, repeats: int = 3, entries: int = 1 << 17) -> np.ndarray:
@@ -93,7 +117,7 @@ def frequent(docs: DataFrame, text: str, repeats: int = 3, entries: int = 1 << 1
 
         for batch in batches:
             for t in batch.column(0).to_pylist():
-                words = words_of(t)
+                words = word_hashes(t)
                 key = class_key(words)
                 if key in seen:
                     continue
@@ -108,9 +132,9 @@ def frequent(docs: DataFrame, text: str, repeats: int = 3, entries: int = 1 << 1
 
     levels = np.zeros(1 << LEVEL_BITS, np.uint8)
     counted = docs.select(text).mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-    for r in counted.orderBy(F.desc("n"), "shingle").limit(entries).collect():
-        at = (r["shingle"] & ((1 << 64) - 1)) >> (64 - LEVEL_BITS)
-        levels[at] = max(levels[at], int(r["n"]).bit_length())
+    top = counted.orderBy(F.desc("n"), "shingle").limit(entries).toPandas()
+    at = top["shingle"].to_numpy(np.int64).view(np.uint64) >> np.uint64(64 - LEVEL_BITS)
+    np.maximum.at(levels, at, np.ceil(np.log2(top["n"].to_numpy(float) + 1)).astype(np.uint8))
     return levels
 
 
@@ -131,11 +155,11 @@ def prefixes(docs: DataFrame, key: str, text: str, levels: np.ndarray, per_cent:
             for at in range(0, batch.num_rows, 128):
                 part, out = batch.slice(at, 128), []
                 for i, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    words = words_of(t)
+                    words = word_hashes(t)
                     s = shingles(words)
                     n = len(s)
                     level = table[s >> np.uint64(64 - LEVEL_BITS)] if n else np.zeros(0, np.uint8)
-                    order = np.lexsort((s, level))
+                    order = np.argsort(level, kind="stable")  # the shingles are sorted
                     first = n - -(-n * per_cent // 100) + 1 if n else 0
                     cost = int((level[order[:first]] > 0).sum())
                     more = 0 if not cost else min(n - first, -(-n // 20) + cost // 2)  # costly prefixes are longer, and need more matches
@@ -196,21 +220,19 @@ def possible(n: Column, m: Column, per_cent: int) -> Column:
 
 def verified(pairs: DataFrame, docs: DataFrame, owners: DataFrame, key: str, text: str, per_cent: int) -> DataFrame:
     """The pairs (a, b) of classes whose shingle sets have the similarity. ``owners``: cid and the id of one document."""
-    wanted = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct().join(owners, "cid").select("id", "cid")
-    texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")).join(wanted, "id").select("cid", "text")
+    wanted = stored(pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct().join(owners, "cid").select("id", "cid"), "wanted")
+    texts = likely(docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")), F.col("id"), wanted, F.col("id"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
-                part, out = batch.slice(at, 128), []
-                for c, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    words = words_of(t)
-                    if class_key(words) == c:  # another row of the same id may hold another text
-                        out.append((c, shingles(words).tobytes()))
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in out], pa.int64()), pa.array([s for _, s in out], pa.binary())], ["cid", "s"])
-
-    found = stored(texts.mapInArrow(sets, "cid long, s binary").dropDuplicates(["cid"]), "shingle-sets")
+                words = [word_hashes(t) for t in batch.slice(at, 128).column(1).to_pylist()]
+                columns = [batch.slice(at, 128).column(0), pa.array([class_key(w) for w in words], pa.int64()), pa.array([shingles(w).tobytes() for w in words], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["i", "c", "s"])
+
+    # Another row of the same id may hold another text, so rows are met by id and class.
+    met = texts.mapInArrow(sets, "i long, c long, s binary").join(wanted, (F.col("i") == F.col("id")) & (F.col("c") == F.col("cid")))
+    found = stored(met.select("cid", "s").dropDuplicates(["cid"]), "shingle-sets")
     with_a = attach(pairs.select("a", "b"), found.select(F.col("cid").alias("x"), F.col("s").alias("s_a")), {"x": F.col("b")}, how="inner")
     with_b = attach(with_a, found.select(F.col("cid").alias("y"), F.col("s").alias("s_b")), {"y": F.col("a")}, how="inner")
 
@@ -230,11 +252,13 @@ def verified(pairs: DataFrame, docs: DataFrame, owners: DataFrame, key: str, tex
     return with_b.select("a", "b", "s_a", "s_b").mapInArrow(compare, "a long, b long")
 
 
-def star_pairs(members: DataFrame, per_cent: int) -> DataFrame:
-    """Distinct pairs (a, b), a > b, of a member and its group's pivot; pivots of open groups with one another's first."""
-    own = members.select(F.col("cid").alias("x"), F.col("pivot").alias("y"), "n")
+def star_pairs(members: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b), a > b, of a document and a pivot of many of its prefix shingles; where a group spreads over
+    tasks, of their pivots. Which pairs are taken only saves work: all others are looked at again among the open pairs."""
+    often = members.where("cid != pivot").groupBy("cid", "pivot").agg(F.count("*").alias("shared"), F.min("p").alias("p")).where("4 * shared >= p")
+    own = often.select(F.col("cid").alias("x"), F.col("pivot").alias("y"))
     heads = members.where("open").groupBy("shingle", "band").agg(F.min("pivot").alias("head"), F.max("pivot").alias("other")).where("head != other").select("shingle", "band", "head")
-    bridges = attach(members.where("open and cid = pivot"), heads.withColumnsRenamed({"shingle": "s", "band": "t"}), {"s": F.col("shingle"), "t": F.col("band")}, how="inner").select(F.col("cid").alias("x"), F.col("head").alias("y"), "n")
+    bridges = attach(members.where("open and cid = pivot"), heads.withColumnsRenamed({"shingle": "s", "band": "t"}), {"s": F.col("shingle"), "t": F.col("band")}, how="inner").select(F.col("cid").alias("x"), F.col("head").alias("y"))
     return own.unionByName(bridges).where("x != y").select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
 
 
@@ -264,7 +288,7 @@ def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     table = stored(prefixes(docs, key, text, frequent(docs, text), per_cent).where("id is not null"), "prefixes")
     owners = stored(table.where("n > 0").groupBy("cid").agg(F.min("id").alias("id")), "owners")
     members = stored(postings(table, per_cent), "postings")
-    first = stored(star_pairs(members, per_cent).join(sizes(table, "a", "n_a"), "a").join(sizes(table, "b", "n_b"), "b").where(possible(F.col("n_a"), F.col("n_b"), per_cent)).select("a", "b"), "pairs")
+    first = stored(star_pairs(members), "pairs")
     links = stored(verified(first, docs, owners, key, text, per_cent), "links")
     labels = stored(components(links), "labels")
     second = stored(open_pairs(members, labels, per_cent).join(first, ["a", "b"], "left_anti"), "pairs")
@@ -279,6 +303,3 @@ def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     sizes_of = table.groupBy("id").agg(F.max("n").alias("n_shingles"))
     return attach(sizes_of, found, {"i": F.col("id")}).select("id", "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
 
-
-def sizes(table: DataFrame, name: str, size: str) -> DataFrame:
-    return table.where("n > 0").groupBy(F.col("cid").alias(name)).agg(F.first("n").alias(size))
