@@ -196,10 +196,10 @@ def score(docs: DataFrame, training: DataFrame, text: str = "text", model_words:
     model = train_log_bilinear(texts, weights, end)
 
     symbol_of = np.array([i if i < words else words + shape(t) for i, (t, _) in enumerate(common)], np.int64)
-    sent = spark.sparkContext.broadcast((model, {t: i for i, (t, _) in enumerate(common)}, symbol_of, np.log10(np.array([n for _, n in common]) + 0.5)))
+    sent = spark.sparkContext.broadcast((model, {t: i for i, (t, _) in enumerate(common)}, symbol_of, np.log10(np.array([n for _, n in common]) + 0.5), np.array([n > 0 for _, n in common])))
 
     def evaluate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lm, index, symbol_of, log_count = sent.value
+        lm, index, symbol_of, log_count, counted = sent.value
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
@@ -213,7 +213,7 @@ def score(docs: DataFrame, training: DataFrame, text: str = "text", model_words:
                     shared, logs = line >= words, log_count[found]
                     logs[missing] = 0.0
                     lm_score = float(lm.log10_probability(line, end).sum(dtype=np.float64)) + float(logs[shared].sum()) - float(shape_log[line[shared] - words].sum())
-                    out.append((len(tokens), len(tokens) - len(missing), float(logs.sum()), lm_score, [{"token": k, "n": v} for k, v in Counter(rare).items()]))
+                    out.append((len(tokens), int((counted[found] & (found >= 0)).sum()), float(logs.sum()), lm_score, [{"token": k, "n": v} for k, v in Counter(rare).items()]))
                 yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array([r[i] for r in out], k) for i, k in enumerate(kinds_out)]], ["row", "n_tokens", "n_common", "base", "lm", "rare"])
 
     kinds_out = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.struct([("token", pa.binary()), ("n", pa.int64())])))

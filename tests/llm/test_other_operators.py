@@ -100,8 +100,8 @@ def test_packing_keeps_every_id_once(spark):
         assert len(ids) == r.length and r.offset == sequences.get(r.sequence_id, 0)
         sequences[r.sequence_id] = r.offset + r.length
         if r.start == 0:
-            streams.setdefault(r.doc_id, []).append([])
-        streams[r.doc_id][-1] += ids
+            streams.setdefault(r.id, []).append([])
+        streams[r.id][-1] += ids
     assert Counter((d, tuple(s)) for d, several in streams.items() for s in several) == want
     assert sorted(sequences) == list(range(len(sequences))) and all(n == 256 for s, n in sequences.items() if s < len(sequences) - 1)
     assert sequence_packing.pack(docs.limit(0), "doc_id", "text", path, END_ID).count() == 0
