@@ -262,8 +262,18 @@ def star_pairs(members: DataFrame) -> DataFrame:
     return own.unionByName(bridges).where("x != y").select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
 
 
-def open_pairs(members: DataFrame, labels: DataFrame, per_cent: int) -> DataFrame:
-    """Pairs (a, b), a > b, that share prefix shingles, lie in two components, and can still reach the similarity."""
+def prefix_ends(table: DataFrame, side: str) -> DataFrame:
+    """For each class: what its prefix leaves open, and where it ends in the global order (exactly, while it is rare)."""
+    end = F.struct((F.col("n") - F.size("prefix")).alias("rest"), F.element_at("common", -1).alias("common"), F.shiftrightunsigned(F.element_at("prefix", -1), 1).alias("last"))
+    return table.where("n > 0").groupBy(F.col("cid").alias(side)).agg(F.first(end).alias(f"end_{side}"))
+
+
+def open_pairs(members: DataFrame, labels: DataFrame, table: DataFrame, per_cent: int) -> DataFrame:
+    """Pairs (a, b), a > b, that share prefix shingles, lie in two components, and can still reach the similarity.
+
+    All shingles that two sets share up to the end of the prefix that ends first are counted; beyond it, they share no
+    more than that set has left. Where prefixes end among frequent shingles, the larger rest counts.
+    """
     named = attach(members, labels.withColumnRenamed("node", "m"), {"m": F.col("cid")}).withColumn("comp", F.coalesce("component", "cid")).select("shingle", "common", "cid", "n", "rare", "p", "comp")
     mixed = named.groupBy("shingle").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select(F.col("shingle").alias("s"))
     left = stored(attach(named, mixed, {"s": F.col("shingle")}, how="left_semi"), "open-groups")
@@ -277,10 +287,13 @@ def open_pairs(members: DataFrame, labels: DataFrame, per_cent: int) -> DataFram
         F.count_if(~F.col("a.common")).alias("shared_rare"),
         F.min(need).alias("need"),
         F.min(frequent_only >= need).alias("counted"),
-        F.min(F.greatest(F.col("a.n") - F.col("a.p"), F.col("b.n") - F.col("b.p"))).alias("rest"),
     )
+    counted = counted.join(prefix_ends(table, "a"), "a").join(prefix_ends(table, "b"), "b")
+    exact = ~F.col("end_a.common") & ~F.col("end_b.common") & (F.col("end_a.last") != F.col("end_b.last"))
+    first = F.when(F.col("end_a.last") < F.col("end_b.last"), F.col("end_a.rest")).otherwise(F.col("end_b.rest"))
+    rest = F.when(exact, first).otherwise(F.greatest("end_a.rest", "end_b.rest"))
     # A pair whose frequent matches were left out above is not held to the number of matches.
-    return counted.where((~F.col("counted") & (F.col("shared_rare") > 0)) | (F.col("shared") + F.col("rest") >= F.col("need"))).select("a", "b")
+    return counted.where((~F.col("counted") & (F.col("shared_rare") > 0)) | (F.col("shared") + rest >= F.col("need"))).select("a", "b")
 
 
 def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text", per_cent: int = 80) -> DataFrame:
@@ -291,7 +304,7 @@ def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     first = stored(star_pairs(members), "pairs")
     links = stored(verified(first, docs, owners, key, text, per_cent), "links")
     labels = stored(components(links), "labels")
-    second = stored(open_pairs(members, labels, per_cent).join(first, ["a", "b"], "left_anti"), "pairs")
+    second = stored(open_pairs(members, labels, table, per_cent).join(first, ["a", "b"], "left_anti"), "pairs")
     more = verified(second, docs, owners, key, text, per_cent)
     named = table.where("n > 0").select("id", "cid")
     several = named.groupBy("id").agg(F.min("cid").alias("b"), F.max("cid").alias("z")).where("b != z").select(F.col("id").alias("i"), "b")
