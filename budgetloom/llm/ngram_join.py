@@ -18,6 +18,9 @@ components is, if enough shingles match, so no link that could join two componen
 In a group of a frequent shingle, a pair that shares no rare prefix shingle has none of the pair's rare shingles in
 common (they come first, so the prefixes hold them all); the rest bounds their similarity and rules most pairs out.
 
+Before the sets of a pair are fetched, two to four bits for each shingle tell how much they can share at most: a bit
+that only one set has stands for a shingle that only it has. Pairs that cannot reach the threshold end there.
+
 Defined results: null texts and texts without words have no shingles, are linked with nothing, and are components of
 their own; fewer than five words are one shingle, the whole sequence. Repeated rows of one id are one node. A null id
 is left out. Words split at the six ASCII white-space characters; A-Z are lower-cased.
@@ -96,6 +99,21 @@ def shingles(h: np.ndarray, size: int = 5) -> np.ndarray:
     return np.unique(out ^ (out >> np.uint64(29)))
 
 
+def bitmap(s: np.ndarray) -> bytes:
+    """A bit for each shingle of a set, at the low bits of its hash; two to four bits a shingle, and 64 at least."""
+    bits = np.zeros(1 << max(6, (2 * len(s)).bit_length()), bool)
+    bits[s & np.uint64(len(bits) - 1)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def most_shared(u: bytes, n: int, v: bytes, m: int) -> int:
+    """The most shingles that sets of n and m with these bitmaps can share. The larger bitmap is folded to the smaller."""
+    a, b = sorted((np.frombuffer(u, np.uint8), np.frombuffer(v, np.uint8)), key=len)
+    sizes = (n, m) if len(u) <= len(v) else (m, n)
+    b = np.bitwise_or.reduce(b.reshape(-1, len(a)), axis=0)
+    return min(size - int(np.bitwise_count(x & ~y).sum()) for size, x, y in zip(sizes, (a, b), (b, a), strict=True))
+
+
 def class_key(words: np.ndarray) -> int:
     return int.from_bytes(blake2b(words.tobytes(), digest_size=8).digest(), "little", signed=True)
 
@@ -144,12 +162,12 @@ def least_overlap(n: Column, m: Column, per_cent: int) -> Column:
 
 
 def prefixes(docs: DataFrame, key: str, text: str, levels: np.ndarray, per_cent: int) -> DataFrame:
-    """id, cid (class), n, rare (shingles of level 0), p (prefix length), prefix (hashes), common (are they frequent)."""
+    """id, cid (class), n, rare (shingles of level 0), prefix (hashes), common (are they frequent), bits (bitmap of the set)."""
     sent = docs.sparkSession.sparkContext.broadcast(levels)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["id", "cid", "n", "rare", "prefix", "common"]
-        types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_())]
+        names = ["id", "cid", "n", "rare", "prefix", "common", "bits"]
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.binary()]
         table = sent.value
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
@@ -164,11 +182,11 @@ def prefixes(docs: DataFrame, key: str, text: str, levels: np.ndarray, per_cent:
                     cost = int((level[order[:first]] > 0).sum())
                     more = 0 if not cost else min(n - first, -(-n // 20) + cost // 2)  # costly prefixes are longer, and need more matches
                     chosen = order[: first + more]
-                    out.append((i, class_key(words), n, int((level == 0).sum()), s[chosen].view(np.int64), level[chosen] > 0))
+                    out.append((i, class_key(words), n, int((level == 0).sum()), s[chosen].view(np.int64), level[chosen] > 0, bitmap(s)))
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), types, strict=True)], names)
 
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(cut, "id long, cid long, n long, rare long, prefix array<long>, common array<boolean>")
+    return rows.mapInArrow(cut, "id long, cid long, n long, rare long, prefix array<long>, common array<boolean>, bits binary")
 
 
 def postings(table: DataFrame, per_cent: int) -> DataFrame:
@@ -218,9 +236,26 @@ def possible(n: Column, m: Column, per_cent: int) -> Column:
     return F.least(n, m) * 100 >= F.greatest(n, m) * per_cent
 
 
+def promising(pairs: DataFrame, owners: DataFrame, per_cent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose bitmaps leave the similarity possible. ``owners``: cid, n and bits."""
+    sketch = F.struct("n", "bits")
+    with_a = attach(pairs.select("a", "b"), owners.select(F.col("cid").alias("x"), sketch.alias("s_a")), {"x": F.col("a")}, how="inner")
+    with_b = attach(with_a, owners.select(F.col("cid").alias("y"), sketch.alias("s_b")), {"y": F.col("b")}, how="inner")
+
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, u, m, v = (batch.column(i).to_pylist() for i in range(2, 6))
+            most = [most_shared(x, i, y, j) for x, i, y, j in zip(u, n, v, m, strict=True)]
+            keep = [k for k, shared in enumerate(most) if 100 * shared >= per_cent * (n[k] + m[k] - shared)]
+            if keep:
+                yield batch.select([0, 1]).take(pa.array(keep))
+
+    return with_b.select("a", "b", "s_a.n", "s_a.bits", F.col("s_b.n").alias("m"), F.col("s_b.bits").alias("v")).mapInArrow(bound, "a long, b long")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, owners: DataFrame, key: str, text: str, per_cent: int) -> DataFrame:
     """The pairs (a, b) of classes whose shingle sets have the similarity. ``owners``: cid and the id of one document."""
-    wanted = stored(pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct().join(owners, "cid").select("id", "cid"), "wanted")
+    wanted = stored(pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct().join(owners.select("cid", "id"), "cid").select("id", "cid"), "wanted")
     texts = likely(docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")), F.col("id"), wanted, F.col("id"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -299,12 +334,12 @@ def open_pairs(members: DataFrame, labels: DataFrame, table: DataFrame, per_cent
 def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text", per_cent: int = 80) -> DataFrame:
     """id, n_shingles, component_id: the smallest id that links reach. One row for each id."""
     table = stored(prefixes(docs, key, text, frequent(docs, text), per_cent).where("id is not null"), "prefixes")
-    owners = stored(table.where("n > 0").groupBy("cid").agg(F.min("id").alias("id")), "owners")
+    owners = stored(table.where("n > 0").groupBy("cid").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bits").alias("bits")), "owners")
     members = stored(postings(table, per_cent), "postings")
-    first = stored(star_pairs(members), "pairs")
+    first = stored(promising(star_pairs(members), owners, per_cent), "pairs")
     links = stored(verified(first, docs, owners, key, text, per_cent), "links")
     labels = stored(components(links), "labels")
-    second = stored(open_pairs(members, labels, table, per_cent).join(first, ["a", "b"], "left_anti"), "pairs")
+    second = stored(promising(open_pairs(members, labels, table, per_cent).join(first, ["a", "b"], "left_anti"), owners, per_cent), "pairs")
     more = verified(second, docs, owners, key, text, per_cent)
     named = table.where("n > 0").select("id", "cid")
     several = named.groupBy("id").agg(F.min("cid").alias("b"), F.max("cid").alias("z")).where("b != z").select(F.col("id").alias("i"), "b")

@@ -4,6 +4,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -233,6 +234,16 @@ def test_similar_components_of_empty_and_repeated_rows(spark):
     assert {r.id: r.component_id for r in ngram_join.similar_components(rows).collect()} == {1: 1, 2: 1, 3: 1}
 
 
+def test_bitmaps_never_understate_what_sets_share():
+    rng = np.random.default_rng(3)
+    for n, m, shared in [(1, 1, 1), (1, 1, 0), (33, 31, 30), (500, 640, 500), (1000, 1000, 0), (2000, 1030, 900), (5000, 40, 40)]:
+        every = np.unique(rng.integers(0, 1 << 63, 3 * (n + m), np.uint64))
+        drawn = rng.permutation(every)[: n + m - shared]
+        bound = ngram_join.most_shared(ngram_join.bitmap(drawn[:n]), n, ngram_join.bitmap(drawn[n - shared :]), m)
+        assert shared <= bound <= min(n, m)
+        assert bound < 0.8 * n or shared > 0.5 * n or n == 1
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(10, 40)] + [(5, 3), (3, 3), (7, None)]
     got = {r.node: r.component for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
