@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from budgetloom.llm.common import stored
+from budgetloom.llm.common import likely, stored
 from budgetloom.operators.lookup import attach
 
 STEP = 16
@@ -82,6 +82,8 @@ def tree(turn_rows: DataFrame, tokenizer: str, pattern: str, loss_role: str = "a
     """Nodes in depth-first order: path, root, depth, start (in the stream), n_tokens, position, ids, loss_start and
     loss_end (tokens of the node under the loss mask), ancestors (array of intervals of the stream, from the root)."""
     distinct = turn_rows.groupBy("path").agg(F.first("depth").alias("depth"), F.first("role").alias("role"), F.first("text").alias("text"))
+    # Range-partitioned before the encoding, as Spark runs twice what it samples for the ranges.
+    ranged = distinct.select("path", "depth", "role", "text").repartitionByRange("path").withColumn("part", F.spark_partition_id())
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoding(tokenizer, pattern)
@@ -93,22 +95,55 @@ def tree(turn_rows: DataFrame, tokenizer: str, pattern: str, loss_role: str = "a
                     end = len(head) + len(body)
                     out.append((head + body + own.encode_ordinary(CLOSE), len(head) if who == loss_role else end, end))
                 ids = pa.array([x[0] for x in out], pa.list_(pa.int32()))
-                columns = [part.column(0), part.column(1), ids, pa.array([len(x[0]) for x in out], pa.int64()), *[pa.array([x[i] for x in out], pa.int32()) for i in (1, 2)]]
-                yield pa.RecordBatch.from_arrays(columns, ["path", "depth", "ids", "n_tokens", "loss_start", "loss_end"])
+                columns = [part.column(0), part.column(1), part.column(4), ids, pa.array([len(x[0]) for x in out], pa.int64()), *[pa.array([x[i] for x in out], pa.int32()) for i in (1, 2)]]
+                yield pa.RecordBatch.from_arrays(columns, ["path", "depth", "part", "ids", "n_tokens", "loss_start", "loss_end"])
 
-    nodes = distinct.select("path", "depth", "role", "text").mapInArrow(encode, "path string, depth int, ids array<int>, n_tokens long, loss_start int, loss_end int")
-    ranged = stored(nodes.repartitionByRange("path").withColumn("part", F.spark_partition_id()), "chat-nodes")
-    before = ranged.groupBy("part").agg(F.sum("n_tokens").alias("total")).select("part", (F.sum("total").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("total")).alias("before"))
+    nodes = stored(ranged.mapInArrow(encode, "path string, depth int, part int, ids array<int>, n_tokens long, loss_start int, loss_end int"), "chat-nodes")
+    before = nodes.groupBy("part").agg(F.sum("n_tokens").alias("total")).select("part", (F.sum("total").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("total")).alias("before"))
     within = Window.partitionBy("part").orderBy("path").rowsBetween(Window.unboundedPreceding, 0)
-    places = ranged.select("path", "depth", "part", "n_tokens").withColumn("until", F.sum("n_tokens").over(within)).join(before, "part")
-    places = stored(places.select("path", "depth", (F.col("before") + F.col("until") - F.col("n_tokens")).alias("start"), (F.col("before") + F.col("until")).alias("end")), "chat-places")
-    above = places.where("depth > 0").select("path", F.explode(F.sequence(F.lit(1), F.col("depth"))).alias("n")).select("path", F.expr(f"substring(path, 1, n * {STEP})").alias("above"))
-    found = attach(above, places.select(F.col("path").alias("a"), "start", "end"), {"a": F.col("above")}, how="inner")
-    ancestors = found.groupBy("path").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("ancestors"))
-    full = ranged.select("path", "depth", "ids", "n_tokens", "loss_start", "loss_end").join(places.select("path", "start"), "path").join(ancestors, "path", "left")
-    listed = F.coalesce("ancestors", F.array().cast("array<struct<start:bigint,end:bigint>>"))
-    position = F.aggregate(listed, F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
-    return full.select("path", F.substring("path", 1, STEP).alias("root"), "depth", "start", "n_tokens", position.alias("position"), "ids", "loss_start", "loss_end", listed.alias("ancestors"))
+    placed = nodes.withColumn("until", F.sum("n_tokens").over(within)).join(before, "part").withColumn("end", F.col("before") + F.col("until"))
+    places = stored(placed.select("part", "path", "depth", (F.col("end") - F.col("n_tokens")).alias("start"), "end", "ids", "n_tokens", "loss_start", "loss_end"), "chat-places")
+    return with_ancestors(places)
+
+
+def with_ancestors(places: DataFrame) -> DataFrame:
+    """Positions and ancestor intervals, from one pass over each range of paths with the nodes above the last one at hand.
+
+    What lies above a range's first path is in earlier ranges; these few nodes are looked up and go before the range.
+    """
+    heads = places.groupBy("part").agg(F.min("path").alias("head")).where(F.length("head") > STEP)
+    levels = F.explode(F.sequence(F.lit(1), (F.length("head") / STEP - 1).cast("int"))).alias("n")
+    wanted = stored(heads.select(F.col("part").alias("range"), "head", levels).select("range", F.expr(f"substring(head, 1, n * {STEP})").alias("above")), "chat-heads")
+    held = likely(places.select("path", "depth", "start", "end"), F.col("path"), wanted, F.col("above"))
+    earlier = held.join(wanted, F.col("path") == F.col("above")).select(F.col("range").alias("part"), "path", "depth", "start", "end", F.lit(False).alias("own"))
+    rows = places.withColumn("own", F.lit(True)).unionByName(earlier, allowMissingColumns=True)
+    ordered = rows.repartition("part").sortWithinPartitions("part", "path").select("own", "part", "depth", "start", "end", "path", "n_tokens", "ids", "loss_start", "loss_end")
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, above = None, []  # of the node before: start, end and position of each node down to it
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part, keep, positions, starts, ends, cuts = batch.slice(at, 256), [], [], [], [], [0]
+                for i, (own, of, depth, start, end) in enumerate(zip(*(part.column(c).to_pylist() for c in range(5)), strict=True)):
+                    if of != now:
+                        now, above = of, []
+                    del above[depth:]
+                    if len(above) != depth:
+                        raise ValueError("a node comes before its parent")
+                    position = above[-1][2] + above[-1][1] - above[-1][0] if above else 0
+                    if own:
+                        keep.append(i)
+                        positions.append(position)
+                        starts.extend(x[0] for x in above)
+                        ends.extend(x[1] for x in above)
+                        cuts.append(len(starts))
+                    above.append((start, end, position))
+                intervals = pa.StructArray.from_arrays([pa.array(starts, pa.int64()), pa.array(ends, pa.int64())], ["start", "end"])
+                taken = part.select(["path", "depth", "start", "n_tokens", "ids", "loss_start", "loss_end"]).take(pa.array(keep, pa.int64()))
+                yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(positions, pa.int64()), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), intervals)], [*taken.schema.names, "position", "ancestors"])
+
+    kinds = "path string, depth int, start long, n_tokens long, ids array<int>, loss_start int, loss_end int, position long, ancestors array<struct<start:long,end:long>>"
+    return ordered.mapInArrow(walk, kinds).select("path", F.substring("path", 1, STEP).alias("root"), "depth", "start", "n_tokens", "position", "ids", "loss_start", "loss_end", "ancestors")
 
 
 def format_chats(rows: DataFrame, tokenizer: str, pattern: str, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> tuple[DataFrame, DataFrame]:

@@ -63,6 +63,21 @@ def test_shared_turns_are_emitted_once_and_attention_covers_ancestors(spark):
         assert r.position == sum(a.n_tokens for a in above)
 
 
+def test_ancestors_are_found_across_ranges_of_paths(spark):
+    rows = [(c, t, "user", f"turn {t}" if t < 3 * c else f"own {c} {t}") for c in range(12) for t in range(40)]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        nodes, _ = chat_format.format_chats(spark.createDataFrame(rows, CHAT_SCHEMA), RANKS, PATTERN)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    by_path = {r.path: r for r in nodes.collect()}
+    assert len(by_path) == 33 + sum(40 - 3 * c for c in range(12))
+    for r in by_path.values():
+        above = [by_path[r.path[: 16 * k]] for k in range(1, r.depth + 1)]
+        assert [tuple(x) for x in r.ancestors] == [(a.start, a.start + a.n_tokens) for a in above]
+        assert r.position == sum(a.n_tokens for a in above)
+
+
 @pytest.mark.parametrize("text", ["", "\\", "<\\|", "</s>", "[INST]\\[/INST]", "\\\\<|x|>", "<<SYS>>", "<" * 5 + "|", "<s<s>>"])
 def test_escaping_is_reversible_and_leaves_no_control_string(text):
     escaped = chat_format.escape(text)
