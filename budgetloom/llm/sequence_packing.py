@@ -60,7 +60,8 @@ class WordCache(dict):
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text; null is the empty text."""
         split = [WORDS.findall(t.lower()) if t and self.is_plain(t) else None for t in texts]
-        words = set().union(*filter(None, split))
+        ids = [self.known(s) if s is not None else None for s in split]
+        words = set().union(*[s for s, i in zip(split, ids, strict=True) if s and i is None])
         new = [w for w in words if w not in self]
         if len(self) + len(new) > CACHE_WORDS:
             self.clear()
@@ -68,7 +69,14 @@ class WordCache(dict):
         for at in range(0, len(new), 20_000):
             self.learn(new[at : at + 20_000])
         whole = lambda t: np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u2").tobytes() if t else b""
-        return [whole(t) if s is None else b"".join(map(self.__getitem__, s)) for t, s in zip(texts, split, strict=True)]
+        return [i if i is not None else whole(t) if s is None else b"".join(map(self.__getitem__, s)) for t, s, i in zip(texts, split, ids, strict=True)]
+
+    def known(self, words: list[str]) -> bytes | None:
+        """The ids of the words, or nothing where one is new."""
+        try:
+            return b"".join(map(self.__getitem__, words))
+        except KeyError:
+            return None
 
     def is_plain(self, text: str) -> bool:
         return PLAIN.fullmatch(text) is not None and (text.isascii() or unicodedata.is_normalized("NFC", text)) and not any(c in text for c in self.control)
@@ -132,7 +140,7 @@ def tokenised(docs: DataFrame, key: str, text: str, tokenizer: str, end_id: int)
 def _vector(ids: np.ndarray, table: np.ndarray) -> list[float]:
     total = np.zeros(DIMS)
     for at in range(0, len(ids), 4096):
-        total += table[ids[at : at + 4096]].sum(axis=0)
+        total += table.take(ids[at : at + 4096], axis=0).sum(axis=0)
     return (total / np.sqrt(len(ids))).tolist()
 
 
