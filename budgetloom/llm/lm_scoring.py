@@ -1,11 +1,13 @@
 """Language-model scoring: a log-bilinear model, trained with noise-contrastive estimation, and smoothed unigrams.
 
 Tokens are the words of a text between white space, A-Z in lower case, and one end token for each text. Counts of all
-tokens of the training rows are gathered by Spark. The ``model_words`` most frequent tokens are symbols of the model;
+tokens of the training rows are gathered by Spark. The ``model_words`` (at most: the table of normalisers has a row for
+each) most frequent tokens are symbols of the model;
 the others share a symbol for each shape (how they end, and whether they are ASCII). Two context symbols give a
 vector by linear maps; its products with the symbols' vectors plus biases are the scores. Noise-contrastive estimation
-fits all of it on a bounded sample of training texts (``max_train_docs`` texts, ``max_train_tokens`` tokens). The
-normalisers of all pairs of context symbols come from batched matrix products, so probabilities sum to one. A token
+fits all of it on all training rows, in tasks: each partition takes its steps over whole texts, whose repeated trigrams
+are counted first, and the parameters are averaged between rounds. Which texts share a partition moves the averages a
+little; no row is drawn or left out. The normalisers of all pairs of context symbols come from batched matrix products, so probabilities sum to one. A token
 of a shape has the shape's probability times its smoothed share of the shape's counts (one event is kept for the
 unseen), so a text's probability covers every token.
 
@@ -18,6 +20,7 @@ the model is the uniform share of the one unseen event. Repeated rows are counte
 
 from __future__ import annotations
 
+import copy
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -34,6 +37,11 @@ from budgetloom.llm.common import stored
 END = b""
 SHAPES = 10
 FLUSH = 400_000
+#: With the shapes, as many symbols as a table of normalisers of 16 MB has rows.
+MODEL_WORDS = 2048 - SHAPES
+FLUSH_KEYS = 4_000_000
+MOST_TIMES = 16
+SLICE = 4096
 
 
 def tokens_of(text: str | None) -> list[bytes]:
@@ -89,73 +97,155 @@ class LogBilinear:
 
 
 def train_log_bilinear(texts: list[np.ndarray], counts: np.ndarray, end: int, dims: int = 24, epochs: int = 3, batch: int = 1024, noise: int = 200, rate: float = 0.08, seed: int = 5) -> LogBilinear:
+    """The model of texts that one process holds."""
+    fit = Estimation(counts, dims, batch, noise, rate, seed)
+    keys, times = repeated(np.concatenate([trigram_keys(t, end) for t in texts]) if texts else np.zeros(0, np.int64))
+    for r in range(epochs):
+        fit.learn(keys, times, np.random.default_rng((seed, r)))
+    return fit.model()
+
+
+def trigram_keys(symbols: np.ndarray, end: int) -> np.ndarray:
+    """For each symbol of a text: itself, the one before and the one before that, in one number."""
+    s = np.concatenate(([end, end], symbols)).astype(np.int64)
+    return s[2:] << 32 | s[1:-1] << 16 | s[:-2]
+
+
+def repeated(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in random order, with how often each comes; those of more than ``MOST_TIMES`` in several entries."""
+    unique, n = np.unique(keys, return_counts=True)
+    entries = -(-n // MOST_TIMES)
+    order = np.random.default_rng(len(unique)).permutation(int(entries.sum()))
+    return np.repeat(unique, entries)[order], np.repeat((n / entries).astype(np.float32), entries)[order]
+
+
+class Estimation:
     """Noise-contrastive estimation in numpy, with Adagrad steps; a batch shares its noise symbols, drawn by their counts."""
-    rng = np.random.default_rng(seed)
-    size = len(counts)
-    share = (counts + 0.5) / (counts + 0.5).sum()
-    log_noise = np.log(noise * share).astype(np.float32)
-    words, near_map, far_map, output = (rng.normal(0, 0.1, s).astype(np.float32) for s in ((size, dims), (dims, dims), (dims, dims), (size, dims)))
-    near_map += np.eye(dims, dtype=np.float32)
-    bias = np.log(share).astype(np.float32)
-    parts = {"words": words, "near": near_map, "far": far_map, "output": output, "bias": bias}
-    history = {k: np.full(v.shape, 1e-4, np.float32) for k, v in parts.items()}
-
-    def step(name: str, at: np.ndarray | slice, g: np.ndarray) -> None:
-        history[name][at] += g * g
-        parts[name][at] -= rate * g / np.sqrt(history[name][at])
-
-    def by_symbol(at: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        order = np.argsort(at, kind="stable")
-        unique, first = np.unique(at[order], return_index=True)
-        return unique, np.add.reduceat(g[order], first, axis=0)
-
-    streams = [np.concatenate(([end, end], t)).astype(np.int64) for t in texts if len(t)]
-    targets = np.concatenate([s[2:] for s in streams]) if streams else np.zeros(0, np.int64)
-    before = np.concatenate([s[1:-1] for s in streams]) if streams else targets
-    farther = np.concatenate([s[:-2] for s in streams]) if streams else targets
-    cumulative = np.cumsum(share)
-    for _ in range(epochs):
-        order = rng.permutation(len(targets))
-        for at in range(0, len(order), batch):
-            i = order[at : at + batch]
-            w, n, f = targets[i], before[i], farther[i]
-            drawn = np.minimum(np.searchsorted(cumulative, rng.random(noise)), size - 1)
-            h = words[n] @ near_map + words[f] @ far_map
-            d_true = -1 / (1 + np.exp(np.einsum("ij,ij->i", h, output[w]) + bias[w] - log_noise[w]))
-            d_noise = 1 / (1 + np.exp(-(h @ output[drawn].T + bias[drawn] - log_noise[drawn])))
-            scale = np.float32(1 / len(i))
-            d_true, d_noise = d_true.astype(np.float32) * scale, d_noise.astype(np.float32) * scale
-            g_h = d_true[:, None] * output[w] + d_noise @ output[drawn]
-            g_n, g_f = g_h @ near_map.T, g_h @ far_map.T
-            g_near, g_far = words[n].T @ g_h, words[f].T @ g_h
-            touched, g_out = by_symbol(np.concatenate((w, drawn)), np.concatenate((d_true[:, None] * h, d_noise.T @ h)))
-            _, g_bias = by_symbol(np.concatenate((w, drawn)), np.concatenate((d_true, d_noise.sum(axis=0))))
+
+    def __init__(self, counts: np.ndarray, dims: int, batch: int, noise: int, rate: float, seed: int) -> None:
+        rng = np.random.default_rng(seed)
+        size = len(counts)
+        share = (counts + 0.5) / (counts + 0.5).sum()
+        self.batch, self.noise, self.rate, self.seed = batch, noise, np.float32(rate), seed
+        self.log_noise, self.cumulative = np.log(noise * share).astype(np.float32), np.cumsum(share)
+        shapes = {"words": (size, dims), "near": (dims, dims), "far": (dims, dims), "output": (size, dims), "bias": (size,)}
+        self.shapes = shapes
+        self.values = np.concatenate([rng.normal(0, 0.1, s).astype(np.float32).ravel() for s in shapes.values()])
+        self.history = np.full(len(self.values), 1e-4, np.float32)
+        parts = self.parts(self.values)
+        parts["near"] += np.eye(dims, dtype=np.float32)
+        parts["bias"][:] = np.log(share)
+
+    def parts(self, flat: np.ndarray) -> dict[str, np.ndarray]:
+        """Views of a vector of all parameters."""
+        ends = np.cumsum([int(np.prod(s)) for s in self.shapes.values()])
+        return {k: x.reshape(s) for (k, s), x in zip(self.shapes.items(), np.split(flat, ends[:-1]), strict=True)}
+
+    def learn(self, keys: np.ndarray, times: np.ndarray, rng: np.random.Generator) -> None:
+        """One pass over trigrams; each counts as often as ``times`` says."""
+        now, past = self.parts(self.values), self.parts(self.history)
+        words, near_map, far_map, output, bias = now.values()
+        one = np.float32(1)
+
+        def step(name: str, at: np.ndarray | slice, g: np.ndarray) -> None:
+            h = past[name][at] + g * g
+            past[name][at] = h
+            now[name][at] -= self.rate * g / np.sqrt(h)
+
+        def by_symbol(at: np.ndarray, *g: np.ndarray) -> list[np.ndarray]:
+            order = np.argsort(at, kind="stable")
+            at = at[order]
+            first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+            return [at[first], *(np.add.reduceat(x[order], first, axis=0) for x in g)]
+
+        order = rng.permutation(len(keys))
+        for begin in range(0, len(order), self.batch):
+            i = order[begin : begin + self.batch]
+            w, n, f = (keys[i] >> 32).astype(np.uint16), (keys[i] >> 16 & 0xFFFF).astype(np.uint16), (keys[i] & 0xFFFF).astype(np.uint16)
+            drawn = np.minimum(np.searchsorted(self.cumulative, rng.random(self.noise)), len(bias) - 1).astype(np.uint16)
+            v_n, v_f, v_w, v_drawn = words[n], words[f], output[w], output[drawn]
+            h = v_n @ near_map + v_f @ far_map
+            scale = times[i] / times[i].sum()
+            d_true = -scale / (one + np.exp(np.einsum("ij,ij->i", h, v_w) + bias[w] - self.log_noise[w]))
+            d_noise = h @ v_drawn.T
+            d_noise += bias[drawn] - self.log_noise[drawn]
+            np.exp(np.negative(d_noise, out=d_noise), out=d_noise)
+            d_noise += one
+            np.divide(scale[:, None], d_noise, out=d_noise)
+            g_h = d_true[:, None] * v_w + d_noise @ v_drawn
+            g_near, g_far = v_n.T @ g_h, v_f.T @ g_h
+            touched, g_out, g_bias = by_symbol(np.concatenate((w, drawn)), np.concatenate((d_true[:, None] * h, d_noise.T @ h)), np.concatenate((d_true, d_noise.sum(axis=0))))
             step("output", touched, g_out)
             step("bias", touched, g_bias)
-            step("words", *by_symbol(np.concatenate((n, f)), np.concatenate((g_n, g_f))))
+            step("words", *by_symbol(np.concatenate((n, f)), np.concatenate((g_h @ near_map.T, g_h @ far_map.T))))
             step("near", slice(None), g_near)
             step("far", slice(None), g_far)
-    near, far = words @ near_map, words @ far_map
-    return LogBilinear(near, far, output, bias, normalisers(near, far, output, bias))
+
+    def model(self) -> LogBilinear:
+        words, near_map, far_map, output, bias = self.parts(self.values).values()
+        near, far = words @ near_map, words @ far_map
+        return LogBilinear(near, far, output, bias, normalisers(near, far, output, bias))
+
+
+def learn_in_tasks(trigrams: DataFrame, fit: Estimation, rounds: int) -> None:
+    """``rounds`` passes of ``fit`` over all ``trigrams`` (key, times), each partition in its own task.
+
+    Between rounds Spark takes, slice by slice, the mean of what the partitions have made of each parameter, weighted
+    by the squared gradients that each has seen of it; what no partition has touched stays. The squared gradients go on
+    as their mean. A task holds ``FLUSH_KEYS`` entries and the parameters, the driver the parameters alone.
+    """
+    for r in range(rounds):
+        sent = trigrams.sparkSession.sparkContext.broadcast(fit)
+
+        def learn(batches: Iterator[pa.RecordBatch], r: int = r, sent=sent) -> Iterator[pa.RecordBatch]:
+            own, rng = copy.deepcopy(sent.value), np.random.default_rng((sent.value.seed, r))
+            held: list[tuple[np.ndarray, np.ndarray]] = []
+            entries = 0
+            for batch in batches:
+                held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+                entries += batch.num_rows
+                if sum(len(k) for k, _ in held) >= FLUSH_KEYS:
+                    own.learn(*map(np.concatenate, zip(*held, strict=True)), rng)
+                    held = []
+            if held:
+                own.learn(*map(np.concatenate, zip(*held, strict=True)), rng)
+            if entries:
+                mass = own.history - sent.value.history
+                moved = mass * (own.values - sent.value.values)
+                at = range(0, len(mass), SLICE)
+                yield pa.RecordBatch.from_arrays([pa.array([i // SLICE for i in at], pa.int32()), *[pa.array([x[i : i + SLICE].tobytes() for i in at], pa.binary()) for x in (moved, mass)]], ["slice", "moved", "mass"])
+
+        def mean(table: pa.Table) -> pa.Table:
+            moved, mass = (sum(np.frombuffer(x, np.float32).astype(np.float64) for x in table.column(c).to_pylist()) for c in ("moved", "mass"))
+            moved = (moved / np.where(mass > 0, mass, 1)).astype(np.float32)
+            mass = (mass / table.num_rows).astype(np.float32)
+            return pa.table({"slice": table.column("slice").slice(0, 1), "moved": pa.array([moved.tobytes()], pa.binary()), "mass": pa.array([mass.tobytes()], pa.binary())})
+
+        schema = "slice int, moved binary, mass binary"
+        for row in trigrams.select("key", "times").mapInArrow(learn, schema).groupBy("slice").applyInArrow(mean, schema).collect():
+            at = slice(row["slice"] * SLICE, (row["slice"] + 1) * SLICE)
+            fit.values[at] += np.frombuffer(row["moved"], np.float32)
+            fit.history[at] += np.frombuffer(row["mass"], np.float32)
+        sent.destroy()
 
 
 def normalisers(near: np.ndarray, far: np.ndarray, output: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    """log sum over the symbols of exp(score), for all pairs of context symbols: one matrix product for each row."""
+    """log sum over the symbols of exp(score), for all pairs of context symbols: one matrix product for each 64 rows."""
     out = np.empty((len(near), len(far)), np.float32)
     base = far @ output.T + bias
     top = base.max(axis=1, keepdims=True)
     from_far = np.exp(base - top)
-    for i in range(len(near)):
-        a = near[i] @ output.T
-        high = a.max()
-        out[i] = np.log(from_far @ np.exp(a - high)) + high + top[:, 0]
+    for i in range(0, len(near), 64):
+        a = near[i : i + 64] @ output.T
+        high = a.max(axis=1, keepdims=True)
+        out[i : i + 64] = np.log(np.exp(a - high) @ from_far.T) + high + top[:, 0]
     return out
 
 
-def score(docs: DataFrame, training: DataFrame, text: str = "text", model_words: int = 1000, common_words: int = 1 << 17, max_train_docs: int = 1500, max_train_tokens: int = 1_500_000) -> DataFrame:
+def score(docs: DataFrame, training: DataFrame, text: str = "text", model_words: int = MODEL_WORDS, common_words: int = 1 << 17, max_train_docs: int | None = None, rounds: int = 3) -> DataFrame:
     """``docs`` without its text, with n_tokens, n_known, train_tokens, base_score and score (log10).
 
-    Columns of ``docs`` with these names are replaced.
+    Columns of ``docs`` with these names are replaced. ``max_train_docs`` has no effect any more: all rows are learned.
     """
     spark = docs.sparkSession
     counts = stored(count_tokens(training, text), "token-counts")
@@ -182,18 +272,27 @@ def score(docs: DataFrame, training: DataFrame, text: str = "text", model_words:
     def symbols_of(text: str | None) -> np.ndarray:
         return np.array([symbols[t] if t in symbols else words + shape(t) for t in [*tokens_of(text), END]], np.uint16)
 
-    def samples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        size = 0
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([symbols_of(t)[:max_train_tokens].tobytes() for t in batch.column(1).to_pylist()], pa.binary())], ["h", "s"])
-
-    part = min(1.0, max_train_docs / max(1, totals["texts"] or 1))
-    drawn = training.select(F.xxhash64(text).alias("h"), text).where(F.pmod("h", F.lit(1 << 32)) < int(part * (1 << 32)))
-    texts, left = [], max_train_tokens
-    for r in sorted(drawn.mapInArrow(samples, "h long, s binary").limit(2 * max_train_docs).collect(), key=lambda r: (r["h"], r["s"])):
-        texts.append(np.frombuffer(r["s"], np.uint16)[:left])
-        left -= len(texts[-1])
-    weights = np.concatenate(([n for _, n in common[:words]], shape_tokens))
-    model = train_log_bilinear(texts, weights, end)
+            for t in batch.column(0).to_pylist():
+                held.append(trigram_keys(symbols_of(t), end))
+                size += len(held[-1])
+                if size >= FLUSH_KEYS:
+                    yield from entries(held)
+                    held, size = [], 0
+        if held:
+            yield from entries(held)
+
+    def entries(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        keys, times = repeated(np.concatenate(held))
+        for i in range(0, len(keys), 50_000):
+            yield pa.RecordBatch.from_arrays([pa.array(keys[i : i + 50_000]), pa.array(times[i : i + 50_000])], ["key", "times"])
+
+    fit = Estimation(np.concatenate(([n for _, n in common[:words]], shape_tokens)), dims=24, batch=1024, noise=200, rate=0.08, seed=5)
+    learn_in_tasks(stored(training.select(text).mapInArrow(trigrams, "key long, times float"), "trigrams"), fit, rounds)
+    model = fit.model()
 
     symbol_of = np.array([i if i < words else words + shape(t) for i, (t, _) in enumerate(common)], np.int64)
     sent = spark.sparkContext.broadcast((model, {t: i for i, (t, _) in enumerate(common)}, symbol_of, np.log10(np.array([n for _, n in common]) + 0.5), np.array([n > 0 for _, n in common])))

@@ -195,6 +195,15 @@ def test_lm_without_training_rows(spark):
     assert lm_scoring.score(docs.limit(0), docs).count() == 0
 
 
+def test_lm_learns_what_stands_after_the_first_million_tokens(spark):
+    """A pair of words that only the tail of a long text has, and a text after it."""
+    long = "a " * 1_600_000 + "b c " * 20_000
+    train = spark.createDataFrame([(1, long), (2, "d e " * 5_000)], "doc_id long, text string")
+    docs = spark.createDataFrame([(3, "b c " * 10), (4, "d e " * 10)], "doc_id long, text string")
+    got = lm_scoring.score(docs, train).collect()
+    assert all(r.score > r.base_score + 5 for r in got), got
+
+
 def test_every_operator_has_one_query():
     names = [n for n in entry_points.queries() if n.startswith("op")]
     assert names == list(OPERATORS) and [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
