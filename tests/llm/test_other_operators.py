@@ -204,6 +204,12 @@ def test_lm_learns_what_stands_after_the_first_million_tokens(spark):
     assert all(r.score > r.base_score + 5 for r in got), got
 
 
+def test_lm_learns_texts_among_many_nulls(spark):
+    train = spark.createDataFrame([(i, None) for i in range(4000)] + [(i, "b c " * 20) for i in range(4000, 5000)], "doc_id long, text string")
+    got = lm_scoring.score(spark.createDataFrame([(1, "b c " * 20)], "doc_id long, text string"), train).first()
+    assert got.score > got.base_score + 5
+
+
 def test_every_operator_has_one_query():
     names = [n for n in entry_points.queries() if n.startswith("op")]
     assert names == list(OPERATORS) and [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
