@@ -21,6 +21,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def row_key(key: str, text: str) -> Column:
+    """What tells rows apart: the id, which may be null or repeated, and 16 bytes of the text's SHA-256. A null text is an empty one."""
+    return F.struct(F.col(key).alias("id"), F.substring(F.unhex(F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")), 256)), 1, 16).alias("digest"))
+
+
 def share(key: str, parts: int) -> Column:
     """crc32 of an id written as text, modulo ``parts``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % parts

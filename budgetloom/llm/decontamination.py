@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from budgetloom.llm.common import likely, stored
+from budgetloom.llm.common import likely, row_key, stored
 from budgetloom.operators.lookup import attach
 
 TOKEN = re.compile(r"\w+")
@@ -151,6 +151,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: s
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **settings) -> DataFrame:
-    """``docs`` without those that overlap with any item."""
-    bad = overlaps(docs, benchmark, key, text, **settings).select(F.col(key).alias("_bad")).distinct()
-    return docs.join(bad, F.col(key).eqNullSafe(F.col("_bad")), "left_anti")
+    """``docs`` without those that overlap with any item. Each row is judged by its own text, whatever its id."""
+    rows = docs.withColumn("_row", row_key(key, text))
+    bad = overlaps(rows, benchmark, "_row", text, **settings).select(F.col("_row").alias("_bad")).distinct()
+    return rows.join(bad, F.col("_row").eqNullSafe(F.col("_bad")), "left_anti").select(*docs.columns)

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from budgetloom.llm.common import likely, stored
+from budgetloom.llm.common import likely, row_key, stored
 from budgetloom.operators.lookup import attach
 
 SPACE = r"[\x20\x09-\x0D]+"
@@ -130,12 +130,14 @@ def line_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", min_wo
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = 8, drop_empty: bool = False) -> DataFrame:
     """``docs`` with the dropped lines taken out of their texts. ``drop_empty`` also leaves out documents that had lines
-    with words and lost all of them."""
-    _, drops = dropped_lines(docs, key, text, min_words)
+    with words and lost all of them. Rows with equal id and text are one document here; other rows of one id, or without
+    one, are documents of their own, those of one id in the order of their texts' hashes."""
+    columns, docs = docs.columns, docs.withColumn("_row", row_key(key, text))
+    _, drops = dropped_lines(docs, "_row", text, min_words)
     gone = drops.groupBy(F.col("doc").alias("_d")).agg(F.collect_set("line").alias("_gone"))
-    joined = docs.join(gone, F.col(key).eqNullSafe(F.col("_d")), "left")
+    joined = docs.join(gone, F.col("_row").eqNullSafe(F.col("_d")), "left")
     left = F.filter(F.split(F.col(text).cast("string"), "\n"), lambda _, i: ~F.array_contains("_gone", i))
     cleaned = joined.withColumn("_text", F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(left, "\n")))
     if drop_empty:
         cleaned = cleaned.where(F.col("_gone").isNull() | F.col("_text").rlike(r"[^\x20\x09-\x0D]"))
-    return cleaned.select(*[F.col("_text").alias(c) if c == text else F.col(c) for c in docs.columns])
+    return cleaned.select(*[F.col("_text").alias(c) if c == text else F.col(c) for c in columns])

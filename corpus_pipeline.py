@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from budgetloom.llm import decontamination, language_id, line_dedup, ngram_join, sequence_packing
-from budgetloom.llm.common import documents, work_dir
+from budgetloom.llm.common import documents, stored, work_dir
 from budgetloom.llm.queries import END_ID, WORD_BPE, with_package
+from budgetloom.operators.lookup import attach
 
 MIN_LANGUAGE_SCORE = 0.5
 
@@ -26,9 +27,19 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each component of similar documents; documents without an id stay."""
-    found = ngram_join.similar_components(docs).where("id != component_id").select(F.col("id").alias("_copy"))
-    return docs.join(found, F.col("doc_id") == F.col("_copy"), "left_anti")
+    """The document with the smallest id of each component of similar documents, null before all others.
+
+    Documents are told apart by a hash of id and text, so those without an id or with a repeated one are compared too;
+    rows with equal id and text stay or go together.
+    """
+    rows = docs.withColumn("_key", F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.coalesce("text", F.lit(""))))
+    found = stored(ngram_join.similar_components(rows, "_key"), "components")
+    several = found.where("id != component_id").select(F.col("component_id").alias("c")).distinct()
+    members = stored(attach(found, several, {"c": F.col("component_id")}, how="left_semi").select("id", "component_id"), "members")
+    named = rows.select("_key", "doc_id").join(members, F.col("_key") == F.col("id"))
+    kept = named.groupBy(F.col("component_id").alias("c")).agg(F.min(F.struct("doc_id", "_key")).alias("kept"))
+    copies = attach(members, kept, {"c": F.col("component_id")}, how="inner").where("id != kept._key").select(F.col("id").alias("_copy"))
+    return rows.join(copies, F.col("_key") == F.col("_copy"), "left_anti").select(*docs.columns)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

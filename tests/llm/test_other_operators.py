@@ -244,3 +244,23 @@ def test_pipeline_keeps_columns_and_clean_documents(spark):
         now = spark.createDataFrame(now.collect(), now.schema)
     packed = corpus_pipeline.STAGES[-1][1](spark, now, SF)
     assert packed.select("doc_id").distinct().count() == now.count()
+
+
+def test_pipeline_stages_tell_rows_without_ids_and_with_repeated_ids_apart(spark):
+    words = lambda tag, n=60: " ".join(f"{tag}{i}" for i in range(n))
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    table = lambda rows: spark.createDataFrame([(i, t, None, None, None) for i, t in rows], schema)
+    texts = lambda df: sorted((r.doc_id is not None, r.doc_id or 0, r.text) for r in df.collect())
+    want = lambda rows: sorted((i is not None, i or 0, t) for i, t in rows)
+    stages = dict(corpus_pipeline.STAGES)
+    line, own = words("a", 12), words("b", 12)
+    rows = [(None, f"{line}\n{words('c', 9)}"), (None, f"{own}\n{line}"), (7, f"{line}\n{words('d', 9)}"), (7, words("e", 12))]
+    got = texts(stages["line_dedup"](spark, table(rows), SF))
+    assert sum(line in t for _, _, t in got) == 1
+    assert all(any(x in t for _, _, t in got) for x in (own, words("c", 9), words("d", 9), words("e", 12)))
+    rows = [(None, words("a")), (None, words("a") + " more"), (None, words("b")), (7, words("c")), (7, words("d")), (8, words("c"))]
+    got = texts(stages["ngram_jaccard"](spark, table(rows), SF))
+    assert len(got) == 4 and set(want([rows[2], rows[3], rows[4]])) < set(got)
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy(F.length("text").desc()).first().text
+    rows = [(None, f"x {item} y"), (None, words("a")), (7, f"x {item} z"), (7, words("b"))]
+    assert texts(stages["decontamination"](spark, table(rows), SF)) == want([rows[1], rows[3]])
