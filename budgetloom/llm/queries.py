@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from budgetloom.llm import chat_format, decontamination, language_id, line_dedup, lm_scoring, ngram_join, quality, secret_scan, sequence_packing, vector_search
+from budgetloom.llm import chat_format, conversation_repair, decontamination, language_id, line_dedup, lm_scoring, ngram_join, quality, secret_scan, sequence_packing, spelling, suffix_dedup, vector_search
 from budgetloom.llm.common import documents, share, work_dir
 
 WORD_BPE, END_ID = "word_bpe_49k.json", 2
@@ -84,6 +84,21 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.removed_spans(documents(spark, sf_dir))
+    return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.word_counts(documents(spark, sf_dir), damage=31)
+    return spelling.variant_forms(words)
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return conversation_repair.repair(conversation_repair.damaged(rows), rows)
+
+
 def with_package(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     """The query, run so that Python workers find this package where the driver has it."""
 
@@ -97,5 +112,5 @@ def with_package(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[S
 
 
 OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: with_package(f) for f in (op1_line_dedup, op2_secret_scan, op3_language_id, op4_decontamination, op5_chat_format, op6_packing, op7_exact_top_k, op8_ngram_jaccard, op9_quality, op10_lm_scoring)
+    f.__name__: with_package(f) for f in (op1_line_dedup, op2_secret_scan, op3_language_id, op4_decontamination, op5_chat_format, op6_packing, op7_exact_top_k, op8_ngram_jaccard, op9_quality, op10_lm_scoring, op11_suffix_dedup, op12_spelling_variants, op13_conversation_repair)
 }

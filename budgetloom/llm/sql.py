@@ -70,4 +70,39 @@ reach AS (SELECT doc_id AS id, doc_id AS c FROM documents UNION SELECT links.b,
 SELECT s.doc_id, len(s.s) AS n_shingles, min(r.c) AS component_id FROM sets s JOIN reach r ON r.id = s.doc_id GROUP BY ALL
 """
 
-ORACLES = {"op1_line_dedup": LINE_DEDUP, "op2_secret_scan": SECRET_SCAN, "op7_exact_top_k": EXACT_TOP_K, "op8_ngram_jaccard": NGRAM_JACCARD}
+SUFFIX_DEDUP = """
+WITH texts AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+parts AS (SELECT doc_id, c, substr(x, 1000 * c + 1, 1098) AS y FROM (SELECT doc_id, x, unnest(range(0, len(x) // 1000 + 1)) AS c FROM texts)),
+strings AS (SELECT doc_id, 500 * c + i AS p, substr(y, 2 * i + 1, 100) AS s FROM (SELECT *, unnest(range(0, least(len(y) // 2 - 49, 500))) AS i FROM parts)),
+firsts AS (SELECT s, min(doc_id) AS first FROM strings GROUP BY s HAVING min(doc_id) < max(doc_id)),
+hits AS (SELECT DISTINCT doc_id, p FROM strings JOIN firsts USING (s) WHERE first < doc_id),
+runs AS (SELECT doc_id, p, sum(CASE WHEN p <= before + 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY p) AS run
+  FROM (SELECT *, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before FROM hits)),
+spans AS (SELECT doc_id, min(p) AS b, max(p) + 50 AS e FROM runs GROUP BY doc_id, run),
+gaps AS (SELECT doc_id, lag(e, 1, 0) OVER (PARTITION BY doc_id ORDER BY b) AS b, b AS e FROM spans
+  UNION ALL SELECT t.doc_id, coalesce(max(s.e), 0), len(any_value(t.x)) // 2 FROM texts t LEFT JOIN spans s USING (doc_id) GROUP BY t.doc_id),
+kept AS (SELECT doc_id, string_agg(substr(x, 2 * b + 1, 2 * (e - b)), '' ORDER BY b) AS k FROM gaps JOIN texts USING (doc_id) GROUP BY doc_id)
+SELECT t.doc_id, len(x) // 2 AS n_bytes, (len(x) - len(k)) // 2 AS n_removed, (SELECT count(*) FROM spans s WHERE s.doc_id = t.doc_id) AS n_spans, sha256(from_hex(k)) AS kept_sha256
+FROM texts t JOIN kept USING (doc_id)
+"""
+
+SPELLING = """
+WITH RECURSIVE crc_table AS (
+  SELECT list(c ORDER BY i) AS crc FROM (SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i))),
+runs AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run FROM documents),
+counts AS (SELECT doc_id, run, count(*) AS n, hex(encode(doc_id || ':' || run)) AS x FROM runs WHERE len(run) >= 7 GROUP BY ALL),
+bytes AS (SELECT run, n, list_transform(range(1, len(x), 2), lambda i: (strpos('0123456789ABCDEF', x[i]) - 1) * 16 + strpos('0123456789ABCDEF', x[i + 1]) - 1) AS b FROM counts),
+hashes AS (SELECT run, n, xor(list_reduce(list_prepend(4294967295, b), lambda c, v: xor(c >> 8, crc[(xor(c, v) & 255) + 1])), 4294967295) AS h FROM bytes, crc_table),
+changed AS (SELECT CASE WHEN h % 31 = 0 THEN run[:h % len(run)] || run[h % len(run) + 2:] ELSE run END AS word, n FROM hashes),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM changed WHERE len(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+cut AS (SELECT word, n, p, word[:p - 1] || word[p + 1:] AS v FROM (SELECT *, unnest(range(1, len(word) + 1)) AS p FROM words)),
+pairs AS (SELECT a.word AS a, b.word AS b FROM cut a JOIN cut b ON a.v = b.v AND a.p = b.p AND len(a.word) = len(b.word) AND a.word <> b.word
+  UNION SELECT a.word, b.word FROM cut a JOIN words b ON a.v = b.word UNION SELECT b.word, a.word FROM cut a JOIN words b ON a.v = b.word),
+near AS (SELECT a AS word, count(*) AS n_near, min({'least': -w.n, 'other': b}) AS best FROM pairs JOIN words w ON w.word = b GROUP BY a),
+found AS (SELECT w.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -best.least >= 10 * n THEN best.other END AS form, CASE WHEN -best.least >= 10 * n THEN -best.least END AS form_n
+  FROM words w LEFT JOIN near USING (word)),
+ends AS (SELECT word, word AS root FROM found WHERE form IS NULL UNION ALL SELECT f.word, e.root FROM ends e JOIN found f ON f.form = e.word)
+SELECT word, form, root, n, n_near, form_n FROM found JOIN ends USING (word)
+"""
+
+ORACLES = {"op1_line_dedup": LINE_DEDUP, "op2_secret_scan": SECRET_SCAN, "op7_exact_top_k": EXACT_TOP_K, "op8_ngram_jaccard": NGRAM_JACCARD, "op11_suffix_dedup": SUFFIX_DEDUP, "op12_spelling_variants": SPELLING}
