@@ -21,7 +21,7 @@ from budgetloom.operators.lookup import attach
 
 #: Bytes of text of one batch, of one hashing step, rows of one sorting step, texts a task remembers, and the number of
 #: occurrences from which a gram's strings are told apart by all their bytes. None changes the result.
-BATCH_BYTES, SEGMENT, SORT_ROWS, REMEMBERED, HOT = 8 << 20, 1 << 20, 1 << 15, 1 << 18, 1000
+BATCH_BYTES, SEGMENT, SORT_ROWS, REMEMBERED, HOT = 8 << 20, 1 << 20, 1 << 13, 1 << 18, 1000
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
@@ -48,7 +48,7 @@ def _gram_hashes(data: np.ndarray, k: int) -> np.ndarray:
 
 
 def sampled_runs(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of positions whose strings share a sample: gram hash, first position, number of positions, bytes before the sample.
+    """Runs of positions whose strings share a sample: 48 bits of the gram's hash, first position, number of positions, bytes before the sample.
 
     ``data`` holds texts one after another, ``ends`` where they end. The sample of a string is its gram of least hash, the
     first of equal ones; it depends on nothing outside of the string.
@@ -74,7 +74,7 @@ def sampled_runs(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.nd
         a = (v[p] & _LOW).astype(np.int64)
         first = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (p[1:] != p[:-1] + 1)])
         lo, at = p[first], a[first]
-        found.append((g[at].view(np.int64), lo + s, np.diff(np.r_[first, len(p)]), at - lo))
+        found.append(((g[at] >> np.uint64(16)).view(np.int64), lo + s, np.diff(np.r_[first, len(p)]), at - lo))
     if not found:
         none = np.zeros(0, np.int64)
         return none, none, none, none
@@ -101,7 +101,7 @@ class _Batch:
         for digest, doc, text in zip(*(table.column(c).to_pylist() for c in ("digest", "id", "body"))):
             ids[digest] = min(doc, ids.get(digest, doc))
             if text is not None:
-                texts[digest] = text
+                texts[digest] = pa.decompress(text[4:], int.from_bytes(text[:4]), "zstd", asbytes=True)
         self.digests = sorted(texts)
         self.first = np.array([ids[d] for d in self.digests], np.int64)
         self.data = np.frombuffer(b"".join(texts[d] for d in self.digests), np.uint8)
@@ -213,26 +213,35 @@ class _Suffixes:
         up = np.multiply.accumulate(np.r_[np.uint64(1), np.full(max(n - 1, 0), BASE)])
         self.down = np.multiply.accumulate(np.r_[np.uint64(1), np.full(max(n - 1, 0), INVERSE)])
         self.sums = np.r_[np.uint64(0), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n])]
+        self.whole = self.hashes(np.arange(max(n - length + 1, 0)), length)
 
-    def equal(self, x: np.ndarray, y: np.ndarray, size) -> np.ndarray:
-        """Whether the first ``size`` bytes have equal hashes."""
-        return (self.sums[x + size] - self.sums[x]) * self.down[x] == (self.sums[y + size] - self.sums[y]) * self.down[y]
+    def hashes(self, x: np.ndarray, size: int | np.ndarray) -> np.ndarray:
+        """Hashes of the first ``size`` bytes, alike for equal bytes wherever they stand."""
+        return (self.sums[x + size] - self.sums[x]) * self.down[x]
 
     def order(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """-1, 0 or 1: a binary search finds the common extension, the byte after it decides."""
-        low, high = np.zeros(len(x), np.int64), np.full(len(x), self.length, np.int64)
-        for _ in range(self.length.bit_length()):
+        """-1, 0 or 1: where not all is equal, a binary search finds the common extension, and the byte after it decides."""
+        out = np.zeros(len(x), np.int8)
+        differ = np.flatnonzero(self.whole[x] != self.whole[y])
+        x, y = x[differ], y[differ]
+        x_sum, y_sum, x_down, y_down = self.sums[x], self.sums[y], self.down[x], self.down[y]
+        low, high = np.zeros(len(x), np.int64), np.full(len(x), self.length - 1, np.int64)
+        for _ in range((self.length - 1).bit_length()):
             middle = (low + high + 1) >> 1
-            same = self.equal(x, y, middle)
+            same = (self.sums[x + middle] - x_sum) * x_down == (self.sums[y + middle] - y_sum) * y_down
             low, high = np.where(same, middle, low), np.where(same, high, np.maximum(middle - 1, low))
-        ended = low >= self.length
-        step = np.minimum(low, self.length - 1)
-        return np.where(ended, 0, np.sign(self.data[x + step].astype(np.int16) - self.data[y + step].astype(np.int16)))
+        a, b = self.data[x + low], self.data[y + low]
+        out[differ] = (a > b).astype(np.int8) - (a < b)
+        return out
 
     def merge_sort(self, at: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Positions sorted within their classes; ``begin`` and ``size`` tell each element's class, which is contiguous."""
-        at, place, width = at.copy(), np.arange(len(at)) - begin, 1
-        live = np.flatnonzero(size > 1)
+        at, place = at.copy(), np.arange(len(at)) - begin
+        pair = np.flatnonzero((place % 2 == 0) & (place + 1 < size))  # runs of one element
+        pair = pair[self.order(at[pair + 1], at[pair]) < 0]
+        at[pair], at[pair + 1] = at[pair + 1], at[pair]
+        width = 2
+        live = np.flatnonzero(size > width)
         while len(live):
             own, first, total = place[live], begin[live], size[live]
             run = own // width
@@ -256,12 +265,13 @@ class _Suffixes:
     def same_as_before(self, at: np.ndarray) -> np.ndarray:
         """Whether each position's string equals that of the position before, byte for byte."""
         out = np.zeros(len(at), bool)
-        like = 1 + np.flatnonzero(self.equal(at[1:], at[:-1], self.length))
-        view = np.lib.stride_tricks.sliding_window_view(self.data, self.length) if len(like) else None
-        for s in range(0, len(like), 1 << 16):
-            i = like[s : s + (1 << 16)]
-            out[i] = (view[at[i]] == view[at[i - 1]]).all(axis=1)
-        if out.sum() < len(like):
+        like = 1 + np.flatnonzero(self.whole[at[1:]] == self.whole[at[:-1]])
+        words = np.ndarray(max(len(self.data) - 7, 0), "<u8", self.data.tobytes(), strides=(1,))  # eight bytes from every position on
+        same = np.ones(len(like), bool)
+        for step in [*range(0, self.length - 8, 8), self.length - 8] if len(like) else []:
+            same &= words[at[like] + step] == words[at[like - 1] + step]
+        out[like] = same
+        if not same.all():
             raise HashCollision
         return out
 
@@ -343,7 +353,7 @@ def _masks(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Record
 
 
 def _once_per_task(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
-    """Each text at its first occurrence in the task, and the least id of those that came again."""
+    """Each text, compressed, at its first occurrence in the task, and the least id of those that came again."""
     schema = pa.schema([("batch", pa.int32()), ("digest", pa.binary()), ("id", pa.int64()), ("body", pa.binary())])
     least: dict[bytes, int] = {}
     again: set[bytes] = set()
@@ -361,7 +371,7 @@ def _once_per_task(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa
                 least[digest] = min(doc, least[digest])
             else:
                 least[digest] = doc
-                out.append((int.from_bytes(digest[:7]) % parts, digest, doc, text))
+                out.append((int.from_bytes(digest[:7]) % parts, digest, doc, len(text).to_bytes(4) + pa.compress(text, "zstd", asbytes=True)))
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
         if len(least) > REMEMBERED:
