@@ -67,9 +67,9 @@ def budget_lines(extract: DataFrame, years: int | Iterable[int]) -> DataFrame:
         .filter(F.col("clvr_scenario_mbr") == "Budget")
         .filter(F.col("clvr_version_mbr") == "Final")
         .filter(F.col("clvr_fiscal_year_mbr").isin(*tags))
-        .filter((entity != "No_GC_Entity") & (entity != ""))
-        .filter((contract != "No_Customer") & (contract != ""))
-        .filter(~account.like("FX%") & (account != ""))
+        .filter(~entity.isin("No_GC_Entity", ""))
+        .filter(~contract.isin("No_Customer", ""))
+        .filter(~account.rlike(r"^(?:FX|\z)"))
         .withColumn("budget_year", year)
     )
 

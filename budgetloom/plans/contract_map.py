@@ -6,8 +6,6 @@ The rules look only at the contract text and the profit center, so they run once
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,17 +32,20 @@ NO_HYPHEN_OFFICES = (82, 97)
 TAIL_SECTION = ".._........YY-..-..-..-._..."
 
 
-# Contract texts that name no single contract (fixed values).
-NO_CONTRACT = ("%_NA", "CL_%", "Client%", "Unallocated%", "New_Client%", "Not_Available")
+# Contract texts that name no single contract: any character and NA at the end, or one of these beginnings, where a point
+# stands for any character (fixed values).
+NO_CONTRACT = r"(?s)^(?:CL.|Client|Unallocated|New.Client|Not.Available\z|.*.NA\z)"
 
 
 # --- candidates and application ------------------------------------------------------------------
 
 
 def candidates(stage_2: DataFrame) -> DataFrame:
-    """Distinct contracts that name a single contract, with their decoded reference."""
-    one_contract = reduce(lambda a, b: a & b, [~F.col("contract_dsc").like(p) for p in NO_CONTRACT])
-    return stage_2.filter(one_contract).select(*CONTRACT_KEYS).distinct()
+    """Distinct contracts that name a single contract, with their decoded reference.
+
+    One predicate names the text once: Spark copies the text's derivation into each reference it pushes down.
+    """
+    return stage_2.filter(~F.col("contract_dsc").rlike(NO_CONTRACT)).select(*CONTRACT_KEYS).distinct()
 
 
 def profit_center_apps(tables: dict[str, DataFrame]) -> DataFrame:
@@ -218,105 +219,83 @@ def with_search_keys(contracts: DataFrame) -> DataFrame:
 # --- what the contract dimension offers ----------------------------------------------------------
 
 
-def section_matches(dim: DataFrame) -> DataFrame:
-    """Trimmed reference -> largest id in the newest year known under the untrimmed reference."""
-    years = dim.groupBy(F.col("contract_ref").alias("key")).agg(F.max("under_writing_year").alias("uwy"))
-    ids = dim.groupBy(F.trim("contract_ref").alias("key"), F.col("under_writing_year").alias("uwy")).agg(F.max("contract_dim_id").alias("id"))
-    return ids.join(years, ["key", "uwy"]).select("key", F.lit("-").alias("key2"), "id")
-
-
-def prefix_matches(dim: DataFrame) -> DataFrame:
-    """First six characters -> the row with the smallest suffix in the latest effective year, -2 when several."""
-    ref = F.col("contract_ref")
-    rows = dim.select(
-        nz(F.substring(ref, 1, 6)).alias("key"), F.year("contract_eff_dt").alias("y"), nz(mid(ref, 7, 10)).alias("suffix"), "contract_dim_id"
-    ).dropna(subset=["key", "y"])
-    groups = rows.groupBy("key", "y", "suffix").agg(F.count(F.lit(1)).alias("n"), F.max("contract_dim_id").alias("id"))
-    best = groups.groupBy("key").agg(F.min(F.struct((-F.col("y")).alias("y"), F.col("suffix").isNull().alias("none"), "suffix", "n", "id")).alias("b"))
-    found = best.filter(F.col("b.suffix").isNotNull())
-    return found.select("key", F.lit("-").alias("key2"), F.when(F.col("b.n") > 1, F.lit(-2).cast("long")).otherwise(F.col("b.id")).alias("id"))
+MATCH_KEYS = ["kind", "key", "key2"]
 
 
-def latest_reference_matches(dim: DataFrame) -> DataFrame:
-    """Exact reference among the dated rows of its newest year -> its id, -2 when several."""
-    rows = dim.select(F.col("contract_ref").alias("key"), F.year("contract_eff_dt").alias("y"), "contract_dim_id").dropna(subset=["key", "y"])
-    found = rows.groupBy("key", "y").agg(F.count(F.lit(1)).alias("n"), F.max("contract_dim_id").alias("id"))
-    best = found.groupBy("key").agg(F.max(F.struct("y", "n", "id")).alias("b"))
-    return best.select("key", F.lit("-").alias("key2"), F.when(F.col("b.n") > 1, F.lit(-2).cast("long")).otherwise(F.col("b.id")).alias("id"))
-
+def match_index(dim: DataFrame, latest_year_only: bool = False) -> DataFrame:
+    """(kind, key, key2, id), at most one row per kind and keys: all a contract can be matched on.
 
-def newest_matches(dim: DataFrame, latest_year_only: bool = False) -> DataFrame:
-    """The matches that take the newest row of a key, all in one scan and one aggregation.
+    One scan gives each contract one entry per kind. Entries of equal standing are counted first, then the best standing
+    of each key is taken, so that the rows of a common key are reduced before they meet.
 
-    ``suffix``: first six and next three characters, newest date, an open date being newest. ``ref``: exact
-    reference with a date, -2 when several rows have it. ``budget``: budget reference, latest effective
-    year. ``budget_section`` and ``budget_uwy``: trimmed budget reference, with or without the section,
-    newest underwriting year. Ties go to the largest id.
+    ``section``: trimmed reference; the newest underwriting year that its untrimmed form has, of all rows of that year the
+    largest id. ``prefix``: first six characters; the smallest suffix in the latest effective year, -2 when several rows
+    have it, none when no row of that year has a suffix. ``suffix``: first six and next three characters; newest date, an
+    open date being newest. ``ref``: exact reference with a date, -2 when several rows have it (with ``latest_year_only``
+    only those of the newest year count). ``budget``: budget reference, latest effective year. ``budget_section`` and
+    ``budget_uwy``: trimmed budget reference, with or without the section, newest underwriting year. Ties go to the largest id.
     """
     ref, eff, budget, uwy = (F.col(c) for c in ("contract_ref", "contract_eff_dt", "budget_ref", "under_writing_year"))
-    year, trimmed, no = F.year(eff), F.trim(budget), F.lit("-")
+    year, trimmed, no, none = F.year(eff), F.trim(budget), F.lit("-"), F.lit(None).cast("string")
 
-    def entry(kind: str, keep: Column, key: Column, key2: Column, rank: Column, is_open: Column = F.lit(False)) -> Column:
-        parts = {"kind": F.lit(kind), "key": key, "key2": key2, "is_open": is_open, "rank": rank.cast("long")}
+    def entry(kind: str, keep: Column, key: Column, key2: Column, rank: Column, open_: Column = F.lit(False), sub: Column = none, known: Column = F.lit(True)) -> Column:
+        parts = {"kind": F.lit(kind), "key": key, "key2": key2, "open": open_, "rank": rank.cast("long"), "sub": sub, "known": known}
         return F.when(keep, F.struct(*[v.alias(k) for k, v in parts.items()]))
 
-    entries = [
-        entry("suffix", ref.isNotNull(), F.substring(ref, 1, 6), mid(ref, 7, 3), F.unix_seconds(eff.cast("timestamp")), eff.isNull()),
+    entries = F.array(
+        entry("section", uwy.isNotNull(), F.trim(ref), no, uwy, known=ref == F.trim(ref)),
+        entry("prefix", year.isNotNull(), F.substring(ref, 1, 6), no, year, sub=nz(mid(ref, 7, 10))),
+        entry("suffix", ref.isNotNull(), F.substring(ref, 1, 6), mid(ref, 7, 3), F.unix_seconds(eff.cast("timestamp")), open_=eff.isNull()),
+        entry("ref", year.isNotNull(), ref, no, year),
         entry("budget", year.isNotNull(), budget, no, year),
         entry("budget_section", uwy.isNotNull(), trimmed, F.col("section_number"), uwy),
         entry("budget_uwy", uwy.isNotNull(), trimmed, no, uwy),
-    ]
-    if not latest_year_only:
-        entries.append(entry("ref", year.isNotNull(), ref, no, year))
-    rows = dim.select(F.explode(F.array(*entries)).alias("e"), "contract_dim_id").select("e.*", "contract_dim_id")
-    rows = rows.filter((F.col("key") != "") & (F.col("key2") != ""))
-    best = rows.groupBy("kind", "key", "key2").agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.struct("is_open", "rank", "contract_dim_id")).alias("b")
     )
-    several = (F.col("kind") == "ref") & (F.col("n") > 1)
-    return best.select("kind", "key", "key2", F.when(several, F.lit(-2).cast("long")).otherwise(F.col("b.contract_dim_id")).alias("id"))
-
-
-def contract_matches(dim: DataFrame, latest_year_only: bool = False) -> DataFrame:
-    """(kind, key, key2, id), at most one row per kind and keys: all a contract can be matched on.
-
-    ``latest_year_only`` looks for exact references in the newest year alone; by default every dated row counts.
-    """
-    own = {"section": section_matches(dim), "prefix": prefix_matches(dim)}
-    if latest_year_only:
-        own["ref"] = latest_reference_matches(dim)
-    parts = [df.select(F.lit(kind).alias("kind"), "key", "key2", "id") for kind, df in own.items()]
-    return reduce(DataFrame.unionByName, parts, newest_matches(dim, latest_year_only))
+    rows = dim.select(F.explode(entries).alias("e"), "contract_dim_id").select("e.*", "contract_dim_id")
+    rows = rows.filter((F.col("key") != "") & (F.col("key2") != ""))
+    alike = rows.groupBy(*MATCH_KEYS, "open", "rank", "sub").agg(F.count(F.lit(1)).alias("n"), F.max("contract_dim_id").alias("id"), F.max("known").alias("known"))
+    standing = F.struct((~F.col("known")).alias("unknown"), (~F.col("open")).alias("closed"), (-F.col("rank")).alias("back"), F.col("sub").isNull().alias("bare"), "sub", "n", "id")
+    best = alike.groupBy(*MATCH_KEYS).agg(F.min(standing).alias("b"), F.sum("n").alias("n"))
+    kind = F.col("kind")
+    found = best.filter(~((kind == "section") & F.col("b.unknown")) & ~((kind == "prefix") & F.col("b.bare")))
+    counted = F.when(kind == "prefix", F.col("b.n")).when(kind == "ref", F.col("b.n") if latest_year_only else F.col("n")).otherwise(F.lit(1))
+    return found.select(*MATCH_KEYS, F.when(counted > 1, F.lit(-2).cast("long")).otherwise(F.col("b.id")).alias("id"))
 
 
 # --- putting both together -----------------------------------------------------------------------
 
 
-def _probe(rows: DataFrame, matches: DataFrame, kind: Column, key: Column, key2: Column, name: str) -> DataFrame:
-    """Add the matched id as ``name``. The build side has one row for each kind and keys."""
-    side = matches.withColumnsRenamed({"kind": "m_kind", "key": "m_key", "key2": "m_key2", "id": name})
-    return attach(rows, side, {"m_kind": kind, "m_key": key, "m_key2": key2})
+def find_contracts(keyed: DataFrame, index: DataFrame) -> DataFrame:
+    """Contracts with ``primary_id``, the application's own match (NULL: none, -2: ambiguous), and ``back_id``, the match
+    on the budget reference that is tried when the primary one finds nothing.
 
-
-def primary_match(keyed: DataFrame, matches: DataFrame) -> DataFrame:
-    """Add ``primary_id``: the application's own match; NULL when there is none, -2 when ambiguous."""
-    return _probe(keyed, matches, F.col("kind"), F.col("key"), F.col("key2"), "primary_id")
-
-
-def fallback_match(keyed: DataFrame, matches: DataFrame) -> DataFrame:
-    """Add ``back_id``: the match on the budget reference, tried when the primary match finds nothing."""
-    rows = _probe(keyed, matches, F.col("back_kind"), F.col("back_key"), F.col("back_key2"), "back_id")
-    rows = _probe(rows, matches, F.lit("budget_uwy"), F.col("last_key"), F.lit("-"), "last_id")
+    A contract asks for up to three keys; all are looked up in one join, so the index is computed and shuffled once.
+    """
+    asked = [
+        F.struct(F.lit(slot).alias("slot"), kind.alias("kind"), key.alias("key"), key2.alias("key2"))
+        for slot, (kind, key, key2) in enumerate(
+            [
+                (F.col("kind"), F.col("key"), F.col("key2")),
+                (F.col("back_kind"), F.col("back_key"), F.col("back_key2")),
+                (F.lit("budget_uwy"), F.col("last_key"), F.lit("-")),
+            ]
+        )
+    ]
+    about = [*CONTRACT_KEYS, "app_id", "back_kind"]
+    rows = keyed.select(*about, F.explode(F.array(*asked)).alias("asked"))
+    side = index.withColumnsRenamed({"kind": "m_kind", "key": "m_key", "key2": "m_key2"})
+    hits = attach(rows, side, {"m_kind": F.col("asked.kind"), "m_key": F.col("asked.key"), "m_key2": F.col("asked.key2")})
+    of = [F.max(F.when(F.col("asked.slot") == i, F.col("id"))).alias(n) for i, n in enumerate(("primary_id", "back_id", "last_id"))]
+    found = hits.groupBy(*about).agg(*of)
     back = F.col("back_id")
     retry = (F.col("back_kind") == "budget_section") & (back.isNull() | (back == -1))
-    return rows.withColumn("back_id", F.when(retry, F.col("last_id")).otherwise(back))
+    return found.withColumn("back_id", F.when(retry, F.col("last_id")).otherwise(back)).drop("last_id", "back_kind")
 
 
 def resolve_contracts(contracts: DataFrame, tables: dict[str, DataFrame], latest_year_only: bool = False) -> DataFrame:
     """Contract keys of distinct contracts: (year, contract, profit center, app_id, contract_dim_id)."""
-    matches = contract_matches(tables["contract_dim"], latest_year_only)
-    keyed = with_search_keys(with_application(contracts, tables))
-    rows = fallback_match(primary_match(keyed, matches), matches)
+    index = match_index(tables["contract_dim"], latest_year_only)
+    rows = find_contracts(with_search_keys(with_application(contracts, tables)), index)
     own = F.col("primary_id")
     found = F.when(own.isNull() | (own == -1), F.coalesce(F.col("back_id"), F.lit(-1))).otherwise(own)
     return rows.select(*CONTRACT_KEYS, "app_id", found.cast("long").alias("contract_dim_id"))

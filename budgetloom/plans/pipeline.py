@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..sources.warehouse import Warehouse, surrogate_key
 from .budget_fact import unpivot_months, with_fact_dims
 from .budget_stage import as_years, stage1, stage2
-from .classify import contract_classes, with_classes
+from .classify import class_of_no_contract, with_classes
 from .contract_map import contract_map, with_contract_keys
 
 
@@ -23,7 +23,7 @@ def fact_rows(stage_2: DataFrame, tables: dict[str, DataFrame], class_on_many: s
     """
     contracts = with_classes(contract_map(stage_2, tables), tables, class_on_many)
     rows = with_contract_keys(with_fact_dims(stage_2, tables), contracts)
-    class_of_none = contract_classes(tables).filter(F.col("cc_contract") == -1).select("contract_class_id").scalar()
+    class_of_none = class_of_no_contract(tables, stage_2.sparkSession)
     rows = rows.withColumns(
         {
             "business_classification_dim_id": F.coalesce("business_classification_dim_id", F.lit(-1).cast("long")),

@@ -121,7 +121,7 @@ def _contracts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _matches(spark: SparkSession, sf: str) -> DataFrame:
-    return contract_map.contract_matches(derive(spark, sf, "contract_dim")["contract_dim"])
+    return contract_map.match_index(derive(spark, sf, "contract_dim")["contract_dim"])
 
 
 def app_resolve(spark: SparkSession, sf: str) -> DataFrame:
@@ -134,14 +134,14 @@ def _by_rule(kind: str, office: bool | None = None) -> Query:
         if office is not None:
             is_office = F.coalesce(F.col("app_id") == 13, F.lit(False))
             keyed = keyed.filter(is_office if office else ~is_office)
-        return contract_map.primary_match(keyed, _matches(spark, sf)).select(*CONTRACT_COLUMNS, "primary_id")
+        return contract_map.find_contracts(keyed, _matches(spark, sf)).select(*CONTRACT_COLUMNS, "primary_id")
 
     return run
 
 
 def contract_fallback(spark: SparkSession, sf: str) -> DataFrame:
     keyed = contract_map.with_search_keys(_contracts(spark, sf))
-    return contract_map.fallback_match(keyed, _matches(spark, sf)).select(*CONTRACT_COLUMNS, "back_id")
+    return contract_map.find_contracts(keyed, _matches(spark, sf)).select(*CONTRACT_COLUMNS, "back_id")
 
 
 def contract_keys(spark: SparkSession, sf: str) -> DataFrame:
