@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ora import bare, cat, delete, mid, nz
 from ..operators.lookup import attach
+from ..sources.fields import DESCRIPTORS, PROFIT_CENTER_PARTS, RECORD_FIELDS
 
 # Account reference type of each application (fixed values).
 ACCOUNT_TYPES = {"G": "ACCCD", "T": "TACCD", "R": "RACCD", "F": "FACCD", "C": "CACCD"}
@@ -29,21 +30,6 @@ LETTERS = tuple("ABCDEFGHIJKLMNOPQRSTUVWXYZ")
 AMOUNT_MARKS = ("=", "*", "$", "#", "@", "!", " ", "_")
 YEAR_MARKS = (*AMOUNT_MARKS, "-", ".")
 
-PROFIT_CENTER_PARTS = tuple(f"accr_gl_{p}_code" for p in ("entity", "location", "dept", "product", "business_seg"))
-RECORD_FIELDS = (
-    *PROFIT_CENTER_PARTS,
-    "accr_gl_period_mon_year",
-    "accr_org_ccy_code",
-    "accr_client_name",
-    "accr_amt",
-    "accr_acct_code",
-    "accr_revenue_code",
-    "accr_app_id",
-    "accr_underwriting_yr",
-    "c14",
-    "accr_actual_restate",
-)
-DESCRIPTORS = ("contract_ref", "business_class_dsc", "contract_class_dsc")
 TEXT_FIELDS = (*RECORD_FIELDS, *DESCRIPTORS, "r12_code")
 
 Tables = dict[str, DataFrame]
@@ -67,7 +53,7 @@ def mark_profit_center(df: DataFrame, t: Tables) -> DataFrame:
     known = r12_keys.unionByName(short_keys).filter(F.col("c_key") != "").groupBy("c_kind", "c_key").agg(F.count(F.lit(1)).alias("c_n"))
     kind = F.when(F.trim(r12) != "", F.lit("r12")).otherwise(F.lit("short"))
     n = F.col("c_n")
-    several = F.raise_error(F.concat(F.lit("more than one profit center for R12 code "), r12)).cast("boolean")
+    several = F.raise_error(F.concat(F.lit("V01: more than one profit center for R12 code "), r12)).cast("boolean")
     ok = F.when(n > 1, several).otherwise(n.isNotNull())
     return attach(df, known, {"c_kind": kind, "c_key": F.coalesce(r12, parts)}, add={"ok_center": ok})
 
@@ -190,6 +176,7 @@ def _unknown(field: str, marker: str) -> Callable[[], Column]:
     return lambda: F.col(field).isNotNull() & ~F.col(marker)
 
 
+# Messages of the rules, spelling and spacing included (fixed values).
 RULES: dict[str, Rule] = {
     r.id: r
     for r in (
@@ -253,11 +240,15 @@ def error_message(rules: list[Rule]) -> Column:
 
 
 def error_rows(
-    records: DataFrame, tables: Tables, *, load_num: int, run_ts: Column, file_id: str | None = None, rules: Iterable[str] | None = None, keep: tuple[str, ...] = ()
+    records: DataFrame, tables: Tables, *, load_num: int | Column, run_ts: Column, file_id: str | None = None, rules: Iterable[str] | None = None, keep: tuple[str, ...] = ()
 ) -> DataFrame:
-    """One row per record and failed rule, in the layout of the error table, with ``rule_id`` and the ``keep`` columns added."""
+    """One row per record and failed rule, in the layout of the error table, with ``rule_id`` and the ``keep`` columns added.
+
+    The load number is one for all, or a column of the records. An error of a rule itself raises, its text beginning with the rule's id.
+    """
     chosen = [RULES[r] for r in (RULES if rules is None else rules)]
-    rows = file_records(records, file_id)
+    number = load_num if isinstance(load_num, Column) else F.lit(load_num)
+    rows = file_records(records, file_id).withColumn("_load_num", number.cast("long"))
     for mark in dict.fromkeys(r.mark for r in chosen if r.mark):
         rows = mark(rows, tables)
     ids = F.array(*[F.when(r.failed(), F.lit(r.id)).otherwise(F.lit("")) for r in chosen])
@@ -267,7 +258,7 @@ def error_rows(
         *RECORD_FIELDS,
         error_message(chosen).alias("error_message"),
         run_ts.alias("error_dt"),
-        F.lit(load_num).cast("long").alias("er_accrual_load_num"),
+        F.col("_load_num").alias("er_accrual_load_num"),
         *DESCRIPTORS,
         *[F.lit(None).cast("string").alias(f"unused_{i}") for i in range(1, 6)],
         "r12_code",

@@ -10,9 +10,8 @@ from pyspark.sql import types as T
 
 from ..functions.ora import delete, instr_last, mid, nz, to_whole
 from ..operators.lookup import attach, lookup
+from ..sources.fields import AMOUNTS, MONTHS
 
-MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
-AMOUNTS = tuple(f"{m}_budget_amt_usd" for m in MONTHS)
 MONEY = T.DecimalType(38, 2)
 
 

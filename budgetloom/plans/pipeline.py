@@ -2,26 +2,34 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import uuid
+from collections.abc import Callable, Iterable
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ..sources.schemas import SCHEMAS
 from ..sources.warehouse import Warehouse, surrogate_key
 from .budget_fact import unpivot_months, with_fact_dims
 from .budget_stage import as_years, stage1, stage2
-from .classify import class_of_no_contract, with_classes
+from .classify import class_defaults, class_of_no_contract, with_classes
 from .contract_map import contract_map, with_contract_keys
 
 
-def fact_rows(stage_2: DataFrame, tables: dict[str, DataFrame], class_on_many: str = "error") -> DataFrame:
+def contract_rows(stage_2: DataFrame, tables: dict[str, DataFrame], class_on_many: str = "error") -> DataFrame:
+    """Key and classes of every distinct contract in stage 2 that names one."""
+    return with_classes(contract_map(stage_2, tables), tables, class_on_many)
+
+
+def fact_rows(stage_2: DataFrame, tables: dict[str, DataFrame], class_on_many: str = "error", contracts: DataFrame | None = None) -> DataFrame:
     """Monthly fact rows with every key. Extra stage-2 columns, such as its id, are carried along.
 
-    Rows that name no single contract have contract -1. Contract and class keys are found once per distinct contract and joined to the stage-2 rows before
-    the unpivot, so the only wide shuffles are this join and, when the partners are many, the cedent's.
+    Rows that name no single contract have contract -1. Contract and class keys are found once per distinct contract
+    (``contracts``, when they have been stored) and joined to the stage-2 rows before the unpivot, so the only wide
+    shuffles are this join and, when the partners are many, the cedent's.
     """
-    contracts = with_classes(contract_map(stage_2, tables), tables, class_on_many)
+    contracts = contract_rows(stage_2, tables, class_on_many) if contracts is None else contracts
     rows = with_contract_keys(with_fact_dims(stage_2, tables), contracts)
     class_of_none = class_of_no_contract(tables, stage_2.sparkSession)
     rows = rows.withColumns(
@@ -38,19 +46,48 @@ def budget_fact(tables: dict[str, DataFrame], years: int | Iterable[int]) -> Dat
     return fact_rows(stage2(stage1(tables["clvr_level0_extract"], years), tables), tables)
 
 
-def build_budget_fact(wh: Warehouse, tables: dict[str, DataFrame], years: int | Iterable[int], run_ts: datetime) -> None:
-    """Rebuild both stages and replace the given years of the fact.
+FACT, STAGE_1, STAGE_2, CONTRACTS, STEPS = "budget_fact", "er_hyperion_stage_1", "er_hyperion_stage_2", "budget_contract_map", "build_step_log"
+STAGE_KEY, FACT_KEY = "er_hyperion_stage_2_id", "budget_fact_id"
+
+
+def finished_steps(wh: Warehouse, run_id: str) -> set[str]:
+    return {r["step"] for r in wh.read(STEPS).filter(F.col("run_id") == run_id).select("step").distinct().collect()}
+
+
+def build_budget_fact(wh: Warehouse, tables: dict[str, DataFrame], years: int | Iterable[int], run_ts: datetime, run_id: str | None = None) -> str:
+    """Rebuild both stages and the contract map, and replace the given years of the fact. Returns the run's id.
 
-    Stage 2 is stored before use: its keys must not change between the two readings of it, and a lost
-    executor costs no more than the current step. A failed step raises and leaves the fact as it was.
+    Each step is stored before it is used: keys must not change between two readings, and a lost executor costs no more
+    than the current step. The step log tells the rows of every step. A failed step raises and leaves the fact as it was;
+    the run can then be called again with its ``run_id``, and goes on behind the last step that it stored.
     """
-    years = as_years(years)
-    key_start = max(wh.next_id("er_hyperion_stage_2", "er_hyperion_stage_2_id"), wh.next_id("budget_fact", "er_hyperion_stage_2_id"))
-    first = wh.refresh("er_hyperion_stage_1", stage1(tables["clvr_level0_extract"], years))
-    second = stage2(first, tables).withColumn("er_hyperion_stage_2_id", surrogate_key(key_start))
-    second = wh.refresh("er_hyperion_stage_2", second)
-    start = wh.next_id("budget_fact", "budget_fact_id")
-    stamped = fact_rows(second, tables).withColumns(
-        {"budget_fact_id": surrogate_key(start), "created_dt": F.lit(run_ts), "update_dt": F.lit(run_ts)}
-    )
-    wh.replace_years("budget_fact", stamped, years)
+    years, run_id = as_years(years), run_id or uuid.uuid4().hex
+    done = finished_steps(wh, run_id)
+
+    def log(step: str, n_rows: int) -> None:
+        wh.append(STEPS, wh.spark.createDataFrame([(run_id, step, run_ts, n_rows, run_ts.date())], SCHEMAS[STEPS]))
+
+    def stored(name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        if name in done:
+            return wh.read(name, run_id)
+        seen = Observation()
+        out = wh.refresh(name, make(), run_id, (seen, [F.count(F.lit(1)).alias("n")]))
+        log(name, seen.get["n"])
+        return out
+
+    first = stored(STAGE_1, lambda: stage1(tables["clvr_level0_extract"], years))
+    second = stored(STAGE_2, lambda: stage2(first, tables).withColumn(STAGE_KEY, surrogate_key(wh.reserve_keys(STAGE_2, STAGE_KEY))))
+    contracts = stored(CONTRACTS, lambda: contract_rows(second, tables))
+    if FACT not in done:
+        rows = fact_rows(second, tables, contracts=contracts).withColumns({"created_dt": F.lit(run_ts), "update_dt": F.lit(run_ts)})
+        counts = wh.replace_years(FACT, rows, years, (FACT_KEY, wh.reserve_keys(FACT, FACT_KEY)))
+        log(FACT, sum(counts.values()))
+    return run_id
+
+
+def apply_class_defaults(wh: Warehouse) -> list[int]:
+    """Store the business-class defaults in facts of any year; only years with a row that changes are rewritten, and returned."""
+    fact, name = wh.read(FACT), "business_classification_dim_id"
+    new = class_defaults(fact.select(FACT_KEY, "contract_dim_id", F.col(name).alias("old"), name))
+    changes = new.filter(~F.col("old").eqNullSafe(F.col(name))).select(FACT_KEY, name)
+    return wh.update_years(FACT, changes, FACT_KEY, [name])

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from ..plans.accrual_rules import DESCRIPTORS, RECORD_FIELDS
-from ..plans.budget_stage import AMOUNTS, MONTHS
+from .fields import AMOUNTS, DESCRIPTORS, MONTHS, RECORD_FIELDS
 
 
 def _strings(names) -> str:
@@ -58,20 +57,35 @@ OUTPUTS: dict[str, str] = {
     "profit_center_dim_id long, budget_version_dim_id long, budget_amt_usd decimal(38,2), er_hyperion_stage_2_id long, "
     "created_dt timestamp, update_dt timestamp, revenue_type_id string, transaction_dim_id long, "
     "business_classification_dim_id long, contract_classification_dim_id long, revenue_year int",
+    "budget_contract_map": "budget_year int, contract_dsc string, contract_decode string, profit_center_dsc string, app_id long, "
+    "contract_dim_id long, business_classification_dim_id long, contract_classification_dim_id long",
     "er_selfservice_accrual_records": _strings((*RECORD_FIELDS, *DESCRIPTORS, "file_id", "fk_accr_file_id", "user_id"))
-    + ", created_dt timestamp, status string, pk_accr_recs_id long, r12_code string",
+    + ", created_dt timestamp, status string, pk_accr_recs_id long, r12_code string, load_date date",
     "er_accrual_stg_error": _strings(RECORD_FIELDS)
     + ", error_message string, error_dt timestamp, er_accrual_load_num long, "
-    + _strings((*DESCRIPTORS, *(f"unused_{i}" for i in range(1, 6)), "r12_code", "rule_id")),
-    "er_accural_log": "er_accrual_load_num long, dt_updated timestamp, status string, comments string",
+    + _strings((*DESCRIPTORS, *(f"unused_{i}" for i in range(1, 6)), "r12_code", "rule_id"))
+    + ", error_date date",
+    "er_accural_log": "er_accrual_load_num long, dt_updated timestamp, status string, comments string, file_id string, log_date date",
+    "build_step_log": "run_id string, step string, dt_updated timestamp, n_rows long, log_date date",
 }
 
 SCHEMAS: dict[str, str] = {**INPUTS, **OUTPUTS}
 
-PARTITIONS: dict[str, str] = {
-    "budget_fact": "revenue_year",
-    "er_selfservice_accrual_records": "fk_accr_file_id",
-    "er_accrual_stg_error": "er_accrual_load_num",
+#: Inputs stored by a column that scans filter on.
+INPUT_PARTITIONS: dict[str, str] = {"clvr_level0_extract": "clvr_fiscal_year_mbr"}
+
+#: Tables that are replaced as a whole.
+REFRESHED = ("er_hyperion_stage_1", "er_hyperion_stage_2", "budget_contract_map")
+
+#: Tables of which whole years are replaced, and their year.
+YEARS: dict[str, str] = {"budget_fact": "revenue_year"}
+
+#: Tables that grow by appends: the day they are stored by, and the order of rows within its files.
+APPENDED: dict[str, tuple[str, list[str]]] = {
+    "er_selfservice_accrual_records": ("load_date", ["fk_accr_file_id"]),
+    "er_accrual_stg_error": ("error_date", ["er_accrual_load_num", "rule_id"]),
+    "er_accural_log": ("log_date", ["er_accrual_load_num"]),
+    "build_step_log": ("log_date", ["run_id"]),
 }
 
 
