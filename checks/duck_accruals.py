@@ -1,103 +1,92 @@
-"""Accrual checks as plain DuckDB SQL: one select per rule, unknown codes by NOT EXISTS."""
+"""Accrual checks as DuckDB SQL, from the other side: every record is tested for what makes it valid, and what is not valid is an error.
+
+One row per record holds the test of each rule; the errors are the rules whose test is not true. Known codes come as lists.
+"""
 
 from __future__ import annotations
 
-from budgetloom.plans.accrual_rules import DESCRIPTORS, RECORD_FIELDS
+from budgetloom.sources.fields import DESCRIPTORS, PROFIT_CENTER_PARTS, RECORD_FIELDS
 
 from .fixtures import duck_ctes
 
 _R = "er_selfservice_accrual_records"
-_LETTERS = "'A','B','C','D','E','F','G','H','I','J','K','L','M','N','O','P','Q','R','S','T','U','V','W','X','Y','Z'"
-_MARKS = "'=','*','$','#','@','!',' ','_'"
-
-
-def _q(c: str) -> str:
-    return f"nullif(trim(replace(a.{c}, '''', '')), '')"
-
-
-def _text(before: str, c: str, after: str) -> str:
-    return f"concat('{before}', a.{c}, '{after}')"
-
-
-def _account(app: str, kind: str, before: str = "Client Account Code ") -> tuple[str, str]:
-    return (
-        _text(before, "accr_acct_code", " does not exists"),
-        f"a.accr_app_id = '{app}' and not exists (select 1 from er_tp_references b where {_q('accr_acct_code')} = b.tp_reference and b.gc_reference_type = '{kind}')",
-    )
-
-
-_PARTS = ("accr_gl_entity_code", "accr_gl_location_code", "accr_gl_dept_code", "accr_gl_product_code", "accr_gl_business_seg_code")
-_JOINED = "nullif(concat(" + ", ".join(f"rtrim(a.{p})" for p in _PARTS) + "), '')"
-_UNQUOTED = "nullif(concat(" + ", ".join(f"rtrim(replace(a.{p}, '''', ''))" for p in _PARTS) + "), '')"
-_REF = """nullif(trim(replace(case when right(a.contract_ref, 3) = 'MEX' and length(a.contract_ref) >= 3 then substring(a.contract_ref, 1, greatest(strpos(a.contract_ref, 'MEX') - 2, 0))
- when right(a.contract_ref, 3) = 'CHL' and length(a.contract_ref) >= 3 then concat(substring(a.contract_ref, 1, greatest(strpos(a.contract_ref, 'CHL') - 2, 0)), 'CHL')
- else a.contract_ref end, '''', '')), '')"""
-
-RULE_SQL: dict[str, tuple[str, str]] = {
-    "V01": (
-        f"concat('Profit Center or R12 code ', coalesce({_JOINED}, a.r12_code), ' does not exist')",
-        f"""not case when trim(a.r12_code) <> '' then exists (select 1 from profit_center_dim p where p.hyperion_responsibility_center = a.r12_code and trim(p.hyperion_responsibility_center) = a.r12_code)
-         and (select count(*) from er_gl_profit_center) > 0
-        else exists (select 1 from er_gl_profit_center b where b.short_code = coalesce(a.r12_code, {_UNQUOTED})) end""",
-    ),
-    "V02": _account("G", "ACCCD", "Client Account Code"),
-    "V03": _account("T", "TACCD"),
-    "V04": (_account("R", "RACCD")[0], f"{_account('R', 'RACCD')[1]} and {_q('accr_acct_code')} <> '1'"),
-    "V05": (
-        _text("Amount ", "accr_amt", " not Numeric"),
-        f"upper(substring(a.accr_amt, 1, 1)) in ({_LETTERS}, {_MARKS}) or a.accr_amt is null or length(a.accr_amt) - length(replace(a.accr_amt, '.', '')) > 1",
-    ),
-    "V06": _account("F", "FACCD"),
-    "V07": _account("C", "CACCD"),
-    "V08": (
-        _text("Revenue Type ", "accr_revenue_code", " not valid (BSA, FEE, NCB, ACC, INS)"),
-        "trim(upper(a.accr_actual_restate)) = 'ACTUAL' and coalesce(a.accr_revenue_code, 'XXXX') not in (select short_code from er_accruals_revenue_type)",
-    ),
-    "V09": (
-        _text("Revenue Type  ", "accr_revenue_code", " not valid (BSA, FEE, ACC, INS)"),
-        """trim(upper(a.accr_actual_restate)) in ('RESTATE ACQUISITION', 'RESTATE RECLASSIFICATION', 'RESTATE OTHER')
-        and coalesce(a.accr_revenue_code, 'xxxx') not in (select short_code from er_accruals_revenue_type except select 'NCB')""",
-    ),
-    "V10": (
-        _text("Underwriting Year ", "accr_underwriting_yr", " is invalid"),
-        f"length({_q('accr_underwriting_yr')}) <> 2 or upper(substring(a.accr_underwriting_yr, 1, 1)) in ({_LETTERS}, {_MARKS}, '-', '.') or a.accr_underwriting_yr is null",
-    ),
-    "V11": (
-        _text("Revenue Source ", "c14", " not valid (N, P, R, O)"),
-        "coalesce(nullif(trim(upper(a.c14)), ''), ' ') not in ('N', 'P', 'R', 'O')",
-    ),
-    "V12": (
-        _text("Application ID ", "accr_app_id", " not valid (C, F, G, R, T)"),
-        "nullif(trim(a.accr_app_id), '') not in ('C', 'F', 'G', 'R', 'T') or a.accr_app_id is null",
-    ),
-    "V13": (
-        _text("Original Currency Code ", "accr_org_ccy_code", " not found"),
-        "not exists (select 1 from er_currency_info b where trim(a.accr_org_ccy_code) = b.gc_currency_code and b.gc_currency_code <> 'XXX')",
-    ),
-    "V14": (
-        _text("Accouting Period ", "accr_gl_period_mon_year", "is in wrong format"),
-        """a.accr_gl_period_mon_year is null or substring(a.accr_gl_period_mon_year, 3, 1) <> '-' or substring(a.accr_gl_period_mon_year, 1, 2) not between '01' and '12'
-        or a.accr_gl_period_mon_year = ' ' or length(a.accr_gl_period_mon_year) <> 7""",
-    ),
-    "V15": (
-        _text("Actual/Restate ", "accr_actual_restate", " not valid (Actual, Restate Acquisition, Restate Reclassification, Restate Other)"),
-        "upper(a.accr_actual_restate) not in ('ACTUAL', 'RESTATE ACQUISITION', 'RESTATE RECLASSIFICATION', 'RESTATE OTHER') or upper(a.accr_actual_restate) is null",
-    ),
-    "V16": (
-        _text("Contract Ref ", "contract_ref", " not valid"),
-        f"a.contract_ref is not null and not exists (select 1 from contract_dim b where {_REF} = trim(b.gc_our_contract_ref))",
-    ),
-    "V17": (
-        _text("Business class dsc ", "business_class_dsc", " not valid"),
-        f"a.business_class_dsc is not null and not exists (select 1 from business_classification_dim b where upper({_q('business_class_dsc')}) = upper(b.busness_class_dsc))",
-    ),
-    "V18": (
-        _text("Contract class dsc ", "contract_class_dsc", " not valid"),
-        f"a.contract_class_dsc is not null and not exists (select 1 from contract_classification_dim b where upper({_q('contract_class_dsc')}) = upper(b.contract_sub_type_dsc))",
-    ),
-    "V19": (_text("Cedent name ", "accr_client_name", " not valid"), "a.accr_client_name is null"),
+# Account reference type by application; messages of the rules as (text before, value, text after) (fixed values).
+_TYPES = {"G": "ACCCD", "T": "TACCD", "R": "RACCD", "F": "FACCD", "C": "CACCD"}
+_MESSAGES = {
+    "V01": ("Profit Center or R12 code ", "center", " does not exist"),
+    "V02": ("Client Account Code", "accr_acct_code", " does not exists"),
+    **{f"V0{i}": ("Client Account Code ", "accr_acct_code", " does not exists") for i in (3, 4, 6, 7)},
+    "V05": ("Amount ", "accr_amt", " not Numeric"),
+    "V08": ("Revenue Type ", "accr_revenue_code", " not valid (BSA, FEE, NCB, ACC, INS)"),
+    "V09": ("Revenue Type  ", "accr_revenue_code", " not valid (BSA, FEE, ACC, INS)"),
+    "V10": ("Underwriting Year ", "accr_underwriting_yr", " is invalid"),
+    "V11": ("Revenue Source ", "c14", " not valid (N, P, R, O)"),
+    "V12": ("Application ID ", "accr_app_id", " not valid (C, F, G, R, T)"),
+    "V13": ("Original Currency Code ", "accr_org_ccy_code", " not found"),
+    "V14": ("Accouting Period ", "accr_gl_period_mon_year", "is in wrong format"),
+    "V15": ("Actual/Restate ", "accr_actual_restate", " not valid (Actual, Restate Acquisition, Restate Reclassification, Restate Other)"),
+    "V16": ("Contract Ref ", "contract_ref", " not valid"),
+    "V17": ("Business class dsc ", "business_class_dsc", " not valid"),
+    "V18": ("Contract class dsc ", "contract_class_dsc", " not valid"),
+    "V19": ("Cedent name ", "accr_client_name", " not valid"),
+}
+
+
+def _list(table: str, value: str) -> str:
+    return f"(select coalesce(list(distinct {value}), []) from {table})"
+
+
+def _account(app: str) -> str:
+    """Valid: another application, or a known code; for R an account code that is missing or 1 passes too."""
+    known = f"list_contains({_list('er_tp_references', 'gc_reference_type || chr(9) || tp_reference')}, '{_TYPES[app]}' || chr(9) || account)"
+    return f"accr_app_id is distinct from '{app}' or {known}" + (" or coalesce(account, '1') = '1'" if app == "R" else "")
+
+
+_RESTATED = "['RESTATE ACQUISITION', 'RESTATE RECLASSIFICATION', 'RESTATE OTHER']"
+# A letter or one of these in front makes an amount invalid; hyphen and point, too, make a year invalid.
+_FRONT = "A-Za-z=*$#@! _"
+
+
+def _types(missing: str) -> str:
+    return f"list_contains({_list('er_accruals_revenue_type', 'short_code')}, coalesce(accr_revenue_code, '{missing}'))"
+
+
+_VALID = {
+    "V01": f"""case when trim(r12_code) <> '' then list_contains({_list('profit_center_dim', 'hyperion_responsibility_center')}, r12_code) and trim(r12_code) = r12_code
+      and exists (from er_gl_profit_center) else list_contains({_list('er_gl_profit_center', 'short_code')}, coalesce(r12_code, bare_center)) end""",
+    "V02": _account("G"),
+    "V03": _account("T"),
+    "V04": _account("R"),
+    "V05": f"not regexp_matches(accr_amt, '^[{_FRONT}]|[.].*[.]')",
+    "V06": _account("F"),
+    "V07": _account("C"),
+    "V08": f"coalesce(restate_trimmed <> 'ACTUAL', true) or {_types('XXXX')}",
+    "V09": f"not coalesce(list_contains({_RESTATED}, restate_trimmed), false) or {_types('xxxx')} and coalesce(accr_revenue_code <> 'NCB', true)",
+    "V10": f"not regexp_matches(accr_underwriting_yr, '^[{_FRONT}.-]') and coalesce(length(bare_year) = 2, true)",
+    "V11": "list_contains(['N', 'P', 'R', 'O'], trim(upper(c14)))",
+    "V12": "case when trim(accr_app_id) = '' then true else list_contains(['C', 'F', 'G', 'R', 'T'], trim(accr_app_id)) end",
+    "V13": f"list_contains({_list('(from er_currency_info where gc_currency_code <> $$XXX$$)', 'gc_currency_code')}, trim(accr_org_ccy_code))",
+    "V14": "length(accr_gl_period_mon_year) = 7 and accr_gl_period_mon_year[3] = '-' and accr_gl_period_mon_year[:2] >= '01' and accr_gl_period_mon_year[:2] <= '12'",
+    "V15": f"list_contains({_RESTATED} || ['ACTUAL'], upper(accr_actual_restate))",
+    "V16": f"contract_ref is null or list_contains({_list('contract_dim', 'trim(gc_our_contract_ref)')}, bare_ref)",
+    "V17": f"business_class_dsc is null or list_contains({_list('business_classification_dim', 'upper(busness_class_dsc)')}, upper(bare_business))",
+    "V18": f"contract_class_dsc is null or list_contains({_list('contract_classification_dim', 'upper(contract_sub_type_dsc)')}, upper(bare_class))",
+    "V19": "accr_client_name is not null",
 }
 
+
+def _bare(c: str) -> str:
+    return f"nullif(trim(replace({c}, chr(39), '')), '')"
+
+
+_TAIL = {t: f"contract_ref[:greatest(strpos(contract_ref, '{t}') - 2, 0)]" for t in ("MEX", "CHL")}
+_CENTER = " || ".join(f"coalesce(rtrim({p}), '')" for p in PROFIT_CENTER_PARTS)
+_BARE_CENTER = " || ".join(f"coalesce(rtrim(replace({p}, chr(39), '')), '')" for p in PROFIT_CENTER_PARTS)
+_RECORDS = f"""records as (select *, coalesce(nullif({_CENTER}, ''), r12_code) as center, nullif({_BARE_CENTER}, '') as bare_center,
+ {_bare("accr_acct_code")} as account, {_bare("accr_underwriting_yr")} as bare_year, trim(upper(accr_actual_restate)) as restate_trimmed,
+ {_bare(f"case when suffix(contract_ref, 'MEX') then {_TAIL['MEX']} when suffix(contract_ref, 'CHL') then {_TAIL['CHL']} || 'CHL' else contract_ref end")} as bare_ref,
+ {_bare("business_class_dsc")} as bare_business, {_bare("contract_class_dsc")} as bare_class from {_R})"""
+
 _TABLES = {
     "V01": ["profit_center_dim", "er_gl_profit_center"],
     **{r: ["er_tp_references"] for r in ("V02", "V03", "V04", "V06", "V07")},
@@ -110,28 +99,32 @@ _TABLES = {
 }
 
 
-def _select(rule: str, columns: str) -> str:
-    message, failed = RULE_SQL[rule]
-    return f"select {columns}, {message} as error_message, '{rule}' as rule_id from {_R} a where {failed}"
+def _errors(rules: list[str], valid: dict[str, str] = _VALID) -> str:
+    """Records with one row for each rule that they do not pass; a test that is not known has not been passed."""
+    failed = ", ".join(f"case when not coalesce({valid[r]}, false) then {{'rule_id': '{r}', 'error_message': concat('{_MESSAGES[r][0]}', {_MESSAGES[r][1]}, '{_MESSAGES[r][2]}')}} end" for r in rules)
+    return f"{_RECORDS},\nerrors as (select * exclude (failed, failure), failure.rule_id, failure.error_message from (select *, unnest(failed) as failure from (select *, [{failed}] as failed from records)) where failure is not null)"
 
 
-def _one(rule: str) -> str:
-    return f"with {duck_ctes(_R, *_TABLES.get(rule, []))}\n{_select(rule, 'a.pk_accr_recs_id, a.fk_accr_file_id')}"
+def _query(rules: list[str], select: str, valid: dict[str, str] = _VALID) -> str:
+    tables = dict.fromkeys([_R, *(t for r in rules for t in _TABLES.get(r, []))])
+    return f"with {duck_ctes(*tables)},\n{_errors(rules, valid)}\n{select}"
 
 
-_ALL_TABLES = list(dict.fromkeys([_R, *(t for ts in _TABLES.values() for t in ts)]))
-_FIELDS = ", ".join(f"a.{c}" for c in (*RECORD_FIELDS, *DESCRIPTORS, "r12_code", "pk_accr_recs_id", "fk_accr_file_id"))
-_ALL = f"with {duck_ctes(*_ALL_TABLES)},\nerrors as ({' union all '.join(_select(r, _FIELDS) for r in RULE_SQL)})\n"
+_ALL = list(_MESSAGES)
+_ALL.sort()
+_FIELDS = ", ".join((*RECORD_FIELDS, *DESCRIPTORS, "r12_code", "pk_accr_recs_id"))
+_LOADS = f"(select f, row_number() over (order by f) as load_num from (select distinct fk_accr_file_id as f from {_R}))"
 
 ACCRUAL_SQL: dict[str, str] = {
-    **{f"accrual_v{r[1:]}": _one(r) for r in RULE_SQL},
-    "accrual_errors": _ALL + "select * exclude (fk_accr_file_id), cast(7 as bigint) as er_accrual_load_num from errors",
-    "accrual_rule_counts": _ALL + "select cast(7 as bigint) as er_accrual_load_num, rule_id, count(*) as n_errors from errors group by all",
-    "accrual_verdict": _ALL
-    + "select cast(7 as bigint) as er_accrual_load_num, case count(*) when 0 then 'SUCCESS' else 'ERROR' end as status, count(*) as n_errors from errors",
-    "accrual_file_errors": _ALL + "select fk_accr_file_id, rule_id, count(*) as n_errors from errors group by all",
-    "accrual_load": f"""with {duck_ctes(_R)} select fk_accr_file_id, 'Pending' as status, user_id, count(*) as n_rows, count(*) as n_keys, count(accr_amt) as n_amounts from {_R} group by all""",
-    "accrual_audit_log": _ALL
-    + """select cast(cast(f as bigint) as bigint) as er_accrual_load_num, case n when 0 then 'SUCCESS' else 'ERROR' end as status, concat(n, ' error rows') as comments
-from (select f.fk_accr_file_id as f, (select count(*) from errors e where e.fk_accr_file_id = f.fk_accr_file_id) as n from (select distinct fk_accr_file_id from er_selfservice_accrual_records) f) c""",
+    **{f"accrual_v{r[1:]}": _query([r], "select pk_accr_recs_id, fk_accr_file_id, error_message, rule_id from errors") for r in _ALL},
+    "accrual_errors": _query(_ALL, f"select {_FIELDS}, error_message, rule_id, 7::bigint as er_accrual_load_num from errors"),
+    "accrual_rule_counts": _query(_ALL, "select 7::bigint as er_accrual_load_num, rule_id, count(*) as n_errors from errors group by rule_id"),
+    "accrual_verdict": _query(_ALL, "select 7::bigint as er_accrual_load_num, if(count(*) = 0, 'SUCCESS', 'ERROR') as status, count(*) as n_errors from errors"),
+    "accrual_file_errors": _query(_ALL, "select fk_accr_file_id, rule_id, count(*) as n_errors from errors group by all"),
+    "accrual_load": f"with {duck_ctes(_R)} select fk_accr_file_id, 'Pending' as status, user_id, count(*) as n_rows, count(*) as n_keys, count(accr_amt) as n_amounts from {_R} group by all",
+    "accrual_audit_log": _query(_ALL, f"""select load_num as er_accrual_load_num, if(count(rule_id) = 0, 'SUCCESS', 'ERROR') as status, count(rule_id) || ' error rows' as comments
+from {_LOADS} l left join errors e on e.fk_accr_file_id = l.f group by load_num"""),
+    "accrual_all_files": _query(_ALL, f"select load_num as er_accrual_load_num, rule_id, count(*) as n_errors from errors e join {_LOADS} l on e.fk_accr_file_id = l.f group by all"),
+    "accrual_failed_log": f"with {duck_ctes(_R)} select load_num as er_accrual_load_num, 'Error on validate' as status, 'V01' as rule_id, f as file_id from {_LOADS}",
+    "accrual_null_type": _query(["V08", "V09", "V19"], "select rule_id, count(*) as n_errors from errors group by rule_id", {**_VALID, "V08": "true", "V09": "true"}),
 }

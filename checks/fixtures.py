@@ -10,7 +10,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from budgetloom.plans.budget_stage import MONTHS
+from budgetloom.sources.fields import MONTHS
 
 YEARS = list(range(1995, 2002))
 
@@ -147,6 +147,12 @@ from {{orders}}""",
 }
 
 
+# Members whose rules the extract above does not reach: four characters behind NA, orphans, and clients with decimals.
+MEMBER_RULES = """select concat(case cast(c_custkey % 5 as int) when 0 then concat('ab_NA', lpad(cast(c_custkey % 10000 as varchar(20)), 4, '0')) when 1 then concat('CO_Orphan', cast(c_custkey as varchar(20)), '_5')
+ when 2 then concat('CO_', lpad(cast(c_custkey as varchar(20)), 6, '0'), '_', cast(c_custkey % 89 as varchar(20)), '.5') when 3 then concat('CO_12YY', cast(c_custkey as varchar(20)), '_x_7') else concat('CO_', lpad(cast(c_custkey as varchar(20)), 9, '0'), 'YY-1-2_', cast(c_custkey % 7 as varchar(20)), '_8') end, '') as member
+from {customer}"""
+
+
 def derive(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
     """The named job inputs as DataFrames over the test tables of ``sf_dir``."""
     used = {t for n in names for t in re.findall(r"\{(\w+)\}", FIXTURES[n])}

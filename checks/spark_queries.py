@@ -13,7 +13,7 @@ from budgetloom.operators.xref import code_xref
 from budgetloom.plans import accrual_load, accrual_rules, budget_fact, budget_stage, classify, contract_map, pipeline
 from budgetloom.sources.warehouse import Warehouse
 
-from .fixtures import FIXTURES, YEARS, derive
+from .fixtures import FIXTURES, MEMBER_RULES, YEARS, derive
 
 STAGE_TABLES = ["clvr_level0_extract", "er_budget_revenue_type_xref", "er_dm_hyp_pc_xref"]
 DIM_TABLES = ["source_dim", "revenue_type_dim", "transaction_dim", "profit_center_dim", "trading_partner_dim"]
@@ -188,6 +188,51 @@ def fact_year_replace(spark: SparkSession, sf: str) -> DataFrame:
     return wh.read("budget_fact").select(*measures)
 
 
+def _stored_fact(spark: SparkSession, sf: str) -> tuple[Warehouse, list[int]]:
+    wh, every = scratch(spark), years(spark, sf)
+    pipeline.build_budget_fact(wh, derive(spark, sf, *BUDGET_TABLES), every, RUN_TS)
+    return wh, every
+
+
+def fact_emptied_year(spark: SparkSession, sf: str) -> DataFrame:
+    """Build every year, then the first one from an extract without rows: it is empty, the others stay."""
+    wh, every = _stored_fact(spark, sf)
+    t = derive(spark, sf, *BUDGET_TABLES)
+    t["clvr_level0_extract"] = t["clvr_level0_extract"].filter(F.col("clvr_fiscal_year_mbr") != budget_stage.fiscal_tag(every[0]))
+    pipeline.build_budget_fact(wh, t, every[0], RUN_TS)
+    amount = F.sum("budget_amt_usd").cast("decimal(38,2)").alias("amt")
+    return wh.read("budget_fact").groupBy("revenue_year").agg(F.count(F.lit(1)).alias("n_rows"), amount)
+
+
+def fact_class_update(spark: SparkSession, sf: str) -> DataFrame:
+    """Take the default classes out of the first year, let them be stored again, and tell which years' files were rewritten."""
+    wh, every = _stored_fact(spark, sf)
+    spoilt = F.when(F.col("business_classification_dim_id") == -1, None).otherwise(F.col("business_classification_dim_id"))
+    first = wh.read("budget_fact").filter(F.col("revenue_year") == every[0])
+    wh.replace_years("budget_fact", first.withColumn("business_classification_dim_id", spoilt), [every[0]])
+    _, before = wh.control.latest("budget_fact")
+    pipeline.apply_class_defaults(wh)
+    _, now = wh.control.latest("budget_fact")
+    changed = [int(y) for y, version in now.items() if version != before[y]]
+    rows = wh.read("budget_fact").groupBy("revenue_year", "business_classification_dim_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    return rows.withColumn("rewritten", F.col("revenue_year").isin(changed))
+
+
+def contract_keys_latest_year(spark: SparkSession, sf: str) -> DataFrame:
+    return contract_map.contract_map(_stage2(spark, sf), _map_tables(spark, sf), latest_year_only=True)
+
+
+def profit_center_conflicts(spark: SparkSession, sf: str) -> DataFrame:
+    return contract_map.profit_center_conflicts(derive(spark, sf, "er_dm_hyp_pc_xref"))
+
+
+def member_rules(spark: SparkSession, sf: str) -> DataFrame:
+    members = spark.sql(MEMBER_RULES, customer=spark.read.parquet(f"{sf}/customer.parquet"))
+    m = F.col("member")
+    parts = members.select("member", F.lit("T").alias("source_type"), budget_stage.client_name(m).alias("hyperion_client_name"), budget_stage.contract_dsc(m).alias("contract_dsc"))
+    return budget_stage.decode_members(parts).select("member", "hyperion_client_name", "contract_dsc", "client_code", "contract_decode")
+
+
 # --- accruals ------------------------------------------------------------------------------------
 
 MARK_TABLES = {
@@ -237,25 +282,53 @@ def accrual_file_errors(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def accrual_load_job(spark: SparkSession, sf: str) -> DataFrame:
-    """Load the records in two submissions, with keys that go on across them."""
+    """Load the records in two submissions, the last file by itself, with keys that differ across them."""
     wh, records = scratch(spark), derive(spark, sf, RECORDS)[RECORDS].drop("pk_accr_recs_id")
+    last = file_ids(spark, sf)[-1]
     for late in (False, True):
-        accrual_load.insert_accruals(wh, records.filter((F.col("fk_accr_file_id") == "5") == F.lit(late)), RUN_TS)
+        accrual_load.insert_accruals(wh, records.filter((F.col("fk_accr_file_id") == last) == F.lit(late)), RUN_TS)
     stored = wh.read(RECORDS)
-    keys = stored.groupBy("fk_accr_file_id", "status", "user_id").agg(
+    return stored.groupBy("fk_accr_file_id", "status", "user_id").agg(
         F.count(F.lit(1)).alias("n_rows"), F.countDistinct("pk_accr_recs_id").alias("n_keys"), F.count("accr_amt").alias("n_amounts")
     )
-    return keys
 
 
-def accrual_audit_log(spark: SparkSession, sf: str) -> DataFrame:
-    """Load all records, validate every file as a job, and read the log back."""
+def _validated(spark: SparkSession, sf: str, **changed: Callable[[DataFrame], DataFrame]) -> Warehouse:
+    """Load all records and validate all files in one pass, with some of the code tables changed."""
     t = derive(spark, sf, RECORDS, *ACCRUAL_TABLES)
+    t.update({name: change(t[name]) for name, change in changed.items()})
     wh = scratch(spark)
     accrual_load.insert_accruals(wh, t[RECORDS], RUN_TS)
-    for f in file_ids(spark, sf):
-        accrual_load.validate_accruals(wh, t, f, RUN_TS)
-    return wh.read("er_accural_log").select("er_accrual_load_num", "status", "comments")
+    try:
+        accrual_load.validate_waiting(wh, t, RUN_TS)
+    except Exception:
+        if not changed:
+            raise
+    return wh
+
+
+def accrual_audit_log(spark: SparkSession, sf: str) -> DataFrame:
+    return _validated(spark, sf).read("er_accural_log").select("er_accrual_load_num", "status", "comments")
+
+
+def accrual_all_files(spark: SparkSession, sf: str) -> DataFrame:
+    return accrual_rules.rule_counts(_validated(spark, sf).read("er_accrual_stg_error"))
+
+
+def accrual_failed_log(spark: SparkSession, sf: str) -> DataFrame:
+    """Every center twice, so that rule 1 fails: the log names the rule, and no errors are stored."""
+    wh = _validated(spark, sf, profit_center_dim=lambda df: df.unionByName(df))
+    log = wh.read("er_accural_log").join(wh.read("er_accrual_stg_error").select("er_accrual_load_num"), "er_accrual_load_num", "left_anti")
+    return log.select("er_accrual_load_num", "status", F.substring_index("comments", " ", 1).alias("rule_id"), "file_id")
+
+
+def accrual_null_type(spark: SparkSession, sf: str) -> DataFrame:
+    """A NULL among the revenue types makes NOT IN true for no record."""
+    t = derive(spark, sf, RECORDS, "er_accruals_revenue_type")
+    types = t["er_accruals_revenue_type"]
+    t["er_accruals_revenue_type"] = types.unionByName(types.limit(1).select(F.lit(None).cast("string").alias("short_code")))
+    rows = accrual_rules.error_rows(t[RECORDS], t, load_num=LOAD_NUM, run_ts=F.lit(RUN_TS), rules=["V08", "V09", "V19"])
+    return rows.groupBy("rule_id").agg(F.count(F.lit(1)).alias("n_errors"))
 
 
 def comparable(query: Query) -> Query:
@@ -298,6 +371,14 @@ _ALL: dict[str, Query] = {
     "accrual_file_errors": accrual_file_errors,
     "accrual_load": accrual_load_job,
     "accrual_audit_log": accrual_audit_log,
+    "accrual_all_files": accrual_all_files,
+    "accrual_failed_log": accrual_failed_log,
+    "accrual_null_type": accrual_null_type,
+    "contract_keys_latest_year": contract_keys_latest_year,
+    "profit_center_conflicts": profit_center_conflicts,
+    "fact_emptied_year": fact_emptied_year,
+    "fact_class_update": fact_class_update,
+    "member_rules": member_rules,
 }
 
 QUERIES: dict[str, Query] = {name: comparable(query) for name, query in _ALL.items()}
