@@ -18,20 +18,25 @@ from .contract_map import contract_map, with_contract_keys
 
 
 def contract_rows(stage_2: DataFrame, tables: dict[str, DataFrame], class_on_many: str = "error") -> DataFrame:
-    """Key and classes of every distinct contract in stage 2 that names one."""
-    return with_classes(contract_map(stage_2, tables), tables, class_on_many)
+    """Key and classes of every distinct contract in stage 2 that names one, and a row without texts for member -1."""
+    none = stage_2.sparkSession.range(1).select(F.lit(-1).cast("long").alias("contract_dim_id"))
+    contracts = contract_map(stage_2, tables).unionByName(none, allowMissingColumns=True)
+    return with_classes(contracts, tables, class_on_many)
 
 
 def fact_rows(stage_2: DataFrame, tables: dict[str, DataFrame], class_on_many: str = "error", contracts: DataFrame | None = None) -> DataFrame:
     """Monthly fact rows with every key. Extra stage-2 columns, such as its id, are carried along.
 
     Rows that name no single contract have contract -1. Contract and class keys are found once per distinct contract
-    (``contracts``, when they have been stored) and joined to the stage-2 rows before the unpivot, so the only wide
+    (``contracts``: ``contract_rows`` that have been stored) and joined to the stage-2 rows before the unpivot, so the only wide
     shuffles are this join and, when the partners are many, the cedent's.
     """
-    contracts = contract_rows(stage_2, tables, class_on_many) if contracts is None else contracts
+    if contracts is None:
+        contracts = with_classes(contract_map(stage_2, tables), tables, class_on_many)
+        class_of_none = class_of_no_contract(tables, stage_2.sparkSession)
+    else:
+        class_of_none = contracts.filter(F.col("contract_dsc").isNull()).select("contract_classification_dim_id").scalar()
     rows = with_contract_keys(with_fact_dims(stage_2, tables), contracts)
-    class_of_none = class_of_no_contract(tables, stage_2.sparkSession)
     rows = rows.withColumns(
         {
             "business_classification_dim_id": F.coalesce("business_classification_dim_id", F.lit(-1).cast("long")),
