@@ -26,6 +26,22 @@ def row_key(key: str, text: str) -> Column:
     return F.struct(F.col(key).alias("id"), F.substring(F.unhex(F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")), 256)), 1, 16).alias("digest"))
 
 
+def with_row_key(docs: DataFrame, key: str, text: str, name: str) -> DataFrame:
+    """``docs`` with the column ``name`` that tells rows apart as ``row_key`` does, but holds a digest only where the id may
+    stand on rows with different texts, or is null: elsewhere the id alone says it, and digests do not compress.
+
+    Whether an id may be repeated is looked up in a bitmap of fixed size; an id that is taken for one by mistake only gets a
+    digest, on all its rows.
+    """
+    told = docs.select(row_key(key, text).alias("k")).groupBy("k.id").agg(F.min("k.digest").alias("low"), F.max("k.digest").alias("high"))
+    words = _bitmap(told.where("id IS NOT NULL AND low != high"), F.col("id")).select(F.col("_word").alias("_rk_word"), F.col("_bits").alias("_rk_bits"))
+    hashed = F.xxhash64(F.col(key))
+    marked = docs.join(F.broadcast(words), F.shiftrightunsigned(hashed, 47) == F.col("_rk_word"), "left")
+    several = F.coalesce(F.expr(f"shiftright(_rk_bits, cast(xxhash64(`{key}`) & 63 as int)) & 1L") == 1, F.lit(False))
+    own = row_key(key, text)
+    return marked.select(*docs.columns, F.struct(own["id"].alias("id"), F.when(several | F.col(key).isNull(), own["digest"]).alias("digest")).alias(name))
+
+
 def share(key: str, parts: int) -> Column:
     """crc32 of an id written as text, modulo ``parts``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % parts
@@ -35,13 +51,19 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _bitmap(wanted: DataFrame, wanted_key: Column) -> DataFrame:
+    """_word, _bits: 2^17 words of 64 bits at most, with a bit for each hash of the wanted keys."""
+    hashed = wanted.select(F.xxhash64(wanted_key).alias("_h"))
+    return hashed.groupBy(F.expr("shiftrightunsigned(_h, 47)").alias("_word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(_h & 63 as int))")).alias("_bits"))
+
+
 def likely(df: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column) -> DataFrame:
     """The rows of ``df`` whose key may be among the wanted ones: all that are, and few others.
 
     A filter ahead of a join, so that texts which it drops are not shuffled. It is a bitmap of hashes in 2^17 words of
     64 bits, whatever the input's size, and so may be broadcast; when very many keys are wanted, it lets more rows pass.
     """
-    words = wanted.select(F.xxhash64(wanted_key).alias("_h")).groupBy(F.expr("shiftrightunsigned(_h, 47)").alias("_word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(_h & 63 as int))")).alias("_bits"))
+    words = _bitmap(wanted, wanted_key)
     hashed = df.withColumn("_key_hash", F.xxhash64(key))
     same = (F.expr("shiftrightunsigned(_key_hash, 47)") == F.col("_word")) & (F.expr("shiftright(_bits, cast(_key_hash & 63 as int)) & 1L") == 1)
     return hashed.join(F.broadcast(words), same, "left_semi").select(*df.columns)

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from budgetloom.llm.common import likely, row_key, stored
+from budgetloom.llm.common import likely, stored, with_row_key
 from budgetloom.operators.lookup import attach
 
 SPACE = r"[\x20\x09-\x0D]+"
@@ -132,7 +132,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_wo
     """``docs`` with the dropped lines taken out of their texts. ``drop_empty`` also leaves out documents that had lines
     with words and lost all of them. Rows with equal id and text are one document here; other rows of one id, or without
     one, are documents of their own, those of one id in the order of their texts' hashes."""
-    columns, docs = docs.columns, docs.withColumn("_row", row_key(key, text))
+    columns, docs = docs.columns, with_row_key(docs, key, text, "_row")
     _, drops = dropped_lines(docs, "_row", text, min_words)
     gone = drops.groupBy(F.col("doc").alias("_d")).agg(F.collect_set("line").alias("_gone"))
     joined = docs.join(gone, F.col("_row").eqNullSafe(F.col("_d")), "left")
