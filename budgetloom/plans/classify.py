@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.lookup import attach
@@ -68,11 +68,10 @@ def with_classes(df: DataFrame, tables: dict[str, DataFrame], on_many: str = "er
     return attach(df, classes, {"k_contract": contract}, add={"business_classification_dim_id": business, "contract_classification_dim_id": cover})
 
 
-def class_of_no_contract(tables: dict[str, DataFrame], spark: SparkSession) -> Column:
-    """Contract class of member -1, as a scalar; the filter on the member reaches the scan of the contract dimension."""
+def class_of_no_contract(tables: dict[str, DataFrame]) -> Column:
+    """Contract class of member -1, as a scalar (NULL without such a member); the filter reaches the scan of the contract dimension."""
     member = {**tables, "contract_dim": tables["contract_dim"].filter(F.col("contract_dim_id") == -1)}
-    one = spark.range(1).select(F.lit(-1).cast("long").alias("contract_dim_id"))
-    return contract_class_keys(one, member).select("contract_class_id").scalar()
+    return contract_class_keys(member["contract_dim"].select("contract_dim_id").distinct(), member).select("contract_class_id").scalar()
 
 
 def class_defaults(fact: DataFrame) -> DataFrame:

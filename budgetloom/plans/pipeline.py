@@ -33,7 +33,7 @@ def fact_rows(stage_2: DataFrame, tables: dict[str, DataFrame], class_on_many: s
     """
     if contracts is None:
         contracts = with_classes(contract_map(stage_2, tables), tables, class_on_many)
-        class_of_none = class_of_no_contract(tables, stage_2.sparkSession)
+        class_of_none = class_of_no_contract(tables)
     else:
         class_of_none = contracts.filter(F.col("contract_dsc").isNull()).select("contract_classification_dim_id").scalar()
     rows = with_contract_keys(with_fact_dims(stage_2, tables), contracts)
