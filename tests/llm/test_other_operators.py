@@ -147,7 +147,32 @@ def test_top_k_matches_brute_force(spark, dims, high, block):
     odd = [(400, None), (420, []), (440, [None] * dims), (None, rows[1][1]), (460, [1] * (dims + 1))]
     df = spark.createDataFrame(rows + odd, "vec_id long, v array<long>").where(vector_search.usable(F.col("v")))
     got = vector_search.top_k(df, F.col("vec_id") % 20 == 0, "vec_id", "v", k=7, pivots=6, sample=50, block=block, query_block=4)
-    assert {(r.query_id, r["rank"]): (r.id, r.score) for r in got.collect()} == brute_top(rows, lambda q: q % 20 == 0, 7)
+    named = rows + [(10**9, rows[1][1])]  # the row without an id, behind all others in ties
+    expected = {at: (None if c == 10**9 else c, s) for at, (c, s) in brute_top(named, lambda q: q % 20 == 0 and q < 10**9, 7).items()}
+    found = {(r.query_id, r["rank"]): (r.id, r.score) for r in got.collect()}
+    assert found.pop((460, 1), None) is None  # nothing else has its dimension
+    assert found == expected
+
+
+def test_top_k_of_other_dimensions_repeated_rows_and_large_scores(spark):
+    rng = np.random.default_rng(5)
+    small = [(i, rng.integers(-9, 9, 3).tolist()) for i in range(1, 60)]
+    large = [(i, rng.integers(-(2**31), 2**31, 5).tolist()) for i in range(60, 120)]
+    df = spark.createDataFrame([(0, [1]), *small, *small, *large], "vec_id long, v array<long>")
+    got = vector_search.top_k(df, F.col("vec_id") % 20 == 0, "vec_id", "v", k=20, pivots=5, sample=30, block=16, query_block=2, run=3)
+    expected = {**brute_top(small, lambda q: q % 20 == 0, 20), **brute_top(large, lambda q: q % 20 == 0, 20)}
+    assert {(r.query_id, r["rank"]): (r.id, r.score) for r in got.collect()} == expected
+    beyond = spark.createDataFrame([(0, [2**40]), (1, [2**40])], "vec_id long, v array<long>")
+    with pytest.raises(Exception, match="beyond the range of a long"):
+        vector_search.top_k(beyond, F.col("vec_id") == 0, "vec_id", "v").collect()
+
+
+def test_top_k_sends_queries_only_to_homes_that_can_hold_a_result(spark):
+    rng = np.random.default_rng(9)
+    far = [(i, ((i % 4 + 1) * np.array([1000, -500]) * (-1) ** i + rng.integers(-5, 5, 2)).tolist()) for i in range(400)]
+    df = spark.createDataFrame(far, "vec_id long, v array<long>")
+    got = vector_search.top_k(df, F.col("vec_id") % 20 == 0, "vec_id", "v", k=5, pivots=4, sample=50, block=32, run=8)
+    assert {(r.query_id, r["rank"]): (r.id, r.score) for r in got.collect()} == brute_top(far, lambda q: q % 20 == 0, 5)
 
 
 def test_top_k_of_few_and_no_vectors(spark):
