@@ -45,6 +45,7 @@ EXTRA_RULES = (
 )
 RULES = BASE_RULES + EXTRA_RULES
 SPANS = "array<struct<start:int,end:int>>"
+CHUNK = 512
 
 
 def blob_id(text: Column) -> Column:
@@ -52,22 +53,34 @@ def blob_id(text: Column) -> Column:
 
 
 def spans_of(text: Column, rule: Rule) -> Column:
-    """Spans of the rule's leftmost matches that do not overlap, ends exclusive, in code points."""
+    """Spans of the rule's leftmost matches that do not overlap, ends exclusive, in code points.
+
+    The text is split once: its matches, and what lies before each, are one array, which running sums turn into spans.
+    Sums run over chunks of that array, so that long results grow by whole chunks and are not copied for every match.
+    """
     pattern = F.lit(rule.pattern)
-    whole, value = F.regexp_extract_all(text, pattern, F.lit(0)), F.regexp_extract_all(text, pattern, F.lit(rule.value_group))
-    sizes = F.transform(whole, F.length)
     gaps = F.transform(F.split(text, rule.pattern, -1), F.length)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("spans"))
+    sizes = F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), F.length)
+    fits = F.transform(F.regexp_extract_all(text, pattern, F.lit(rule.value_group)), lambda v: F.length(v) >= rule.min_length)
+    matches = F.arrays_zip(gaps.alias("gap"), sizes.alias("size"), fits.alias("fits"))  # the last has a gap only
+    none = F.array().cast(SPANS)
+
+    def step(acc: Column, match: Column) -> Column:
+        begin = acc["at"] + match["gap"]
+        span = F.struct(begin.alias("start"), (begin + match["size"]).alias("end"))
+        return F.struct((begin + match["size"]).alias("at"), F.when(match["fits"], F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"))
+
+    def chunk(done: Column, part: Column) -> Column:
+        start = F.struct(F.element_at(done, -1)["at"].alias("at"), none.alias("spans"))
+        return F.concat(done, F.array(F.aggregate(part, start, step)))
 
-    def step(acc: Column, i: Column) -> Column:
-        begin = acc["at"] + F.get(gaps, i)
-        end = begin + F.get(sizes, i)
-        return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(F.struct(begin.alias("start"), end.alias("end")))).alias("spans"))
+    def spans(found: Column) -> Column:
+        chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(found) - 1) / CHUNK).cast("int")), lambda c: F.slice(found, c * CHUNK + 1, F.lit(CHUNK)))
+        first = F.array(F.struct(F.lit(0).alias("at"), none.alias("spans")))
+        return F.aggregate(chunks, first, chunk, lambda done: F.flatten(F.transform(done, lambda x: x["spans"])))
 
-    found = F.aggregate(F.sequence(F.lit(0), F.size(whole) - 1), start, step, lambda acc: acc["spans"])
-    long_enough = F.filter(found, lambda s, i: F.length(F.get(value, i)) >= rule.min_length) if rule.min_length else found
     some = text.rlike(rule.pattern) if rule.hint is None else text.contains(rule.hint) & text.rlike(rule.pattern)
-    return F.when(some, long_enough).otherwise(F.array().cast(SPANS))
+    return F.when(some, F.get(F.transform(F.array(matches), spans), F.lit(0))).otherwise(none)
 
 
 def read_ledger(spark: SparkSession, ledger: str) -> DataFrame | None:
