@@ -2,79 +2,113 @@
 
 The text view holds hashed words and word endings of the whole text. The metadata view holds where a page comes from
 (source, language, declared length) and how it is laid out (lines, word lengths, shares of capitals, digits, marks and
-repeated words), but no words. Each view has its own logistic regression. For some rounds each model labels the pool
-documents it is sure of, for the other to learn from. Both are then calibrated on labelled documents held back from
-them, and one logistic regression over the calibrated log odds, fitted on the same documents, gives the score.
-
-Fitting uses bounded samples: ``max_labelled`` labelled documents and ``max_pool`` unlabelled ones, those with the
-smallest hashes of their ids. Scoring covers every document.
-
-Defined results: null texts are empty texts; null metadata is a value of its own. A document with several label rows is
-good only if all are. Without labels of both kinds, every score is the share of good labels (0.5 without any). Columns
-called score, p_text, p_metadata or keep are replaced.
+repeated words), but no words. Each view has its own logistic regression. In each round, each model labels all those
+documents of the pool that it is sure of, by odds calibrated on labelled documents held back from both; the other model
+learns from them, in the tasks that read them, and the tasks' changes are averaged by their numbers of documents. Both
+then see the labelled documents again. After the rounds one logistic regression over the calibrated log odds, fitted on
+the held-back documents, gives the score.
+
+The pool is every document but the labelled ones in use, of which there are at most ``max_labelled``, with the smallest
+hashes of their ids. Its features are written once and read in every round. The driver holds the labelled documents'
+features and the two models, of fixed size.
+
+Defined results: null texts are empty texts; null metadata is a value of its own; documents without an id are in the
+pool. A document with several label rows is good only if all are; of several texts of a labelled id, the one with the
+smallest hash is learned from. Without labels of both kinds, every score is the share of good labels (0.5 without any).
+An empty pool leaves the models of the labelled documents. Columns called score, p_text, p_metadata or keep are replaced.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from zlib import crc32
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from budgetloom.llm.common import stored
+
 TEXT_BITS = 18
 META = 64 + 64 + 16 + 8
 Sparse = tuple[np.ndarray, np.ndarray]
 
 
+CHUNK = 1 << 12
+
+
+def _bucket(word: bytes) -> int:
+    return crc32(word) * 0x9E3779B1 % (1 << 32) >> (32 - TEXT_BITS)
+
+
 class _Buckets(dict):
-    def __missing__(self, word: bytes) -> int:
-        h = crc32(word) * 0x9E3779B1 % (1 << 32) >> (32 - TEXT_BITS)
+    """The buckets of a word and of its last two bytes."""
+
+    def __missing__(self, word: bytes) -> tuple[int, int]:
+        pair = _bucket(word), _bucket(b"\x00" + word[-2:])
         if len(self) < 300_000:
-            self[word] = h
-        return h
+            self[word] = pair
+        return pair
 
 
 _WORDS = _Buckets()
 
 
-def text_view(text: str | None) -> Sparse:
-    """Hashed words (A-Z in lower case) and their last two bytes, log counts, of length one."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+def counted_view(text: str | None) -> Sparse:
+    """Buckets of words (A-Z in lower case) and of their last two bytes, in order, with their counts."""
+    words = Counter((text or "").encode("utf-8", "surrogatepass").lower().split())
     if not words:
-        return np.zeros(0, np.int64), np.zeros(0)
-    at, n = np.unique(np.fromiter((_WORDS[k] for w in words for k in (w, b"\x00" + w[-2:])), np.int64, 2 * len(words)), return_counts=True)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    pairs = np.array([_WORDS[w] for w in words], np.int64).ravel()
+    at, inverse = np.unique(pairs, return_inverse=True)
+    times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), 2)
+    return at, np.bincount(inverse, times).astype(np.int64)
+
+
+def of_length_one(at: np.ndarray, n: np.ndarray) -> Sparse:
     x = np.log1p(n)
-    return at, x / np.sqrt(x @ x)
+    return at, x / np.sqrt(x @ x) if len(x) else x
+
+
+def text_view(text: str | None) -> Sparse:
+    """Log counts of the text's buckets, scaled to length one."""
+    return of_length_one(*counted_view(text))
 
 
 def metadata_view(text: str | None, source: str | None, lang: str | None, size: float | None) -> Sparse:
     t = text or ""
     words, lines = t.split(), t.split("\n")
     letters = sum(map(len, words)) or 1
-    capitals, digits, marks = (sum(map(t.count, s)) / letters for s in ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "!|{}[]<>#*@"))
+    seen = np.bincount(np.frombuffer(t.encode("utf-8", "surrogatepass"), np.uint8), minlength=256)
+    capitals, digits, marks = (float(seen[list(s)].sum()) / letters for s in (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b"!|{}[]<>#*@"))
     layout = [capitals, digits, 5 * marks, len(set(words)) / (len(words) or 1), len(set(lines)) / len(lines), letters / (len(words) or 1) / 10, min(3.0, len(words) / len(lines) / 50), 1.0]
     length = 15 if size is None or size != size else min(14, max(0, int(size)).bit_length())
     hashed = [crc32(f"s{source}".encode("utf-8", "surrogatepass")) % 64, 64 + crc32(f"l{lang}".encode("utf-8", "surrogatepass")) % 64, 128 + length]
     return np.array([*hashed, *range(144, 144 + len(layout))]), np.array([0.3, 0.3, 0.5, *layout])
 
 
-def fit(rows: list[Sparse], y: np.ndarray, size: int, epochs: int = 6, rate: float = 0.5, l2: float = 1e-6, seed: int = 3) -> np.ndarray:
+class View:
     """Logistic regression by Adagrad steps; the last weight is the bias."""
-    w, history = np.zeros(size + 1), np.full(size + 1, 1e-2)
-    rng = np.random.default_rng(seed)
-    padded = [(np.append(at, size), np.append(x, 1.0)) for at, x in rows]
-    for _ in range(epochs):
-        for i in rng.permutation(len(padded)):
-            at, x = padded[i]
-            g = (1 / (1 + np.exp(-np.clip(w[at] @ x, -30, 30))) - y[i]) * x + l2 * w[at]
-            history[at] += g * g
-            w[at] -= rate * g / np.sqrt(history[at])
-    return w
+
+    def __init__(self, size: int):
+        self.w, self.history = np.zeros(size + 1), np.full(size + 1, 1e-2)
+
+    def step(self, row: Sparse, label: float, rate: float = 0.5, l2: float = 1e-6) -> None:
+        at, x = np.append(row[0], len(self.w) - 1), np.append(row[1], 1.0)
+        g = (1 / (1 + np.exp(-np.clip(self.w[at] @ x, -30, 30))) - label) * x + l2 * self.w[at]
+        self.history[at] += g * g
+        self.w[at] -= rate * g / np.sqrt(self.history[at])
+
+    def fit(self, rows: list[Sparse], y: np.ndarray, epochs: int, seed: int = 3) -> None:
+        rng = np.random.default_rng(seed)
+        for _ in range(epochs):
+            for i in rng.permutation(len(rows)):
+                self.step(rows[i], y[i])
 
 
 def logit(w: np.ndarray, row: Sparse) -> float:
@@ -104,39 +138,83 @@ class QualityModel:
         return tuple(float(1 / (1 + np.exp(-z))) for z in (both, *odds))
 
 
-def co_train(labelled: list[tuple[Sparse, Sparse, int]], pool: list[tuple[Sparse, Sparse]], rounds: int, sure: float, per_round: int) -> QualityModel | float:
+def taught(pool: DataFrame, models: list[View], calibration: list[np.ndarray], sure: float, rate: float) -> None:
+    """Let each model learn from the documents of the whole pool that the other is sure of.
+
+    Every task learns from its documents in turn, beginning with the models as they are, and gives its change; a model
+    moves by the mean change over the documents that were learned from. Changes are added up in chunks, in two steps.
+    """
+    sent = pool.sparkSession.sparkContext.broadcast(([(m.w.astype(np.float32), m.history.astype(np.float32)) for m in models], calibration))
+    limit = np.log(sure / (1 - sure))
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        started, scales = sent.value
+        local = []
+        for w, history in started:
+            view = View(len(w) - 1)
+            view.w, view.history = w.astype(float), history.astype(float)
+            local.append(view)
+        taken, part = [0, 0], 0
+        for batch in batches:
+            for n, (t, m) in enumerate(zip(batch.column("t").to_pylist(), batch.column("m").to_pylist(), strict=True)):
+                row = (_unpack_counts(t), _unpack(m))
+                part = part or crc32(t + m + n.to_bytes(4, "little"))
+                odds = [s[0] * logit(w, r) + s[1] for (w, _), s, r in zip(started, scales, row, strict=True)]
+                for v in (0, 1):
+                    if abs(odds[v]) >= limit:
+                        local[1 - v].step(row[1 - v], float(odds[v] > 0), rate)
+                        taken[1 - v] += 1
+        for v in (0, 1):
+            if taken[v]:
+                change = (local[v].w - started[v][0]) * taken[v]
+                pieces = [change[i : i + CHUNK] for i in range(0, len(change), CHUNK)]
+                used = [(i, p) for i, p in enumerate(pieces) if p.any() or not i]
+                columns = [[v] * len(used), [i for i, _ in used], [part % 64] * len(used), [taken[v]] * len(used)]
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns), pa.array([p.tolist() for _, p in used], pa.list_(pa.float64()))], ["view", "chunk", "part", "n", "change"])
+
+    def add(t: pa.Table) -> pa.Table:
+        total = np.zeros(len(t["change"][0]))
+        for c in t["change"]:
+            total += np.asarray(c.values)
+        first = {c: [t[c][0].as_py()] for c in ("view", "chunk", "part")}
+        return pa.table({**first, "n": [sum(t["n"].to_pylist())], "change": pa.array([total.tolist()], pa.list_(pa.float64()))})
+
+    schema = "view long, chunk long, part long, n long, change array<double>"
+    some = pool.mapInArrow(learn, schema).groupBy("view", "chunk", "part").applyInArrow(add, schema)
+    summed = some.groupBy("view", "chunk").applyInArrow(add, schema).collect()  # at most one row for each chunk of the two models
+    numbers = {r["view"]: r["n"] for r in summed if not r["chunk"]}
+    for r in summed:
+        at = r["chunk"] * CHUNK
+        models[r["view"]].w[at : at + len(r["change"])] += np.array(r["change"]) / numbers[r["view"]]
+    sent.destroy()
+
+
+def co_train(labelled: list[tuple[Sparse, Sparse, int]], pool: DataFrame, rounds: int, sure: float, rate: float) -> QualityModel | float:
     """``labelled``: text view, metadata view, label. The share of good labels if there is only one kind."""
     y = np.array([r[2] for r in labelled], float)
     if len(set(y)) < 2:
         return float(y.mean()) if len(y) else 0.5
     held = np.arange(len(labelled)) % 4 == 0
+    learn = ~held
     if len(set(y[held])) < 2 or len(set(y[~held])) < 2:
-        held = np.ones(len(labelled), bool)
-        learn = list(range(len(labelled)))
-    else:
-        learn = np.flatnonzero(~held).tolist()
-    sizes = (1 << TEXT_BITS, META)
-    rows = [[labelled[i][v] for i in learn] for v in (0, 1)]
-    targets = [[y[i] for i in learn] for _ in (0, 1)]
-    models = [fit(rows[v], np.array(targets[v]), sizes[v]) for v in (0, 1)]
-    taken: tuple[set[int], set[int]] = (set(), set())
-    share = y.mean()
+        held = learn = np.ones(len(labelled), bool)
+    models = [View(1 << TEXT_BITS), View(META)]
+    rows = [[labelled[i][v] for i in np.flatnonzero(learn)] for v in (0, 1)]
+    check = np.flatnonzero(held)
+
+    def calibrated() -> tuple[np.ndarray, list[np.ndarray]]:
+        odds = np.array([[logit(models[v].w, labelled[i][v]) for v in (0, 1)] for i in check])
+        return odds, [newton(odds[:, [v]], y[check]) for v in (0, 1)]
+
+    for v in (0, 1):
+        models[v].fit(rows[v], y[learn], epochs=6)
     for _ in range(rounds):
+        taught(pool, models, calibrated()[1], sure, rate)
         for v in (0, 1):
-            odds = np.array([logit(models[v], p[v]) for p in pool])
-            limit = np.log(sure / (1 - sure))
-            for label, order in ((1.0, np.argsort(-odds, kind="stable")), (0.0, np.argsort(odds, kind="stable"))):
-                room = max(1, int(per_round * (share if label else 1 - share)))
-                new = [i for i in order.tolist() if i not in taken[1 - v] and (odds[i] >= limit if label else odds[i] <= -limit)][:room]
-                taken[1 - v].update(new)
-                rows[1 - v] += [pool[i][1 - v] for i in new]
-                targets[1 - v] += [label] * len(new)
-        models = [fit(rows[v], np.array(targets[v]), sizes[v]) for v in (0, 1)]
-    check = np.flatnonzero(held)
-    odds = np.array([[logit(models[v], labelled[i][v]) for v in (0, 1)] for i in check])
-    calibration = tuple(newton(odds[:, [v]], y[check]) for v in (0, 1))
+            models[v].fit(rows[v], y[learn], epochs=1)
+    odds, calibration = calibrated()
     even = np.column_stack([np.clip(c[0] * odds[:, v] + c[1], -30, 30) for v, c in enumerate(calibration)])
-    return QualityModel(models[0], models[1], calibration, newton(even, y[check]))
+    return QualityModel(models[0].w, models[1].w, tuple(calibration), newton(even, y[check]))
 
 
 def views(docs: DataFrame, text: str, source: str, lang: str, size: str) -> list[Column]:
@@ -144,6 +222,16 @@ def views(docs: DataFrame, text: str, source: str, lang: str, size: str) -> list
     return [F.col(text).cast("string").alias("text"), *[(F.col(c) if c in docs.columns else F.lit(None)).cast(k).alias(n) for c, k, n in ((source, "string", "source"), (lang, "string", "lang"), (size, "double", "size"))]]
 
 
+def _pack_counts(at: np.ndarray, n: np.ndarray) -> bytes:
+    """Distances of the buckets and their counts, which compress better than buckets and weights."""
+    return np.diff(at, prepend=0).astype(np.int32).tobytes() + n.astype(np.uint32).tobytes()
+
+
+def _unpack_counts(raw: bytes) -> Sparse:
+    n = len(raw) // 8
+    return of_length_one(np.cumsum(np.frombuffer(raw, np.int32, n), dtype=np.int64), np.frombuffer(raw, np.uint32, n, 4 * n).astype(float))
+
+
 def _pack(row: Sparse) -> bytes:
     return row[0].astype(np.int32).tobytes() + row[1].astype(np.float32).tobytes()
 
@@ -153,24 +241,28 @@ def _unpack(raw: bytes) -> Sparse:
     return np.frombuffer(raw, np.int32, n).astype(np.int64), np.frombuffer(raw, np.float32, n, 4 * n).astype(float)
 
 
-def train(docs: DataFrame, labels: DataFrame, good: Column, key: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang", size: str = "n_chars", max_labelled: int = 8000, max_pool: int = 3000, rounds: int = 3, sure: float = 0.95, per_round: int = 500) -> QualityModel | float:
+def train(docs: DataFrame, labels: DataFrame, good: Column, key: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang", size: str = "n_chars", max_labelled: int = 8000, rounds: int = 3, sure: float = 0.95, rate: float = 0.05) -> QualityModel | float:
     """``good`` is a condition over ``labels``, null where a row says nothing."""
     marks = labels.select(F.col(key).alias("_id"), good.cast("int").alias("_y")).where("_id is not null and _y is not null").groupBy("_id").agg(F.min("_y").alias("_y"))
-    wanted = marks.orderBy(F.xxhash64("_id"), "_id").limit(max_labelled)
-    pool = docs.select(F.col(key).alias("_id")).where("_id is not null").join(labels.select(F.col(key).alias("_id")), "_id", "left_anti").distinct().orderBy(F.xxhash64("_id"), "_id").limit(max_pool).withColumn("_y", F.lit(-1))
-    chosen = F.broadcast(wanted.unionByName(pool))  # at most max_labelled + max_pool rows
-    sample = docs.select(F.col(key).alias("_id"), *views(docs, text, source, lang, size)).join(chosen, "_id")
+    wanted = F.broadcast(stored(marks.orderBy(F.xxhash64("_id"), "_id").limit(max_labelled), "labelled-ids"))  # at most max_labelled rows
+    rows = docs.select(F.col(key).alias("_id"), *views(docs, text, source, lang, size))
 
-    def featurise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            b = b.astype(object).where(b.notna(), None)
-            yield pd.DataFrame({"_id": b["_id"], "_y": b["_y"], "t": [_pack(text_view(t)) for t in b["text"]], "m": [_pack(metadata_view(*r)) for r in zip(b["text"], b["source"], b["lang"], b["size"], strict=True)]})
-
-    id_type = sample.schema["_id"].dataType.simpleString()
-    got = sorted(sample.mapInPandas(featurise, f"_id {id_type}, _y int, t binary, m binary").collect(), key=lambda r: (crc32(str(r["_id"]).encode()), str(r["_id"]), r["t"]))
-    labelled = [(_unpack(r["t"]), _unpack(r["m"]), r["_y"]) for r in got if r["_y"] >= 0]
-    unlabelled = [(_unpack(r["t"]), _unpack(r["m"])) for r in got if r["_y"] < 0]
-    return co_train(labelled, unlabelled, rounds, sure, per_round)
+            texts, *others = (b.column(c).to_pylist() for c in ("text", "source", "lang", "size"))
+            t = pa.array([_pack_counts(*counted_view(x)) for x in texts], pa.binary())
+            m = pa.array([_pack(metadata_view(*r)) for r in zip(texts, *others, strict=True)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in b.schema.names if c in ("_id", "_y")), t, m], [*(c for c in b.schema.names if c in ("_id", "_y")), "t", "m"])
+
+    one = F.struct(F.xxhash64("text", "source", "lang", "size").alias("h"), "text", "source", "lang", "size")
+    taken = rows.join(wanted, "_id").groupBy("_id", "_y").agg(F.min(one).alias("d")).select("_id", "_y", "d.*").drop("h")
+    id_type = rows.schema["_id"].dataType.simpleString()
+    got = sorted(taken.mapInArrow(featurise, f"_id {id_type}, _y int, t binary, m binary").collect(), key=lambda r: (crc32(str(r["_id"]).encode()), str(r["_id"])))
+    labelled = [(_unpack_counts(r["t"]), _unpack(r["m"]), r["_y"]) for r in got]
+    if len({r["_y"] for r in got}) < 2:
+        return co_train(labelled, rows.limit(0), 0, sure, rate)
+    pool = stored(rows.join(wanted, "_id", "left_anti").select("text", "source", "lang", "size").mapInArrow(featurise, "t binary, m binary"), "pool-features")
+    return co_train(labelled, pool, rounds, sure, rate)
 
 
 def score(docs: DataFrame, model: QualityModel | float, text: str = "text", source: str = "source", lang: str = "lang", size: str = "n_chars", threshold: float = 0.5) -> DataFrame:

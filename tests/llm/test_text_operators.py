@@ -278,5 +278,26 @@ def test_quality_without_labels_and_with_odd_rows(spark):
     assert all(0 <= r.score <= 1 for r in scored) and len(scored) == 3
 
 
+def test_views_learn_from_every_sure_document_of_the_pool(spark):
+    kind = lambda i: ("book", "calm plain words here") if i % 2 else ("spam", "buy cheap pills now")
+    known = [(i, kind(i)[1], kind(i)[0]) for i in range(80)]
+    pool = [(None if i % 3 else 100 + i, f"{kind(i)[1]} new{i}word", kind(i)[0]) for i in range(4000)]
+    docs = table(spark, known + pool, "doc_id long, text string, source string")
+    labels = table(spark, [(i, i % 2) for i in range(80)], "doc_id long, quality int")
+    model = quality.train(docs, labels, F.col("quality") == 1)
+    weights = np.array([model.text[quality._bucket(f"new{i}word".encode())] for i in range(4000)])
+    right = np.where(np.arange(4000) % 2, 1, -1)
+    assert (weights != 0).all() and (np.sign(weights) == right).mean() > 0.95
+
+
+def test_quality_of_an_empty_table_and_of_a_long_text(spark):
+    labels = table(spark, [(1, 1), (2, 0)], "doc_id long, quality int")
+    docs = table(spark, [(1, "good " * 200_000, "x"), (2, "bad", "x"), (2, "other text of the same id", "x")], "doc_id long, text string, source string")
+    model = quality.train(docs, labels, F.col("quality") == 1)
+    assert quality.score(docs.limit(0), model).count() == 0
+    assert all(0 <= r.score <= 1 for r in quality.score(docs, model).collect())
+    assert quality.train(docs.limit(0), labels, F.col("quality") == 1) == 0.5
+
+
 def test_crc_split_is_that_of_the_text():
     assert zlib.crc32(b"17") % 4 in range(4)
