@@ -22,8 +22,9 @@ Before the sets of a pair are fetched, two to four bits for each shingle tell ho
 that only one set has stands for a shingle that only it has. Pairs that cannot reach the threshold end there.
 
 Defined results: null texts and texts without words have no shingles, are linked with nothing, and are components of
-their own; fewer than five words are one shingle, the whole sequence. Repeated rows of one id are one node. A null id
-is left out. Words split at the six ASCII white-space characters; A-Z are lower-cased.
+their own; fewer than five words are one shingle, the whole sequence. Repeated rows of one id are one node. Rows
+without an id are told apart by a hash of their texts; each has a row in the result, and its component is null unless
+it reaches an id. Words split at the six ASCII white-space characters; A-Z are lower-cased.
 """
 
 from __future__ import annotations
@@ -41,6 +42,7 @@ from budgetloom.llm.components import components
 from budgetloom.operators.lookup import attach
 
 LEVEL_BITS = 22
+UNNAMED = 1 << 62  # keys of rows without an id begin here
 CHUNK = 3_000_000
 BLOCK = 1 << 19
 _ODD = np.random.default_rng(23).integers(0, 1 << 63, 16, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -323,7 +325,8 @@ def open_pairs(members: DataFrame, labels: DataFrame, table: DataFrame, per_cent
         F.min(need).alias("need"),
         F.min(frequent_only >= need).alias("counted"),
     )
-    counted = counted.join(prefix_ends(table, "a"), "a").join(prefix_ends(table, "b"), "b")
+    for side in ("a", "b"):  # one class may stand in very many pairs
+        counted = attach(counted, prefix_ends(table, side).withColumnRenamed(side, "c"), {"c": F.col(side)}, how="inner")
     exact = ~F.col("end_a.common") & ~F.col("end_b.common") & (F.col("end_a.last") != F.col("end_b.last"))
     first = F.when(F.col("end_a.last") < F.col("end_b.last"), F.col("end_a.rest")).otherwise(F.col("end_b.rest"))
     rest = F.when(exact, first).otherwise(F.greatest("end_a.rest", "end_b.rest"))
@@ -332,7 +335,26 @@ def open_pairs(members: DataFrame, labels: DataFrame, table: DataFrame, per_cent
 
 
 def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text", per_cent: int = 80) -> DataFrame:
-    """id, n_shingles, component_id: the smallest id that links reach. One row for each id."""
+    """id, n_shingles, component_id: the smallest id that links reach.
+
+    One row for each id, and one for each row without an id; the component of such a row is null if no id is reached.
+    """
+    own = F.col(key).cast("long")
+    seen = docs.agg(F.max(own).alias("top"), F.count_if(own.isNull()).alias("unnamed")).first()
+    if not seen["unnamed"]:
+        return components_by_id(docs, key, text, per_cent)
+    if (seen["top"] or 0) >= UNNAMED:
+        raise ValueError("beside rows without an id, ids are below 2^62")
+    hashed = F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit(""))), 2)
+    keyed = docs.select(F.coalesce(own, F.lit(UNNAMED) + hashed).alias("key"), F.col(text).alias("text"))
+    found = components_by_id(keyed, "key", "text", per_cent)
+    each = attach(keyed.where(F.col("key") >= UNNAMED).select("key"), found.where(F.col("id") >= UNNAMED), {"id": F.col("key")}, how="inner").withColumnRenamed("key", "id")
+    named = lambda c: F.when(F.col(c) < UNNAMED, F.col(c)).alias(c)
+    return found.where(F.col("id") < UNNAMED).unionByName(each).select(named("id"), "n_shingles", named("component_id"))
+
+
+def components_by_id(docs: DataFrame, key: str, text: str, per_cent: int) -> DataFrame:
+    """What ``similar_components`` gives for rows with an id."""
     table = stored(prefixes(docs, key, text, frequent(docs, text), per_cent).where("id is not null"), "prefixes")
     owners = stored(table.where("n > 0").groupBy("cid").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bits").alias("bits")), "owners")
     members = stored(postings(table, per_cent), "postings")

@@ -229,7 +229,7 @@ def similar_rows(seed, families, copies, words):
 @pytest.mark.parametrize(("seed", "families", "copies", "words"), [(1, 30, 6, 120), (2, 3, 60, 90)])
 def test_similar_components_match_brute_force(spark, seed, families, copies, words):
     rows = similar_rows(seed, families, copies, words)
-    got = {r.id: (r.component_id, r.n_shingles) for r in ngram_join.similar_components(table(spark, rows)).collect()}
+    got = {r.id: (r.component_id, r.n_shingles) for r in ngram_join.similar_components(table(spark, rows).where("doc_id is not null")).collect()}
     want = brute_components(rows)
     assert {i: c for i, (c, _) in got.items()} == want
     assert {i: n for i, (_, n) in got.items()} == {i: len(shingle_set(t)) for i, t in rows if i is not None}
@@ -242,6 +242,13 @@ def test_similar_components_of_empty_and_repeated_rows(spark):
     assert {r.id: r.component_id for r in ngram_join.similar_components(rows).collect()} == {1: 1, 2: 1, 3: 1}
 
 
+def test_similar_components_of_rows_without_an_id(spark):
+    text = sentence(random.Random(4), 60)
+    rows = table(spark, [(9, text), (None, text + " end"), (None, "one two"), (None, "one two"), (None, None), (4, text + " and end"), (5, "other words of another text here")])
+    found = [(r.id, r.component_id, r.n_shingles) for r in ngram_join.similar_components(rows).collect()]
+    assert sorted(found, key=str) == sorted([(9, 4, 56), (4, 4, 58), (None, 4, 57), (None, None, 1), (None, None, 1), (None, None, 0), (5, 5, 2)], key=str)
+
+
 def test_bitmaps_never_understate_what_sets_share():
     rng = np.random.default_rng(3)
     for n, m, shared in [(1, 1, 1), (1, 1, 0), (33, 31, 30), (500, 640, 500), (1000, 1000, 0), (2000, 1030, 900), (5000, 40, 40)]:
