@@ -9,8 +9,10 @@ it; each hit fixes an alignment of text and item, and the windows of that alignm
 Most places of the texts are ruled out inside the tasks by a bitmap of the benchmark's hashes. Its size is fixed
 (2 MB); when a benchmark is so large that it fills, more rows go to the join and the result is the same.
 
-Tokens are runs of word characters in lower case. Items of fewer tokens than a window but at least ``min_tokens`` (two
-blocks) must agree in full, without substitutions; shorter items are no evidence and take no part.
+Tokens are runs of word characters in lower case. Items of fewer tokens than a window, but at least two blocks, must
+agree as a whole, but for as many substitutions as their length allows in proportion (one of 8 to 15 tokens); one of
+their blocks stays clean then, and blocks of such items are a seed of their own. Shorter items are no evidence and take
+no part.
 
 Defined results: null texts have no tokens. Null ids match null ids. Each repeated row is checked; one row for each
 document id and item id is returned. Repeated items give rows of their own. Empty tables give an empty result.
@@ -58,6 +60,11 @@ def masks(window: int, substitutions: int) -> list[np.ndarray]:
     return [np.concatenate((np.arange(size), np.arange(size) + size * (d + 1))) for d in range(substitutions + 1)]
 
 
+def allowed(tokens: int, window: int, substitutions: int) -> int:
+    """Substitutions within a window, or within the whole of a shorter item: in proportion, and one block stays clean."""
+    return substitutions if tokens >= window else min(substitutions * tokens // window, tokens // (window // (substitutions + 2)) - 1)
+
+
 def seed_hashes(tokens: np.ndarray, seeds: list[np.ndarray]) -> list[np.ndarray]:
     """For each seed, the hash at every place where it fits."""
     out = []
@@ -76,7 +83,7 @@ def seed_hashes(tokens: np.ndarray, seeds: list[np.ndarray]) -> list[np.ndarray]
 def good_windows(text: np.ndarray, item: np.ndarray, shift: int, window: int, substitutions: int) -> np.ndarray:
     """Places of ``item`` where a window agrees well enough with ``text``, ``shift`` places further on."""
     if len(item) < window:
-        window, substitutions = len(item), 0
+        window, substitutions = len(item), allowed(len(item), window, substitutions)
     first, last = max(0, -shift), min(len(item), len(text) - shift)
     if last - first < window:
         return np.zeros(0, np.int64)
@@ -86,8 +93,9 @@ def good_windows(text: np.ndarray, item: np.ndarray, shift: int, window: int, su
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", window: int = 16, substitutions: int = 2) -> DataFrame:
     """key, item, tokens (of the item, in good windows), text_start (token where the first of them begins in the text)."""
-    seeds = masks(window, substitutions)
-    least = 2 * (window // (substitutions + 2))
+    size = window // (substitutions + 2)
+    seeds = [*masks(window, substitutions), np.arange(size)]  # the last one for items shorter than a window
+    least = 2 * size
     items = benchmark.select(F.col(item).alias("item"), F.col(item_text).cast("string").alias("item_text"))
     item_type, key_type = items.schema["item"].dataType.simpleString(), docs.schema[key].dataType.simpleString()
 
@@ -98,8 +106,12 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: s
                 if len(tokens) < least:
                     continue
                 found = seed_hashes(tokens, seeds)
-                hashes = np.concatenate(found).view(np.int64)
-                places = np.concatenate([np.arange(len(f)) for f in found])
+                if len(tokens) < window:
+                    places = np.arange(0, len(tokens) - size + 1, size)
+                    hashes = found[-1][places].view(np.int64)
+                else:
+                    hashes = np.concatenate(found[:-1]).view(np.int64)
+                    places = np.concatenate([np.arange(len(f)) for f in found[:-1]])
                 which = batch.column(0).slice(i, 1).take(pa.array(np.zeros(len(hashes), np.int64)))
                 yield pa.RecordBatch.from_arrays([pa.array(hashes), which, pa.array(places.astype(np.int32))], ["hash", "item", "item_at"])
 

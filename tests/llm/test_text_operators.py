@@ -156,7 +156,7 @@ def brute_overlaps(docs, items, window=16, substitutions=2):
         a = re.findall(r"\w+", (t or "").lower())
         for i, u in items:
             b = re.findall(r"\w+", (u or "").lower())
-            w, s = (window, substitutions) if len(b) >= window else (len(b), 0)
+            w, s = (window, substitutions) if len(b) >= window else (len(b), substitutions * len(b) // window)
             if len(b) >= 8 and any(sum(x != y for x, y in zip(a[p : p + w], b[q : q + w])) <= s for p in range(len(a) - w + 1) for q in range(len(b) - w + 1)):
                 out[d, i] = True
     return set(out)
