@@ -5,14 +5,15 @@ tokens of the training rows are gathered by Spark. The ``model_words`` (at most:
 each) most frequent tokens are symbols of the model;
 the others share a symbol for each shape (how they end, and whether they are ASCII). Two context symbols give a
 vector by linear maps; its products with the symbols' vectors plus biases are the scores. Noise-contrastive estimation
-fits all of it on all training rows, in tasks: each partition takes its steps over whole texts, whose repeated trigrams
-are counted first, and the parameters are averaged between rounds. Which texts share a partition moves the averages a
-little; no row is drawn or left out. The normalisers of all pairs of context symbols come from batched matrix products, so probabilities sum to one. A token
-of a shape has the shape's probability times its smoothed share of the shape's counts (one event is kept for the
-unseen), so a text's probability covers every token.
+fits all of it on all training rows, in tasks: trigrams are counted over the whole input first and dealt by their hash
+into shards, whose number follows from the tokens alone; the parameters that the shards make of them are averaged
+between rounds. So the same rows give the same model on any cluster, but for the rounding of sums; no row is drawn or
+left out. The normalisers of all pairs of context symbols come from batched matrix products, so probabilities sum to
+one. A token of a shape has the shape's probability times its smoothed share of the shape's counts (one event is kept
+for the unseen), so a text's probability covers every token.
 
-Counts of the ``common_words`` most frequent tokens travel to the tasks as a dictionary of bounded size; those of all
-other tokens come by a join.
+Counts of the most frequent tokens (``common_words`` at most; tokens of about the same count go together) travel to the
+tasks as a dictionary; those of all other tokens come by a join.
 
 Defined results: a null text is the empty text and has only the end token. Without training rows, every count is 0 and
 the model is the uniform share of the one unseen event. Repeated rows are counted and scored each on its own.
@@ -29,6 +30,7 @@ from itertools import islice, repeat
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +44,11 @@ MODEL_WORDS = 2048 - SHAPES
 FLUSH_KEYS = 4_000_000
 MOST_TIMES = 16
 SLICE = 4096
+#: A shard holds the distinct trigrams among so many tokens, on average, and is one task's group.
+SHARD_TOKENS = 6_000_000
+#: Tasks' sums of parameters are added in two steps, the first in so many groups for each slice.
+SALTS = 64
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def tokens_of(text: str | None) -> list[bytes]:
@@ -111,14 +118,46 @@ def trigram_keys(symbols: np.ndarray, end: int) -> np.ndarray:
     return s[2:] << 32 | s[1:-1] << 16 | s[:-2]
 
 
-def repeated(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct keys in random order, with how often each comes; those of more than ``MOST_TIMES`` in several entries."""
-    unique, n = np.unique(keys, return_counts=True)
+def repeated(keys: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in random order, with how often each comes; those of more than ``MOST_TIMES`` in several entries.
+
+    ``n`` says how often each of ``keys`` comes, once where it is not given.
+    """
+    unique, n = counted(keys, n)
     entries = -(-n // MOST_TIMES)
     order = np.random.default_rng(len(unique)).permutation(int(entries.sum()))
     return np.repeat(unique, entries)[order], np.repeat((n / entries).astype(np.float32), entries)[order]
 
 
+def counted(keys: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys and the sums of ``n``, or how often each comes."""
+    if n is None:
+        return np.unique(keys, return_counts=True)
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order]
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def sharded(keys: np.ndarray, n: np.ndarray, shards: int) -> Iterator[pa.RecordBatch]:
+    """A row for each shard: its keys and how often they come, as bytes."""
+    shard = (((keys.astype(np.uint64) * _ODD) >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
+    order = np.argsort(shard, kind="stable")
+    shard, keys, n = shard[order], keys[order], n[order]
+    first = np.flatnonzero(np.concatenate(([True], shard[1:] != shard[:-1])))
+    ends = np.append(first[1:], len(shard))
+    for at in range(0, len(first), 256):
+        some = list(zip(first[at : at + 256], ends[at : at + 256], strict=True))
+        yield pa.RecordBatch.from_arrays([pa.array(shard[first[at : at + 256]]), *[pa.array([x[i:j].tobytes() for i, j in some], pa.binary()) for x in (keys, n)]], ["shard", "keys", "n"])
+
+
+def merged(table: pa.Table) -> pa.Table:
+    """One row of a shard from all of them: its distinct keys, in order, and their counts."""
+    keys, n = (np.frombuffer(b"".join(table.column(c).to_pylist()), np.int64) for c in ("keys", "n"))
+    keys, n = counted(keys, n)
+    return pa.table({"shard": table.column("shard").slice(0, 1), "keys": pa.array([keys.tobytes()], pa.binary()), "n": pa.array([n.tobytes()], pa.binary())})
+
+
 class Estimation:
     """Noise-contrastive estimation in numpy, with Adagrad steps; a batch shares its noise symbols, drawn by their counts."""
 
@@ -187,48 +226,65 @@ class Estimation:
         return LogBilinear(near, far, output, bias, normalisers(near, far, output, bias))
 
 
-def learn_in_tasks(trigrams: DataFrame, fit: Estimation, rounds: int) -> None:
-    """``rounds`` passes of ``fit`` over all ``trigrams`` (key, times), each partition in its own task.
+def learn_in_tasks(shards: DataFrame, fit: Estimation, rounds: int) -> None:
+    """``rounds`` passes of ``fit`` over all ``shards`` (shard, keys, n), each on its own from the same parameters.
 
-    Between rounds Spark takes, slice by slice, the mean of what the partitions have made of each parameter, weighted
-    by the squared gradients that each has seen of it; what no partition has touched stays. The squared gradients go on
-    as their mean. A task holds ``FLUSH_KEYS`` entries and the parameters, the driver the parameters alone.
+    Between rounds Spark takes, slice by slice, the mean of what the shards have made of each parameter, weighted by the
+    squared gradients that each has seen of it; what no shard has touched stays. The squared gradients go on as their
+    mean. A task holds one shard and the parameters, the driver the parameters alone.
     """
     for r in range(rounds):
-        sent = trigrams.sparkSession.sparkContext.broadcast(fit)
+        sent = shards.sparkSession.sparkContext.broadcast(fit)
 
         def learn(batches: Iterator[pa.RecordBatch], r: int = r, sent=sent) -> Iterator[pa.RecordBatch]:
-            own, rng = copy.deepcopy(sent.value), np.random.default_rng((sent.value.seed, r))
-            held: list[tuple[np.ndarray, np.ndarray]] = []
-            entries = 0
+            start = sent.value
+            moved, mass, count = np.zeros(len(start.values)), np.zeros(len(start.values)), 0
             for batch in batches:
-                held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
-                entries += batch.num_rows
-                if sum(len(k) for k, _ in held) >= FLUSH_KEYS:
-                    own.learn(*map(np.concatenate, zip(*held, strict=True)), rng)
-                    held = []
-            if held:
-                own.learn(*map(np.concatenate, zip(*held, strict=True)), rng)
-            if entries:
-                mass = own.history - sent.value.history
-                moved = mass * (own.values - sent.value.values)
+                for i in range(batch.num_rows):
+                    shard, (keys, n) = batch.column(0)[i].as_py(), (np.frombuffer(batch.column(c)[i].as_buffer(), np.int64) for c in (1, 2))
+                    own = copy.deepcopy(start)
+                    own.learn(*repeated(keys, n), np.random.default_rng((start.seed, r, shard)))
+                    seen = own.history - start.history
+                    moved += seen * (own.values - start.values)
+                    mass += seen
+                    count += 1
+            if count:
                 at = range(0, len(mass), SLICE)
-                yield pa.RecordBatch.from_arrays([pa.array([i // SLICE for i in at], pa.int32()), *[pa.array([x[i : i + SLICE].tobytes() for i in at], pa.binary()) for x in (moved, mass)]], ["slice", "moved", "mass"])
+                salt = TaskContext.get().partitionId() % SALTS
+                yield pa.RecordBatch.from_arrays([pa.array([i // SLICE for i in at], pa.int32()), pa.array([salt] * len(at), pa.int32()), *[pa.array([x[i : i + SLICE].tobytes() for i in at], pa.binary()) for x in (moved, mass)], pa.array([count] * len(at), pa.int64())], names)
 
-        def mean(table: pa.Table) -> pa.Table:
-            moved, mass = (sum(np.frombuffer(x, np.float32).astype(np.float64) for x in table.column(c).to_pylist()) for c in ("moved", "mass"))
-            moved = (moved / np.where(mass > 0, mass, 1)).astype(np.float32)
-            mass = (mass / table.num_rows).astype(np.float32)
-            return pa.table({"slice": table.column("slice").slice(0, 1), "moved": pa.array([moved.tobytes()], pa.binary()), "mass": pa.array([mass.tobytes()], pa.binary())})
+        def added(table: pa.Table) -> pa.Table:
+            sums = [pa.array([sum(np.frombuffer(x, np.float64) for x in table.column(c).to_pylist()).tobytes()], pa.binary()) for c in ("moved", "mass")]
+            return pa.table([*[table.column(c).slice(0, 1) for c in ("slice", "salt")], *sums, pa.array([sum(table.column("shards").to_pylist())], pa.int64())], names)
 
-        schema = "slice int, moved binary, mass binary"
-        for row in trigrams.select("key", "times").mapInArrow(learn, schema).groupBy("slice").applyInArrow(mean, schema).collect():
+        schema = "slice int, salt int, moved binary, mass binary, shards long"
+        names = ["slice", "salt", "moved", "mass", "shards"]
+        made = shards.select("shard", "keys", "n").mapInArrow(learn, schema)
+        for row in made.groupBy("slice", "salt").applyInArrow(added, schema).groupBy("slice").applyInArrow(added, schema).collect():
             at = slice(row["slice"] * SLICE, (row["slice"] + 1) * SLICE)
-            fit.values[at] += np.frombuffer(row["moved"], np.float32)
-            fit.history[at] += np.frombuffer(row["mass"], np.float32)
+            moved, mass = (np.frombuffer(row[c], np.float64) for c in ("moved", "mass"))
+            fit.values[at] += (moved / np.where(mass > 0, mass, 1)).astype(np.float32)
+            fit.history[at] += (mass / row["shards"]).astype(np.float32)
         sent.destroy()
 
 
+def most_frequent(counts: DataFrame, at_most: int) -> list[tuple[bytes, int]]:
+    """(token, n) of the most frequent tokens, the largest n first, ties by token; those of about the same n go together.
+
+    Their least count is found in a histogram, so that no task sends more of them than belong to the result.
+    """
+    step = F.floor(F.log2(F.col("n").cast("double")) * 64).cast("int")
+    left, cut = at_most, None
+    for row in counts.groupBy(step.alias("step")).agg(F.count("*").alias("tokens")).orderBy(F.desc("step")).collect():
+        left -= row["tokens"]
+        if left < 0:
+            break
+        cut = row["step"]
+    if cut is None:
+        return []
+    return sorted(((bytes(r["token"]), r["n"]) for r in counts.where(step >= cut).collect()), key=lambda x: (-x[1], x[0]))
+
+
 def normalisers(near: np.ndarray, far: np.ndarray, output: np.ndarray, bias: np.ndarray) -> np.ndarray:
     """log sum over the symbols of exp(score), for all pairs of context symbols: one matrix product for each 64 rows."""
     out = np.empty((len(near), len(far)), np.float32)
@@ -242,16 +298,16 @@ def normalisers(near: np.ndarray, far: np.ndarray, output: np.ndarray, bias: np.
     return out
 
 
-def score(docs: DataFrame, training: DataFrame, text: str = "text", model_words: int = MODEL_WORDS, common_words: int = 1 << 17, max_train_docs: int | None = None, rounds: int = 3) -> DataFrame:
+def score(docs: DataFrame, training: DataFrame, text: str = "text", model_words: int = MODEL_WORDS, common_words: int = 1 << 17, rounds: int = 3) -> DataFrame:
     """``docs`` without its text, with n_tokens, n_known, train_tokens, base_score and score (log10).
 
-    Columns of ``docs`` with these names are replaced. ``max_train_docs`` has no effect any more: all rows are learned.
+    Columns of ``docs`` with these names are replaced.
     """
     spark = docs.sparkSession
     counts = stored(count_tokens(training, text), "token-counts")
     totals = counts.agg(F.sum("n").alias("tokens"), F.count("*").alias("kinds"), F.max(F.when(F.col("token") == F.lit(END), F.col("n"))).alias("texts")).first()
     train_tokens, kinds = totals["tokens"] or 0, totals["kinds"]
-    common = [(bytes(r["token"]), r["n"]) for r in counts.orderBy(F.desc("n"), "token").limit(common_words).collect()]
+    common = most_frequent(counts, common_words)
     if all(t != END for t, _ in common[:model_words]):
         common = [(END, totals["texts"] or 0), *[x for x in common if x[0] != END]]
     words = min(model_words, len(common))
@@ -268,6 +324,7 @@ def score(docs: DataFrame, training: DataFrame, text: str = "text", model_words:
     shape_log = np.log10(shape_tokens + 0.5 * (shape_kinds + 1))
     symbols = {t: i for i, (t, _) in enumerate(common[:words])}
     end = symbols[END]
+    shards = max(1, -(-train_tokens // SHARD_TOKENS))
 
     def symbols_of(text: str | None) -> np.ndarray:
         return np.array([symbols[t] if t in symbols else words + shape(t) for t in [*tokens_of(text), END]], np.uint16)
@@ -286,12 +343,11 @@ def score(docs: DataFrame, training: DataFrame, text: str = "text", model_words:
             yield from entries(held)
 
     def entries(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        keys, times = repeated(np.concatenate(held))
-        for i in range(0, len(keys), 50_000):
-            yield pa.RecordBatch.from_arrays([pa.array(keys[i : i + 50_000]), pa.array(times[i : i + 50_000])], ["key", "times"])
+        yield from sharded(*counted(np.concatenate(held)), shards)
 
     fit = Estimation(np.concatenate(([n for _, n in common[:words]], shape_tokens)), dims=24, batch=1024, noise=200, rate=0.08, seed=5)
-    learn_in_tasks(stored(training.select(text).mapInArrow(trigrams, "key long, times float"), "trigrams"), fit, rounds)
+    dealt = "shard long, keys binary, n binary"
+    learn_in_tasks(stored(training.select(text).mapInArrow(trigrams, dealt).groupBy("shard").applyInArrow(merged, dealt), "trigrams"), fit, rounds)
     model = fit.model()
 
     symbol_of = np.array([i if i < words else words + shape(t) for i, (t, _) in enumerate(common)], np.int64)
