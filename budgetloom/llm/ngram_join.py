@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from budgetloom.llm.common import likely, stored
+from budgetloom.llm.common import likely, likely_marked, stored
 from budgetloom.llm.components import components
 from budgetloom.operators.lookup import attach
 
@@ -196,11 +196,14 @@ def postings(table: DataFrame, per_cent: int) -> DataFrame:
 
     Rows are range-partitioned and sorted, so a frequent shingle's rows spread over tasks; each task streams over its
     rows and takes the first of a group as its pivot. What a task's edges leave open is marked, for the next step.
+    Every shingle of every prefix travels, so its row is small: the band follows from n, and p is negative where the
+    shingle is common.
     """
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / per_cent))).cast("int")
-    rows = table.where("n > 0").select("cid", "n", "rare", F.size("prefix").alias("p"), band.alias("band"), F.explode(F.arrays_zip("prefix", "common")).alias("x"))
-    rows = rows.select(F.col("x.prefix").alias("shingle"), F.col("x.common").alias("common"), "band", "rare", "cid", "n", "p")
-    dealt = rows.repartitionByRange("shingle", "band", "rare", "cid").sortWithinPartitions("shingle", "band", "rare", "cid")
+    rows = table.where("n > 0").select("cid", "n", "rare", F.size("prefix").alias("p"), F.explode(F.arrays_zip("prefix", "common")).alias("x"))
+    rows = rows.select(F.col("x.prefix").alias("shingle"), "rare", "cid", "n", F.when(F.col("x.common"), -F.col("p")).otherwise(F.col("p")).alias("p"))
+    dealt = rows.repartitionByRange(F.col("shingle"), band, F.col("rare"), F.col("cid"))
+    dealt = dealt.select("shingle", (F.col("p") < 0).alias("common"), band.alias("band"), "rare", "cid", "n", F.abs("p").alias("p")).sortWithinPartitions("shingle", "band", "rare", "cid")
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = cid = pivot_band = pivot = None
@@ -311,13 +314,20 @@ def open_pairs(members: DataFrame, labels: DataFrame, table: DataFrame, per_cent
     All shingles that two sets share up to the end of the prefix that ends first are counted; beyond it, they share no
     more than that set has left. Where prefixes end among frequent shingles, the larger rest counts.
     """
-    named = attach(members, labels.withColumnRenamed("node", "m"), {"m": F.col("cid")}).withColumn("comp", F.coalesce("component", "cid")).select("shingle", "common", "cid", "n", "rare", "p", "comp")
-    mixed = named.groupBy("shingle").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select(F.col("shingle").alias("s"))
-    left = stored(attach(named, mixed, {"s": F.col("shingle")}, how="left_semi"), "open-groups")
+    told = likely_marked(members.select("shingle", "common", "cid", "n", "rare"), F.col("cid"), labels, F.col("node"), "told")
+    named = attach(told.where("told"), labels.withColumnRenamed("node", "m"), {"m": F.col("cid")})
+    named = stored(named.select("shingle", "common", "cid", "n", "rare", F.coalesce("component", "cid").alias("comp")), "named")
+    alone = told.where("not told").select("shingle", "common", "cid", "n", "rare", F.col("cid").alias("comp"))
+    # A class without links is a component of its own, so its groups are never within one: only the others' are looked up.
+    by_shingle = named.select("shingle", "comp").unionByName(alone.select("shingle", "comp")).groupBy("shingle")
+    mixed = by_shingle.agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select(F.col("shingle").alias("s"))
+    left = stored(attach(named, mixed, {"s": F.col("shingle")}, how="left_semi").unionByName(alone), "open-groups")
     a, b = left.alias("a"), left.alias("b")
     frequent_only = F.least(F.col("a.n") - F.col("a.rare"), F.col("b.n") - F.col("b.rare"))
     need = least_overlap(F.col("a.n"), F.col("b.n"), per_cent)
-    meets = (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.cid") > F.col("b.cid")) & (F.col("a.comp") != F.col("b.comp")) & possible(F.col("a.n"), F.col("b.n"), per_cent)
+    # Equal shingles are equally common; named on both sides, the column lets one shuffle serve both.
+    same = (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.common") == F.col("b.common"))
+    meets = same & (F.col("a.cid") > F.col("b.cid")) & (F.col("a.comp") != F.col("b.comp")) & possible(F.col("a.n"), F.col("b.n"), per_cent)
     rows = a.join(b, meets & (~F.col("a.common") | (frequent_only >= need)))
     counted = rows.groupBy(F.col("a.cid").alias("a"), F.col("b.cid").alias("b")).agg(
         F.count("*").alias("shared"),
