@@ -14,8 +14,10 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from math import erf, sqrt
+from sys import byteorder
 
 import numpy as np
 import pandas as pd
@@ -32,51 +34,45 @@ LETTER, NUMBER = "a-zªµºß-öø-ſ", "0-9²³¹¼-¾"
 #: The tokenizer's own word pattern for such characters.
 WORDS = re.compile(f"[{LETTER}]+|'(?:s|t|re|ve|m|ll|d)|[{NUMBER}]|[^\\s{LETTER}{NUMBER}]+")
 CACHE_WORDS = 400_000
+#: How byte-level tokenizers spell the bytes that are no printable Latin-1 characters: by those from U+0100 on.
+BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174))}
 _STATE: dict = {}
 
 
 class WordCache(dict):
     """Token ids of words, as little-endian unsigned 16-bit bytes. The tokenizer treats words one by one, so a text's ids
-    are those of its words end to end; texts with other characters or control strings go to the tokenizer whole."""
+    are those of its words end to end; texts with other characters or control strings go to the tokenizer whole.
+
+    A new word goes to the tokenizer's model alone, with its bytes spelled as the model's letters: the words are known, so
+    they need no second search for them, and no offsets are wanted."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.control = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
-        vocabulary = self.tokenizer.get_vocab()
-        if max(vocabulary.values()) > 65535:
+        if max(self.tokenizer.get_vocab().values()) > 65535:
             raise ValueError("ids of at most 16 bits are expected")
-        self.ends = np.zeros(65536, bool)  # ids that end a word
-        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
 
-    def learn(self, words: list[str]) -> None:
-        """All new words in one text: white space separates them, and the ids that end a word tell them apart."""
-        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u2")
-        cuts = (2 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
-        raw = ids.tobytes()
-        self.update(zip(words, map(raw.__getitem__, map(slice, [0, *cuts[:-1]], cuts)), strict=True))
+    def __missing__(self, word: str) -> bytes:
+        spelled = word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_LETTERS)
+        ids = array("H", [t.id for t in self.model.tokenize(spelled)])
+        if byteorder == "big":
+            ids.byteswap()
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        self[word] = raw = ids.tobytes()
+        return raw
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text; null is the empty text."""
-        split = [WORDS.findall(t.lower()) if t and self.is_plain(t) else None for t in texts]
-        ids = [self.known(s) if s is not None else None for s in split]
-        words = set().union(*[s for s, i in zip(split, ids, strict=True) if s and i is None])
-        new = [w for w in words if w not in self]
-        if len(self) + len(new) > CACHE_WORDS:
-            self.clear()
-            new = list(words)
-        for at in range(0, len(new), 20_000):
-            self.learn(new[at : at + 20_000])
-        whole = lambda t: np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u2").tobytes() if t else b""
-        return [i if i is not None else whole(t) if s is None else b"".join(map(self.__getitem__, s)) for t, s, i in zip(texts, split, ids, strict=True)]
-
-    def known(self, words: list[str]) -> bytes | None:
-        """The ids of the words, or nothing where one is new."""
-        try:
-            return b"".join(map(self.__getitem__, words))
-        except KeyError:
-            return None
+        return [self.encode(t) if t else b"" for t in texts]
+
+    def encode(self, text: str) -> bytes:
+        if self.is_plain(text):
+            return b"".join(map(self.__getitem__, WORDS.findall(text.lower())))
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
 
     def is_plain(self, text: str) -> bool:
         return PLAIN.fullmatch(text) is not None and (text.isascii() or unicodedata.is_normalized("NFC", text)) and not any(c in text for c in self.control)

@@ -101,6 +101,14 @@ def test_word_cache_gives_the_tokenizers_ids():
             assert np.frombuffer(got, "<u2").tolist() == cache.tokenizer.encode(t or "", add_special_tokens=False).ids
 
 
+def test_plain_texts_need_no_pass_of_the_whole_tokenizer():
+    cache = sequence_packing.WordCache(public_tokenizers.path(WORD_BPE))
+    texts = ["Hello, World's 12 things! ŁÓDŹ µ ª", "wörd " * 50, "new-word's ß"]
+    want = [cache.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    cache.tokenizer = None
+    assert [np.frombuffer(i, "<u2").tolist() for i in cache.encode_all(texts)] == want
+
+
 def test_packing_keeps_every_id_once(spark):
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)] + [(None, "x y"), (2, TEXTS[2])], "doc_id long, text string")
     path = public_tokenizers.path(WORD_BPE)
