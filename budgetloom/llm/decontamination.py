@@ -39,19 +39,25 @@ _ODD = np.random.default_rng(17).integers(0, 1 << 63, 64, np.uint64) * np.uint64
 
 
 class _Hashes(dict):
-    def __missing__(self, word: str) -> int:
-        h = int.from_bytes(blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+    """Hashes of tokens, as 8 bytes each."""
+
+    def __missing__(self, word: str) -> bytes:
+        h = blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest()
         if len(self) < 400_000:
             self[word] = h
         return h
 
 
 _CACHE = _Hashes()
+#: ASCII with every character that is none of a word's as a space.
+_SPACED = "".join(c if TOKEN.match(c) else " " for c in map(chr, range(128)))
 
 
 def token_hashes(text: str | None) -> np.ndarray:
-    words = TOKEN.findall((text or "").lower())
-    return np.fromiter(map(_CACHE.__getitem__, words), np.uint64, len(words))
+    """Hashes of the text's tokens. In ASCII, where the characters of words are few, a table does what the pattern would."""
+    lower = (text or "").lower()
+    words = lower.translate(_SPACED).split() if lower.isascii() else TOKEN.findall(lower)
+    return np.frombuffer(b"".join(map(_CACHE.__getitem__, words)), "<u8")
 
 
 def masks(window: int, substitutions: int) -> list[np.ndarray]:
@@ -65,17 +71,43 @@ def allowed(tokens: int, window: int, substitutions: int) -> int:
     return substitutions if tokens >= window else min(substitutions * tokens // window, tokens // (window // (substitutions + 2)) - 1)
 
 
-def seed_hashes(tokens: np.ndarray, seeds: list[np.ndarray]) -> list[np.ndarray]:
-    """For each seed, the hash at every place where it fits."""
+def _runs(seeds: list[np.ndarray]) -> list[list[tuple[int, int, int]]]:
+    """Each seed's places in runs of neighbours: number of the first kept place, length, place. All are cut at the same numbers,
+    so that seeds share runs."""
+    cuts = sorted({int(c) + 1 for kept in seeds for c in np.flatnonzero(np.diff(kept) != 1)})
+    out = []
+    for kept in seeds:
+        ends = [0, *[c for c in cuts if c < len(kept)], len(kept)]
+        out.append([(a, b - a, int(kept[a])) for a, b in zip(ends, ends[1:])])
+    return out
+
+
+def seed_hashes(tokens: np.ndarray, seeds: list[np.ndarray], runs: list[list[tuple[int, int, int]]] | None = None) -> list[np.ndarray]:
+    """For each seed, the hash at every place where it fits.
+
+    A hash is a sum over the kept places, so a run of neighbours that several seeds keep is summed once for all places
+    (``runs``: those of the seeds, for callers with many texts).
+    """
     out = []
-    for k, kept in enumerate(seeds):
+    mixed, sums = tokens ^ (tokens >> np.uint64(29)), {}
+
+    def summed(first: int, size: int) -> np.ndarray:
+        if (first, size) not in sums:
+            n = len(mixed) - size + 1
+            total = mixed[:n] * _ODD[first]
+            for i in range(1, size):
+                total += mixed[i : i + n] * _ODD[first + i]
+            sums[first, size] = total
+        return sums[first, size]
+
+    for k, (kept, parts) in enumerate(zip(seeds, runs or _runs(seeds), strict=True)):
         n = len(tokens) - int(kept[-1])
         if n <= 0:
             out.append(np.zeros(0, np.uint64))
             continue
         h = np.full(n, _ODD[60 + k % 4], np.uint64)
-        for i, at in enumerate(kept):
-            h += (tokens[at : at + n] ^ (tokens[at : at + n] >> np.uint64(29))) * _ODD[i]
+        for first, size, at in parts:
+            h += summed(first, size)[at : at + n]
         out.append((h ^ (h >> np.uint64(31))) * _ODD[59])
     return out
 
@@ -95,6 +127,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: s
     """key, item, tokens (of the item, in good windows), text_start (token where the first of them begins in the text)."""
     size = window // (substitutions + 2)
     seeds = [*masks(window, substitutions), np.arange(size)]  # the last one for items shorter than a window
+    runs = _runs(seeds)
     least = 2 * size
     items = benchmark.select(F.col(item).alias("item"), F.col(item_text).cast("string").alias("item_text"))
     item_type, key_type = items.schema["item"].dataType.simpleString(), docs.schema[key].dataType.simpleString()
@@ -105,7 +138,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: s
                 tokens = token_hashes(t)
                 if len(tokens) < least:
                     continue
-                found = seed_hashes(tokens, seeds)
+                found = seed_hashes(tokens, seeds, runs)
                 if len(tokens) < window:
                     places = np.arange(0, len(tokens) - size + 1, size)
                     hashes = found[-1][places].view(np.int64)
@@ -129,7 +162,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: s
             for i, t in enumerate(batch.column(1).to_pylist()):
                 tokens = token_hashes(t)
                 for begin in range(0, max(1, len(tokens)), BLOCK):
-                    for h in seed_hashes(tokens[begin : begin + BLOCK + window], seeds):
+                    for h in seed_hashes(tokens[begin : begin + BLOCK + window], seeds, runs):
                         at = np.flatnonzero((bits[h >> np.uint64(64 - BITMAP_BITS + 6)] >> ((h >> np.uint64(64 - BITMAP_BITS)) & np.uint64(63))) & np.uint64(1))
                         if len(at):
                             which = batch.column(0).slice(i, 1).take(pa.array(np.zeros(len(at), np.int64)))

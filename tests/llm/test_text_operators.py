@@ -181,6 +181,21 @@ def test_decontamination_matches_brute_force(spark):
     assert {r.doc_id for r in left.collect()} == {d for d, _ in docs} - {d for d, _ in want}
 
 
+def test_seeds_share_the_sums_of_their_blocks():
+    seeds = [*decontamination.masks(16, 2), np.arange(4)]
+    assert {(a, n) for runs in decontamination._runs(seeds) for a, n, _ in runs} == {(0, 4), (4, 4)}
+    tokens = decontamination.token_hashes("Ein_Wort, don't STOP straße İ x9 " * 5)
+    assert len(tokens) == len(decontamination.TOKEN.findall(("Ein_Wort, don't STOP straße İ x9 " * 5).lower()))
+    odd, u = decontamination._ODD, np.uint64
+    for k, (kept, got) in enumerate(zip(seeds, decontamination.seed_hashes(tokens, seeds), strict=True)):
+        for at in range(len(tokens) - int(kept[-1])):
+            h = odd[60 + k % 4]
+            for i, place in enumerate(kept):
+                t = tokens[at + place]
+                h = u((int(h) + int(t ^ (t >> u(29))) * int(odd[i])) % 2**64)
+            assert got[at] == u(int(h ^ (h >> u(31))) * int(odd[59]) % 2**64)
+
+
 def test_decontamination_of_empty_tables(spark):
     none, items = table(spark, []), table(spark, [], "item_id long, text string")
     assert decontamination.overlaps(none, items).count() == 0
