@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 from checks.compare import duck_rows, rows_of
+from checks.fixtures import CODE_LISTS, derive
 from checks.spark_queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -40,3 +41,16 @@ def test_results_do_not_depend_on_broadcasting(spark, name):
     finally:
         spark.conf.set(settings[0], before)
         spark.conf.unset(settings[1])
+
+
+def test_code_lists_are_known_to_be_small(spark):
+    """A sum over a large table counts as large until it is stored; then looking it up shuffles no wide row."""
+    for name, df in derive(spark, SF, *CODE_LISTS).items():
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue()
+        assert size < 10_000 and "Scan parquet" in df._jdf.queryExecution().executedPlan().toString() and "Aggregate" not in df._jdf.queryExecution().optimizedPlan().toString(), name
+
+
+def test_the_fact_reads_its_lines_once(spark):
+    """Stage 2 and the contracts, which are needed more than once, are stored."""
+    plan = entry_points.queries()["budget_fact"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" not in plan and "er_tbl_name" not in plan
