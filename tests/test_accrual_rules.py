@@ -170,3 +170,14 @@ def test_counts_and_verdict(spark):
     assert {(r["rule_id"], r["n_errors"]) for r in rule_counts(out).collect()} == {("V05", 2), ("V11", 1)}
     assert tuple(verdict(out, 3).first()) == (3, "ERROR", 3)
     assert tuple(verdict(errors(spark, {}), 3).first()) == (3, "SUCCESS", 0)
+
+
+def test_a_record_is_placed_once_before_its_errors_are_told_apart(spark):
+    rows = table(spark, "er_selfservice_accrual_records", {"pk_accr_recs_id": 1}, {"pk_accr_recs_id": 2})
+    seen = []
+    place = lambda df: seen.append(df) or df.hint("rebalance")
+    ask = {"load_num": 3, "run_ts": F.lit("2024-01-31").cast("timestamp"), "keep": ("pk_accr_recs_id",)}
+    out = error_rows(rows, known(spark), place=place, **ask)
+    told = lambda df: sorted((r["pk_accr_recs_id"], r["rule_id"]) for r in df.collect())
+    assert told(out) == told(error_rows(rows, known(spark), **ask)) and out.count() > 4
+    assert seen[0].count() == 2

@@ -73,3 +73,20 @@ def test_attach_keeps_only_its_own_columns(spark):
     left = spark.createDataFrame([("a", 1)], "k string, x int")
     assert attach(left, dim(spark), {"code": F.col("k")}).columns == ["k", "x", "id"]
     assert attach(left, dim(spark).select("code"), {"code": F.col("k")}, "left_anti").count() == 0
+
+
+def test_rows_without_a_key_are_spread_over_tasks(spark):
+    """They meet nothing, so that their hash need not bring them together."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        rows = spark.range(200).select("id", F.when(F.col("id") < 4, F.col("id")).alias("k"))
+        known = spark.createDataFrame([(1, "a")], "code long, name string")
+        out = attach(rows, known, {"code": F.col("k")}, spread=F.xxhash64("id"))
+        assert [r["id"] for r in out.filter(F.col("name") == "a").collect()] == [1] and out.count() == 200
+        assert out.filter(F.col("k").isNull()).select(F.spark_partition_id()).distinct().count() > 1
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
