@@ -46,7 +46,7 @@ def test_results_do_not_depend_on_broadcasting(spark, name):
 def test_code_lists_are_known_to_be_small(spark):
     """A sum over a large table counts as large until it is stored; then looking it up shuffles no wide row."""
     for name, df in derive(spark, SF, *CODE_LISTS).items():
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue()
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
         assert size < 10_000 and "Scan parquet" in df._jdf.queryExecution().executedPlan().toString() and "Aggregate" not in df._jdf.queryExecution().optimizedPlan().toString(), name
 
 
