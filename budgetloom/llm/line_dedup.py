@@ -24,11 +24,16 @@ from pyspark.sql import functions as F
 from budgetloom.llm.common import likely, stored, with_row_key
 from budgetloom.operators.lookup import attach
 
-SPACE = r"[\x20\x09-\x0D]+"
+def spaced(text: Column) -> Column:
+    """``text`` with a space for each other white space character within lines: a split at one character needs no pattern."""
+    for other in "\t\x0b\x0c\r":
+        text = F.replace(text, F.lit(other), F.lit(" "))
+    return text
 
 
 def words_of(line: Column) -> Column:
-    return F.filter(F.split(line, SPACE), lambda w: w != "")
+    """Words of a spaced line."""
+    return F.array_remove(F.split(line, " "), "")
 
 
 def halves(words: Column, n: Column) -> Column:
@@ -52,9 +57,9 @@ def wrapped_sum(a: Column, b: Column) -> Column:
 
 
 def lines_of(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """doc, line (from 0), words."""
-    split = docs.select(F.col(key).alias("doc"), F.posexplode(F.split(F.coalesce(F.col(text).cast("string"), F.lit("")), "\n")).alias("line", "body"))
-    return split.select("doc", "line", words_of(F.col("body")).alias("words"))
+    """doc, line (from 0), words, of the lines that have words."""
+    split = docs.select(F.col(key).alias("doc"), F.posexplode(F.split(spaced(F.coalesce(F.col(text).cast("string"), F.lit(""))), "\n")).alias("line", "body"))
+    return split.where(F.trim("body") != "").select("doc", "line", words_of(F.col("body")).alias("words"))
 
 
 def identity(words: Column) -> list[Column]:
@@ -62,10 +67,10 @@ def identity(words: Column) -> list[Column]:
 
 
 def near_pairs(survivors: DataFrame) -> DataFrame:
-    """survivors: h1, h2, first, words. a (later line), b (earlier line): structs of first, h1, h2; verified."""
+    """survivors: h1, h2, first, words, and placed and bag, their totals. a (later line), b (earlier line): structs of first, h1, h2; verified."""
     own = F.struct("first", "h1", "h2")
     n = F.size("words")
-    rows = survivors.select(own.alias("own"), n.alias("n"), "words", total(F.col("words"), True).alias("placed"), total(F.col("words"), False).alias("bag"))
+    rows = survivors.select(own.alias("own"), n.alias("n"), "words", "placed", "bag")
     each = rows.select("own", "n", "placed", "bag", F.posexplode("words").alias("p", "w"))
     minus = lambda s, h: F.pmod(F.col(s) - F.pmod(h, F.lit(1 << 61)), F.lit(1 << 61))
     masked = each.select("own", F.xxhash64("n", "p", minus("placed", F.xxhash64("w", "p"))).alias("key"))
@@ -95,25 +100,27 @@ def dropped_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_
     if min_words < 2:
         raise ValueError("min_words is at least 2")
     n = F.size("words")
-    read = lines_of(docs, key, text).where(n > 0)
-    lines = stored(read.select("doc", "line", *identity(F.col("words")), F.when(n >= min_words, halves(F.col("words"), n)).alias("keys")), "lines")
-    firsts = lines.groupBy("h1", "h2").agg(F.min(F.struct("doc", "line")).alias("first"))
-    firsts = stored(firsts, "first-lines")
-    keys = lines.where("keys is not null").select("h1", "h2", F.explode("keys").alias("k")).distinct()
+    lines = stored(lines_of(docs, key, text).select("doc", "line", *identity(F.col("words")), F.when(n >= min_words, halves(F.col("words"), n)).alias("keys")), "lines")
+    least = lines.groupBy("h1", "h2").agg(F.min(F.struct("doc", "line", "keys")).alias("m"), F.count("*").alias("n"))
+    firsts = stored(least.select("h1", "h2", F.struct("m.doc", "m.line").alias("first"), F.col("m.keys").alias("keys"), "n"), "first-lines")
+    keys = firsts.where("keys is not null").select("h1", "h2", F.explode("keys").alias("k"))
     shared = keys.groupBy("k").agg(F.count("*").alias("lines")).where("lines > 1").select("k")
     able = attach(keys, shared, {"k": F.col("k")}, how="left_semi").select("h1", "h2").distinct()
-    where = stored(able.join(firsts, ["h1", "h2"]).groupBy(F.col("first.doc").alias("d")).agg(F.collect_list(F.struct("first", "h1", "h2")).alias("wanted")), "able-places")
-    texts = docs.select(F.col(key).alias("doc"), F.col(text).cast("string").alias("body"))
+    where = stored(able.join(firsts.select("h1", "h2", "first"), ["h1", "h2"]).groupBy(F.col("first.doc").alias("d")).agg(F.collect_list(F.struct("first", "h1", "h2")).alias("wanted")), "able-places")
+    texts = docs.select(F.col(key).alias("doc"), spaced(F.col(text).cast("string")).alias("body"))
     held = likely(texts, F.col("doc"), where, F.col("d")).join(where, F.col("doc").eqNullSafe(F.col("d")))
     taken = held.select(F.split("body", "\n").alias("all"), F.explode("wanted").alias("x")).select("x.*", words_of(F.get("all", F.col("x.first.line"))).alias("words"))
-    survivors = stored(taken.where((F.xxhash64("words") == F.col("h1")) & (F.xxhash64(F.lit(7), "words") == F.col("h2"))).dropDuplicates(["h1", "h2"]), "able-lines")
+    found = taken.where((F.xxhash64("words") == F.col("h1")) & (F.xxhash64(F.lit(7), "words") == F.col("h2"))).dropDuplicates(["h1", "h2"])
+    survivors = stored(found.select("*", total(F.col("words"), True).alias("placed"), total(F.col("words"), False).alias("bag")), "able-lines")
     near = near_pairs(survivors).groupBy(F.col("a.h1").alias("h1"), F.col("a.h2").alias("h2")).agg(F.min("b.first").alias("near"))
-    decided = firsts.join(near, ["h1", "h2"], "left")
-    occurrences = attach(lines.select("doc", "line", "h1", "h2"), decided, {"h1": F.col("h1"), "h2": F.col("h2")}, how="inner")
+    decided = stored(firsts.select("h1", "h2", "first", "n").join(near, ["h1", "h2"], "left").where("n > 1 or near is not null").drop("n"), "decided-lines")
+    places = lines.select("doc", "line", "h1", "h2")
+    line_hash = F.xxhash64("h1", "h2")
+    occurrences = attach(likely(places, line_hash, decided, line_hash), decided, {"h1": F.col("h1"), "h2": F.col("h2")}, how="inner")
     place = F.struct("doc", "line")
     kept = F.least(F.col("near"), F.when(F.col("first") != place, F.col("first")))
     drops = occurrences.select("doc", "line", kept.alias("kept"), (F.col("first") != place).alias("exact")).where("kept is not null")
-    return lines.select("doc", "line", "h1", "h2"), drops.select("doc", "line", F.col("kept.doc").alias("kept_doc"), F.col("kept.line").alias("kept_line"), "exact")
+    return places, drops.select("doc", "line", F.col("kept.doc").alias("kept_doc"), F.col("kept.line").alias("kept_line"), "exact")
 
 
 def line_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = 8) -> DataFrame:

@@ -280,6 +280,14 @@ def test_components(spark):
     assert got == {**{i: 10 for i in range(10, 41)}, 5: 3, 3: 3}
 
 
+def test_lines_become_words_in_compiled_code(spark):
+    odd = "a\tb\x0bc\x0cd\re  f \n \t\x0b\x0c\r\n\n\u00a0\x1c \u2003x\n y"
+    words = line_dedup.lines_of(table(spark, [(1, odd), (2, None)]), "doc_id", "text")
+    assert sorted((r.line, r.words) for r in words.collect()) == [(0, list("abcdef")), (3, ["\u00a0\x1c", "\u2003x"]), (4, ["y"])]
+    plan = words._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan and plan.count("split(") == 2  # one split into lines, one into words
+
+
 def test_quality_finds_bad_documents(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
