@@ -20,9 +20,9 @@ An empty pool leaves the models of the labelled documents. Columns called score,
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 from zlib import crc32
 
 import numpy as np
@@ -46,28 +46,31 @@ def _bucket(word: bytes) -> int:
     return crc32(word) * 0x9E3779B1 % (1 << 32) >> (32 - TEXT_BITS)
 
 
-class _Buckets(dict):
-    """The buckets of a word and of its last two bytes."""
+_BLANK = np.zeros(256, bool)
+_BLANK[list(b" \t\n\r\x0b\f")] = True
 
-    def __missing__(self, word: bytes) -> tuple[int, int]:
-        pair = _bucket(word), _bucket(b"\x00" + word[-2:])
-        if len(self) < 300_000:
-            self[word] = pair
-        return pair
 
-
-_WORDS = _Buckets()
+@cache
+def _endings() -> np.ndarray:
+    """The buckets of all words' endings, by the last two bytes; words of one byte follow them."""
+    return np.array([_bucket(b"\x00" + n.to_bytes(2)) for n in range(1 << 16)] + [_bucket(bytes((0, n))) for n in range(256)])
 
 
 def counted_view(text: str | None) -> Sparse:
     """Buckets of words (A-Z in lower case) and of their last two bytes, in order, with their counts."""
-    words = Counter((text or "").encode("utf-8", "surrogatepass").lower().split())
+    raw = (text or "").encode("utf-8", "surrogatepass").lower()
+    words = raw.split()
     if not words:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    pairs = np.array([_WORDS[w] for w in words], np.int64).ravel()
-    at, inverse = np.unique(pairs, return_inverse=True)
-    times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), 2)
-    return at, np.bincount(inverse, times).astype(np.int64)
+    hashed = np.fromiter(map(crc32, words), np.uint64, len(words)) * np.uint64(0x9E3779B1) % np.uint64(1 << 32) >> np.uint64(32 - TEXT_BITS)
+    seen = np.frombuffer(b"  " + raw + b" ", np.uint8)
+    blank = _BLANK[seen]
+    end = 1 + np.flatnonzero(blank[2:] & ~blank[1:-1])
+    last = seen[end].astype(np.int64)
+    endings = _endings()[np.where(blank[end - 1], (1 << 16) + last, (seen[end - 1].astype(np.int64) << 8) + last)]
+    buckets = np.sort(np.concatenate((hashed.astype(np.int64), endings)))
+    first = np.flatnonzero(np.concatenate(([True], buckets[1:] != buckets[:-1])))
+    return buckets[first], np.diff(first, append=len(buckets))
 
 
 def of_length_one(at: np.ndarray, n: np.ndarray) -> Sparse:
@@ -80,12 +83,15 @@ def text_view(text: str | None) -> Sparse:
     return of_length_one(*counted_view(text))
 
 
+_LAYOUT = [list(s) for s in (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b"!|{}[]<>#*@")]
+
+
 def metadata_view(text: str | None, source: str | None, lang: str | None, size: float | None) -> Sparse:
     t = text or ""
     words, lines = t.split(), t.split("\n")
     letters = sum(map(len, words)) or 1
     seen = np.bincount(np.frombuffer(t.encode("utf-8", "surrogatepass"), np.uint8), minlength=256)
-    capitals, digits, marks = (float(seen[list(s)].sum()) / letters for s in (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b"!|{}[]<>#*@"))
+    capitals, digits, marks = (float(seen[s].sum()) / letters for s in _LAYOUT)
     layout = [capitals, digits, 5 * marks, len(set(words)) / (len(words) or 1), len(set(lines)) / len(lines), letters / (len(words) or 1) / 10, min(3.0, len(words) / len(lines) / 50), 1.0]
     length = 15 if size is None or size != size else min(14, max(0, int(size)).bit_length())
     hashed = [crc32(f"s{source}".encode("utf-8", "surrogatepass")) % 64, 64 + crc32(f"l{lang}".encode("utf-8", "surrogatepass")) % 64, 128 + length]

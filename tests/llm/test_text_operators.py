@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -288,6 +289,29 @@ def test_lines_become_words_in_compiled_code(spark):
     assert "lambda" not in plan and plan.count("split(") == 2  # one split into lines, one into words
 
 
+def test_quality_counts_new_words_cheaply():
+    def slowly(text):
+        n = {}
+        for w in text.encode("utf-8", "surrogatepass").lower().split():
+            for at in (quality._bucket(w), quality._bucket(b"\x00" + w[-2:])):
+                n[at] = n.get(at, 0) + 1
+        return sorted(n.items())
+
+    for text in ("", " ", "a", "a\x0b bc\r\nBC bc ", "\xe9 \u00c9t\u00c9 a\x1cb \ud800 \x00 \x00\x00", " ".join(f"w{i % 70}" for i in range(500))):
+        assert list(zip(*(x.tolist() for x in quality.counted_view(text)))) == slowly(text)
+    assert [x.tolist() for x in quality.counted_view(None)] == [[], []]
+
+    def cpu(f, seed):
+        texts = [" ".join(f"n{seed}x{i}x{j}" for j in range(500)) for i in range(60)]
+        began = time.process_time()
+        for t in texts:
+            f(t)
+        return time.process_time() - began
+
+    quality.counted_view("warm up")
+    assert min(cpu(quality.counted_view, k) for k in range(3)) < 0.6 * min(cpu(slowly, 10 + k) for k in range(3))
+
+
 def test_quality_finds_bad_documents(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
