@@ -21,7 +21,7 @@ from budgetloom.operators.lookup import attach
 
 #: Bytes of text of one batch, of one hashing step, rows of one sorting step, texts a task remembers, and the number of
 #: occurrences from which a gram's strings are told apart by all their bytes. None changes the result.
-BATCH_BYTES, SEGMENT, SORT_ROWS, REMEMBERED, HOT = 8 << 20, 1 << 20, 1 << 13, 1 << 18, 1000
+BATCH_BYTES, SEGMENT, SORT_ROWS, REMEMBERED, HOT = 8 << 20, 1 << 16, 1 << 13, 1 << 18, 1000
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
@@ -166,7 +166,7 @@ def _contexts(texts: pa.Table, shared: pa.Table, length: int) -> pa.Table:
 def _cut(texts: pa.Table, marks: pa.Table, length: int) -> pa.Table:
     """Removed spans of each text of a batch, and the hash of what is left."""
     b = _Batch(texts, length)
-    gone = np.zeros(len(b.data) + 1, np.int32)
+    gone = np.zeros(len(b.data) + 1, np.int8)
     hot = marks.column("hot").to_numpy(zero_copy_only=False)
     run, mask, place = (marks.column(c).to_numpy() for c in ("run", "mask", "place"))
     hit = []
@@ -183,10 +183,13 @@ def _cut(texts: pa.Table, marks: pa.Table, length: int) -> pa.Table:
         least = np.minimum.reduceat(first[order], head)[group]
         earlier = np.logical_or.reduceat(marked[order], head)[group]
         hit.append(at[order[(first[order] > least) | earlier]])
-    where = np.unique(np.concatenate(hit)) if hit else np.zeros(0, np.int64)
-    np.add.at(gone, where, 1)
-    np.add.at(gone, where + length, -1)
-    covered = np.cumsum(gone[:-1]) > 0
+    starts = np.zeros(len(b.data) + 1, bool)
+    for at in hit:
+        starts[at] = True
+    where = np.flatnonzero(starts)
+    gone[where] += 1
+    gone[where + length] -= 1
+    covered = np.cumsum(gone[:-1], dtype=np.int32) > 0
     out = {"digest": [], "n_removed": [], "kept_sha256": [], "removed": []}
     start = 0
     for digest, end in zip(b.digests, b.ends):
@@ -205,13 +208,22 @@ def _cut(texts: pa.Table, marks: pa.Table, length: int) -> pa.Table:
 # --- the sort ------------------------------------------------------------------------------------
 
 
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the base and of its inverse; a process keeps as many as its largest buffer needed."""
+    if n > len(_POWERS[0]):
+        _POWERS[:] = [np.multiply.accumulate(np.r_[np.uint64(1), np.full(n - 1, x)]) for x in (BASE, INVERSE)]
+    return _POWERS[0][:n], _POWERS[1][:n]
+
+
 class _Suffixes:
     """Suffixes of a byte buffer, compared over their first ``length`` bytes by prefix hashes."""
 
     def __init__(self, data: np.ndarray, length: int):
         self.data, self.length, n = data, length, len(data)
-        up = np.multiply.accumulate(np.r_[np.uint64(1), np.full(max(n - 1, 0), BASE)])
-        self.down = np.multiply.accumulate(np.r_[np.uint64(1), np.full(max(n - 1, 0), INVERSE)])
+        up, self.down = _powers(max(n, 1))
         self.sums = np.r_[np.uint64(0), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n])]
         self.whole = self.hashes(np.arange(max(n - length + 1, 0)), length)
 
@@ -280,11 +292,33 @@ class HashCollision(ArithmeticError):
     """Different strings with one hash stood side by side; they are sorted by their bytes then."""
 
 
+def _sorted_classes(s: _Suffixes, at: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """Positions sorted within their classes, which are contiguous and have ascending numbers from 0."""
+    bits = np.uint64(max(1, int(number[-1]).bit_length()))
+    key = (number.astype(np.uint64) << (np.uint64(64) - bits)) | (s.whole[at] * BASE >> bits)  # the class, then as much of the mixed hash as fits
+    together = np.argsort(key)
+    at, key = at[together], key[together]
+    new = np.r_[True, key[1:] != key[:-1]]
+    if (s.whole[at[1:]] != s.whole[at[:-1]])[~new[1:]].any():
+        raise HashCollision
+    start = np.flatnonzero(new)
+    copies = np.diff(np.r_[start, len(at)])
+    one, own = at[start], number[together[start]]
+    head = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+    size = np.diff(np.r_[head, len(one)])
+    where = np.zeros(len(s.data) + 1, np.int64)
+    where[one] = np.arange(len(one))
+    order = where[s.merge_sort(one, np.repeat(head, size), np.repeat(size, size))]
+    copies = copies[order]
+    return at[np.repeat(start[order] - (np.cumsum(copies) - copies), copies) + np.arange(len(at))]
+
+
 def earlier_masks(h: np.ndarray, first: np.ndarray, lead: np.ndarray, data: np.ndarray, offsets: np.ndarray, length: int) -> np.ndarray:
     """For each row, the bits of its strings that also occur in a row of the same gram with a smaller ``first``.
 
     Rows are sorted by gram. Only strings with their sample at the same place can be equal, so gram and place make the
-    classes within which suffixes are sorted.
+    classes within which suffixes are sorted. Those of one hash are put together beforehand, and the merge sort orders one
+    of each.
     """
     n = np.diff(offsets) - length + 1
     row = np.repeat(np.arange(len(n)), n)
@@ -294,16 +328,15 @@ def earlier_masks(h: np.ndarray, first: np.ndarray, lead: np.ndarray, data: np.n
     by_class = np.argsort(kind, kind="stable")
     sorted_kind = kind[by_class]
     new = np.r_[True, sorted_kind[1:] != sorted_kind[:-1]]
-    heads = np.flatnonzero(new)
-    sizes = np.diff(np.r_[heads, len(by_class)])
-    begin, size = np.repeat(heads, sizes), np.repeat(sizes, sizes)
     back = np.zeros(len(data) + 1, np.int64)  # which row's string starts at a position: rows do not overlap
     back[at] = np.arange(len(at))
     s = _Suffixes(data, length)
     try:
-        ordered = s.merge_sort(at[by_class], begin, size)
+        ordered = _sorted_classes(s, at[by_class], np.cumsum(new) - 1)
         same = s.same_as_before(ordered) & ~new
     except HashCollision:
+        heads = np.flatnonzero(new)
+        sizes = np.diff(np.r_[heads, len(by_class)])
         ordered = np.array([p for b, z in zip(heads, sizes) for p in sorted(at[by_class[b : b + z]], key=lambda p: data[p : p + length].tobytes())], np.int64)
         view = np.lib.stride_tricks.sliding_window_view(data, length)
         same = np.r_[False, (view[ordered[1:]] == view[ordered[:-1]]).all(axis=1)] & ~new

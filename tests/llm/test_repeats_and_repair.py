@@ -114,6 +114,25 @@ def test_rows_whose_hashes_collide_are_sorted_by_their_bytes(monkeypatch):
     assert want[1] == (1 << 11) - 1 and not want[[0, 2, 3, 4, 5]].any()
 
 
+def test_equal_suffixes_are_compared_once(monkeypatch):
+    """Copies of a few strings, alike but for their first or last bytes, cost the merge sort no more than one of each."""
+    rng = np.random.default_rng(6)
+    kinds = [bytes(rng.integers(97, 123, 4).astype(np.uint8)) + b"the same gram " * 4 for _ in range(5)] + [b"the same gram " * 4 + c for c in (b"aaaa", b"aaab", b"baaa")]
+    rows = [kinds[k] for k in rng.integers(0, 8, 400)]
+    data, offsets = np.frombuffer(b"".join(rows), np.uint8), np.arange(401) * 60
+    first, lead, h = rng.permutation(400), np.full(400, 10), np.zeros(400, np.int64)
+    compared = []
+    order = suffix_dedup._Suffixes.order
+    monkeypatch.setattr(suffix_dedup._Suffixes, "order", lambda self, x, y: compared.append(len(x)) or order(self, x, y))
+    got = suffix_dedup.earlier_masks(h, first, lead, data, offsets, 50)
+    least = {}
+    for r, f in zip(rows, first):
+        for p in range(11):
+            least[p, r[p : p + 50]] = min(f, least.get((p, r[p : p + 50]), f))
+    assert got.tolist() == [sum((least[p, r[p : p + 50]] < f) << p for p in range(11)) for r, f in zip(rows, first)]
+    assert sum(compared) < 11 * 8 * 8
+
+
 def test_suffixes_come_out_sorted():
     rng = np.random.default_rng(5)
     data = rng.integers(97, 100, 5000).astype(np.uint8)
