@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from budgetloom.llm import decontamination, language_id, line_dedup, ngram_join, quality, secret_scan
+from budgetloom.llm.common import with_row_key
 from budgetloom.llm.components import components
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
@@ -289,6 +290,14 @@ def test_lines_become_words_in_compiled_code(spark):
     assert "lambda" not in plan and plan.count("split(") == 2  # one split into lines, one into words
 
 
+def test_repeated_ids_are_looked_up_once(spark):
+    """Every use of the keyed rows reads the stored bitmap, and none hashes and groups all texts again."""
+    rows = table(spark, [(1, "a"), (1, "b"), (2, "c"), (2, "c"), (None, "d"), (3, None)])
+    keyed = with_row_key(rows, "doc_id", "text", "k")
+    assert sorted(((r.doc_id, r.k.digest is not None) for r in keyed.collect()), key=str) == [(1, True), (1, True), (2, False), (2, False), (3, False), (None, True)]
+    assert "Aggregate" not in keyed._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_quality_counts_new_words_cheaply():
     def slowly(text):
         n = {}
