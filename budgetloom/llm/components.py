@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from budgetloom.llm.common import stored
 from budgetloom.operators.lookup import attach
 
+EDGES_PER_FILE = 500_000
+
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
     """Large: each node's larger neighbours go to its least neighbour (itself included). Small: its smaller ones and itself do."""
@@ -24,16 +26,18 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
     return out.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, rounds: int = 60, tasks: int | None = None) -> DataFrame:
     """node, component (its least node) for the nodes of ``edges`` (columns a, b, both long; null or equal ends are no edges).
 
-    Each round's edges are written; the number of rounds grows with the logarithm of the nodes.
+    Each round's edges are written; the number of rounds grows with the logarithm of the nodes. ``tasks``: how many write
+    the first edges at most; a round writes a file for each ``EDGES_PER_FILE`` of those before it.
     """
-    now = stored(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    before = None
+    now = stored(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges", tasks)
+    files, before = 1 + now.count() // EDGES_PER_FILE, None
     for _ in range(rounds):
-        now = stored(_stars(_stars(now, True), False), "edges")
+        now = stored(_stars(_stars(now, True), False), "edges", files)
         sign = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+        files = 1 + sign[0] // EDGES_PER_FILE
         if sign == before or not sign[0]:
             break
         before = sign

@@ -123,8 +123,8 @@ def good_windows(text: np.ndarray, item: np.ndarray, shift: int, window: int, su
     return first + np.flatnonzero(same[window:] - same[:-window] >= window - substitutions)
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", window: int = 16, substitutions: int = 2) -> DataFrame:
-    """key, item, tokens (of the item, in good windows), text_start (token where the first of them begins in the text)."""
+def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", window: int = 16, substitutions: int = 2, tasks: int | None = None) -> DataFrame:
+    """key, item, tokens (of the item, in good windows), text_start (token where the first of them begins in the text). ``tasks``: how many store its alignments at most."""
     size = window // (substitutions + 2)
     seeds = [*masks(window, substitutions), np.arange(size)]  # the last one for items shorter than a window
     runs = _runs(seeds)
@@ -171,7 +171,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: s
     texts = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     hits = texts.mapInArrow(probe, f"key {key_type}, hash long, at long")
     matched = attach(hits, known.select(F.col("hash").alias("seed"), "item", "item_at"), {"seed": F.col("hash")}, how="inner")
-    aligned = stored(matched.select("key", "item", (F.col("at") - F.col("item_at")).alias("shift")).distinct(), "alignments")
+    aligned = stored(matched.select("key", "item", (F.col("at") - F.col("item_at")).alias("shift")).distinct(), "alignments", tasks)
     with_item = aligned.withColumnRenamed("item", "i").join(items, F.col("i").eqNullSafe(F.col("item"))).drop("i")
     pairs = likely(texts, F.col("key"), aligned, F.col("key")).join(with_item.withColumnRenamed("key", "k"), F.col("key").eqNullSafe(F.col("k"))).select("key", "item", "text", "item_text", "shift")
 

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from budgetloom.llm.common import likely, stored, with_row_key
+from budgetloom.llm.common import likely, stored, tasks_for, with_row_key
 from budgetloom.operators.lookup import attach
 
 def spaced(text: Column) -> Column:
@@ -99,21 +99,21 @@ def dropped_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_
     """All lines with words (doc, line, h1, h2), and those to drop: doc, line, kept_doc, kept_line, exact."""
     if min_words < 2:
         raise ValueError("min_words is at least 2")
-    n = F.size("words")
-    lines = stored(lines_of(docs, key, text).select("doc", "line", *identity(F.col("words")), F.when(n >= min_words, halves(F.col("words"), n)).alias("keys")), "lines")
+    n, tasks = F.size("words"), tasks_for(docs, text)
+    lines = stored(lines_of(docs, key, text).select("doc", "line", *identity(F.col("words")), F.when(n >= min_words, halves(F.col("words"), n)).alias("keys")), "lines", tasks)
     least = lines.groupBy("h1", "h2").agg(F.min(F.struct("doc", "line", "keys")).alias("m"), F.count("*").alias("n"))
-    firsts = stored(least.select("h1", "h2", F.struct("m.doc", "m.line").alias("first"), F.col("m.keys").alias("keys"), "n"), "first-lines")
+    firsts = stored(least.select("h1", "h2", F.struct("m.doc", "m.line").alias("first"), F.col("m.keys").alias("keys"), "n"), "first-lines", tasks)
     keys = firsts.where("keys is not null").select("h1", "h2", F.explode("keys").alias("k"))
     shared = keys.groupBy("k").agg(F.count("*").alias("lines")).where("lines > 1").select("k")
     able = attach(keys, shared, {"k": F.col("k")}, how="left_semi").select("h1", "h2").distinct()
-    where = stored(able.join(firsts.select("h1", "h2", "first"), ["h1", "h2"]).groupBy(F.col("first.doc").alias("d")).agg(F.collect_list(F.struct("first", "h1", "h2")).alias("wanted")), "able-places")
+    where = stored(able.join(firsts.select("h1", "h2", "first"), ["h1", "h2"]).groupBy(F.col("first.doc").alias("d")).agg(F.collect_list(F.struct("first", "h1", "h2")).alias("wanted")), "able-places", tasks)
     texts = docs.select(F.col(key).alias("doc"), spaced(F.col(text).cast("string")).alias("body"))
     held = likely(texts, F.col("doc"), where, F.col("d")).join(where, F.col("doc").eqNullSafe(F.col("d")))
     taken = held.select(F.split("body", "\n").alias("all"), F.explode("wanted").alias("x")).select("x.*", words_of(F.get("all", F.col("x.first.line"))).alias("words"))
     found = taken.where((F.xxhash64("words") == F.col("h1")) & (F.xxhash64(F.lit(7), "words") == F.col("h2"))).dropDuplicates(["h1", "h2"])
-    survivors = stored(found.select("*", total(F.col("words"), True).alias("placed"), total(F.col("words"), False).alias("bag")), "able-lines")
+    survivors = stored(found.select("*", total(F.col("words"), True).alias("placed"), total(F.col("words"), False).alias("bag")), "able-lines", tasks)
     near = near_pairs(survivors).groupBy(F.col("a.h1").alias("h1"), F.col("a.h2").alias("h2")).agg(F.min("b.first").alias("near"))
-    decided = stored(firsts.select("h1", "h2", "first", "n").join(near, ["h1", "h2"], "left").where("n > 1 or near is not null").drop("n"), "decided-lines")
+    decided = stored(firsts.select("h1", "h2", "first", "n").join(near, ["h1", "h2"], "left").where("n > 1 or near is not null").drop("n"), "decided-lines", tasks)
     places = lines.select("doc", "line", "h1", "h2")
     line_hash = F.xxhash64("h1", "h2")
     occurrences = attach(likely(places, line_hash, decided, line_hash), decided, {"h1": F.col("h1"), "h2": F.col("h2")}, how="inner")

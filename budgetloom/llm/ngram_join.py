@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from budgetloom.llm.common import likely, likely_marked, stored
+from budgetloom.llm.common import likely, likely_marked, stored, tasks_for
 from budgetloom.llm.components import components
 from budgetloom.operators.lookup import attach
 
@@ -258,9 +258,9 @@ def promising(pairs: DataFrame, owners: DataFrame, per_cent: int) -> DataFrame:
     return with_b.select("a", "b", "s_a.n", "s_a.bits", F.col("s_b.n").alias("m"), F.col("s_b.bits").alias("v")).mapInArrow(bound, "a long, b long")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, owners: DataFrame, key: str, text: str, per_cent: int) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, owners: DataFrame, key: str, text: str, per_cent: int, tasks: int | None = None) -> DataFrame:
     """The pairs (a, b) of classes whose shingle sets have the similarity. ``owners``: cid and the id of one document."""
-    wanted = stored(pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct().join(owners.select("cid", "id"), "cid").select("id", "cid"), "wanted")
+    wanted = stored(pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct().join(owners.select("cid", "id"), "cid").select("id", "cid"), "wanted", tasks)
     texts = likely(docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")), F.col("id"), wanted, F.col("id"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,7 +272,7 @@ def verified(pairs: DataFrame, docs: DataFrame, owners: DataFrame, key: str, tex
 
     # Another row of the same id may hold another text, so rows are met by id and class.
     met = texts.mapInArrow(sets, "i long, c long, s binary").join(wanted, (F.col("i") == F.col("id")) & (F.col("c") == F.col("cid")))
-    found = stored(met.select("cid", "s").dropDuplicates(["cid"]), "shingle-sets")
+    found = stored(met.select("cid", "s").dropDuplicates(["cid"]), "shingle-sets", tasks)
     with_a = attach(pairs.select("a", "b"), found.select(F.col("cid").alias("x"), F.col("s").alias("s_a")), {"x": F.col("b")}, how="inner")
     with_b = attach(with_a, found.select(F.col("cid").alias("y"), F.col("s").alias("s_b")), {"y": F.col("a")}, how="inner")
 
@@ -308,7 +308,7 @@ def prefix_ends(table: DataFrame, side: str) -> DataFrame:
     return table.where("n > 0").groupBy(F.col("cid").alias(side)).agg(F.first(end).alias(f"end_{side}"))
 
 
-def open_pairs(members: DataFrame, labels: DataFrame, table: DataFrame, per_cent: int) -> DataFrame:
+def open_pairs(members: DataFrame, labels: DataFrame, table: DataFrame, per_cent: int, tasks: int | None = None) -> DataFrame:
     """Pairs (a, b), a > b, that share prefix shingles, lie in two components, and can still reach the similarity.
 
     All shingles that two sets share up to the end of the prefix that ends first are counted; beyond it, they share no
@@ -316,12 +316,12 @@ def open_pairs(members: DataFrame, labels: DataFrame, table: DataFrame, per_cent
     """
     told = likely_marked(members.select("shingle", "common", "cid", "n", "rare"), F.col("cid"), labels, F.col("node"), "told")
     named = attach(told.where("told"), labels.withColumnRenamed("node", "m"), {"m": F.col("cid")})
-    named = stored(named.select("shingle", "common", "cid", "n", "rare", F.coalesce("component", "cid").alias("comp")), "named")
+    named = stored(named.select("shingle", "common", "cid", "n", "rare", F.coalesce("component", "cid").alias("comp")), "named", tasks)
     alone = told.where("not told").select("shingle", "common", "cid", "n", "rare", F.col("cid").alias("comp"))
     # A class without links is a component of its own, so its groups are never within one: only the others' are looked up.
     by_shingle = named.select("shingle", "comp").unionByName(alone.select("shingle", "comp")).groupBy("shingle")
     mixed = by_shingle.agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select(F.col("shingle").alias("s"))
-    left = stored(attach(named, mixed, {"s": F.col("shingle")}, how="left_semi").unionByName(alone), "open-groups")
+    left = stored(attach(named, mixed, {"s": F.col("shingle")}, how="left_semi").unionByName(alone), "open-groups", tasks)
     a, b = left.alias("a"), left.alias("b")
     frequent_only = F.least(F.col("a.n") - F.col("a.rare"), F.col("b.n") - F.col("b.rare"))
     need = least_overlap(F.col("a.n"), F.col("b.n"), per_cent)
@@ -365,18 +365,19 @@ def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
 def components_by_id(docs: DataFrame, key: str, text: str, per_cent: int) -> DataFrame:
     """What ``similar_components`` gives for rows with an id."""
-    table = stored(prefixes(docs, key, text, frequent(docs, text), per_cent).where("id is not null"), "prefixes")
-    owners = stored(table.where("n > 0").groupBy("cid").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bits").alias("bits")), "owners")
-    members = stored(postings(table, per_cent), "postings")
-    first = stored(promising(star_pairs(members), owners, per_cent), "pairs")
-    links = stored(verified(first, docs, owners, key, text, per_cent), "links")
-    labels = stored(components(links), "labels")
-    second = stored(promising(open_pairs(members, labels, table, per_cent).join(first, ["a", "b"], "left_anti"), owners, per_cent), "pairs")
-    more = verified(second, docs, owners, key, text, per_cent)
+    tasks = tasks_for(docs, text)
+    table = stored(prefixes(docs, key, text, frequent(docs, text), per_cent).where("id is not null"), "prefixes", tasks)
+    owners = stored(table.where("n > 0").groupBy("cid").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bits").alias("bits")), "owners", tasks)
+    members = stored(postings(table, per_cent), "postings", tasks)
+    first = stored(promising(star_pairs(members), owners, per_cent), "pairs", tasks)
+    links = stored(verified(first, docs, owners, key, text, per_cent, tasks), "links", tasks)
+    labels = stored(components(links, tasks=tasks), "labels", tasks)
+    second = stored(promising(open_pairs(members, labels, table, per_cent, tasks).join(first, ["a", "b"], "left_anti"), owners, per_cent), "pairs", tasks)
+    more = verified(second, docs, owners, key, text, per_cent, tasks)
     named = table.where("n > 0").select("id", "cid")
     several = named.groupBy("id").agg(F.min("cid").alias("b"), F.max("cid").alias("z")).where("b != z").select(F.col("id").alias("i"), "b")
     same_id = named.join(several, F.col("id") == F.col("i")).select(F.col("cid").alias("a"), "b")  # rows of one id with several texts
-    by_class = components(links.unionByName(more).unionByName(same_id))
+    by_class = components(links.unionByName(more).unionByName(same_id), tasks=tasks)
     merged = attach(named, by_class.withColumnRenamed("node", "m"), {"m": F.col("cid")}).select("id", F.coalesce("component", "cid").alias("component"))
     smallest = merged.groupBy("component").agg(F.min("id").alias("component_id")).withColumnRenamed("component", "c")
     found = attach(merged, smallest, {"c": F.col("component")}, how="inner").groupBy("id").agg(F.min("component_id").alias("component_id")).withColumnRenamed("id", "i")

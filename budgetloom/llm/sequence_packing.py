@@ -150,15 +150,15 @@ def curve_key(v: Column, mean: list[float], deviation: list[float]) -> Column:
     return key(v)
 
 
-def pack(docs: DataFrame, key: str, text: str, tokenizer: str, end_id: int, length: int = 4096) -> DataFrame:
-    """Pieces: id, start, length, ids (little-endian unsigned 32-bit), doc_tokens, sequence_id, offset, padded."""
-    tokens = stored(tokenised(docs, key, text, tokenizer, end_id), "tokens")
+def pack(docs: DataFrame, key: str, text: str, tokenizer: str, end_id: int, length: int = 4096, tasks: int | None = None) -> DataFrame:
+    """Pieces: id, start, length, ids (little-endian unsigned 32-bit), doc_tokens, sequence_id, offset, padded. ``tasks``: how many store its tables at most."""
+    tokens = stored(tokenised(docs, key, text, tokenizer, end_id), "tokens", tasks)
     stats = tokens.agg(*[f(F.col("v")[i]).alias(f"{f.__name__}{i}") for i in range(DIMS) for f in (F.mean, F.stddev_pop)]).first()
     mean = [stats[f"mean{i}"] or 0.0 for i in range(DIMS)]
     deviation = [stats[f"stddev_pop{i}"] or 1.0 for i in range(DIMS)]
     order = ["curve", "id", "row"]
     keyed = tokens.select("row", "id", "n_tokens", curve_key(F.col("v"), mean, deviation).alias("curve"))
-    ranged = stored(keyed.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "curve")
+    ranged = stored(keyed.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "curve", tasks)
     before = ranged.groupBy("part").agg(F.sum("n_tokens").alias("total")).select("part", (F.sum("total").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("total")).alias("before"), F.sum("total").over(Window.partitionBy()).alias("all"))
     within = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     placed = ranged.withColumn("until", F.sum("n_tokens").over(within)).join(before, "part").select("row", (F.col("before") + F.col("until") - F.col("n_tokens")).alias("at"), "all")
