@@ -11,6 +11,7 @@ labelled was given. Repeated rows get equal predictions. Columns called ``lang_p
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -77,11 +78,28 @@ def document_frequencies(labelled: DataFrame, text: str) -> tuple[np.ndarray, in
     return out, docs
 
 
+def weighted(at: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    x = np.log1p(counts) * idf[at]
+    return x / max(float(np.sqrt(x @ x)), 1e-12)
+
+
 def vector(text: str, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     counts = gram_counts(text)
     at = np.flatnonzero(counts)
-    x = np.log1p(counts[at]) * idf[at]
-    return at, x / max(float(np.sqrt(x @ x)), 1e-12)
+    return at, weighted(at, counts[at], idf)
+
+
+def packed(text: str | None) -> bytes:
+    """The buckets of a text, as their distances, and its counts in them, in few bytes; ``unpacked`` gives both back."""
+    counts = gram_counts(text) if has_letter(text) else np.zeros(0, np.int64)
+    at = np.flatnonzero(counts)
+    return zlib.compress(np.diff(at, prepend=0).astype(np.uint16).tobytes() + counts[at].astype(np.uint32).tobytes(), 1)
+
+
+def unpacked(sent: bytes) -> tuple[np.ndarray, np.ndarray]:
+    raw = zlib.decompress(sent)
+    n = len(raw) // 6
+    return np.cumsum(np.frombuffer(raw, np.uint16, n), dtype=np.int64), np.frombuffer(raw, np.uint32, n, 2 * n).astype(np.int64)
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -101,7 +119,7 @@ def fit_ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], classes: int, epoch
 
     for _ in range(epochs):
         for at, x, y in rows:
-            at, x = np.append(at, 1 << BITS), np.append(x, 1.0)
+            at, x = np.append(at.astype(np.int64), 1 << BITS), np.append(x.astype(float), 1.0)
             w = weights(at)
             p = softmax(w @ x)
             p[y] -= 1.0
@@ -115,7 +133,7 @@ def fit_ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], classes: int, epoch
 
 def fit_temperature(rows: list[tuple[np.ndarray, np.ndarray, int]], weights: np.ndarray, bias: np.ndarray) -> float:
     """The temperature with the least log loss on rows that the weights have not seen."""
-    logits = [(weights[:, at] @ x + bias, y) for at, x, y in rows]
+    logits = [(weights[:, at] @ x.astype(float) + bias, y) for at, x, y in rows]
     loss = lambda t: -sum(float(np.log(softmax(z / t)[y] + 1e-300)) for z, y in logits)
     return min(np.geomspace(0.1, 10.0, 41), key=loss) if logits else 1.0
 
@@ -134,15 +152,17 @@ def train(docs: DataFrame, text: str = "text", label: str = "lang", max_train_do
     wanted = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, int(min(1.0, quota / n) * (1 << 32)))])
     chosen = labelled.withColumn("h", F.xxhash64("text")).where(F.pmod("h", F.lit(1 << 32)) < wanted[F.col("label")])
 
-    def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            found = [vector(t, idf) if has_letter(t) else (np.zeros(0, np.int64), np.zeros(0)) for t in b["text"]]
-            yield pd.DataFrame({"label": b["label"], "h": b["h"], "at": [a.astype(np.int32).tobytes() for a, _ in found], "x": [x.astype(np.float32).tobytes() for _, x in found]})
+            yield pd.DataFrame({"label": b["label"], "h": b["h"], "grams": [packed(t) for t in b["text"]]})
 
     languages = sorted(sizes)
     index = {k: i for i, k in enumerate(languages)}
-    got = sorted(chosen.mapInPandas(vectors, "label string, h long, at binary, x binary").collect(), key=lambda r: (r.h, r.label))
-    rows = [(np.frombuffer(r["at"], np.int32).astype(np.int64), np.frombuffer(r["x"], np.float32).astype(float), index[r["label"]]) for r in got]
+    got = sorted(chosen.mapInPandas(grams, "label string, h long, grams binary").collect(), key=lambda r: (r.h, r.label))
+    rows = []  # the driver holds all of them: two bytes for a bucket and four for its weight
+    for r in got:
+        at, counts = unpacked(r["grams"])
+        rows.append((at.astype(np.uint16), weighted(at, counts, idf).astype(np.float32), index[r["label"]]))
     order = np.random.default_rng(7).permutation(len(rows))
     rows = [rows[i] for i in order]
     held = rows[::5] if len(rows) >= 50 else []
