@@ -5,6 +5,10 @@ same sample position inside it (the least hash of its short grams), so that suff
 that share a sample. Grams found in one text only are dropped by a count over distinct grams of whole batches of texts;
 around the others the suffixes are sorted: prefix polynomial hashes and a binary search give two suffixes' common
 extension, a merge sort orders them by it, and neighbours that look equal are compared byte by byte.
+
+Between the steps a batch of texts and a share of the grams exchange one packed row, not a row for each gram or sample:
+that is what the disk holds, so grams go as gaps of sorted hashes, the bytes around samples compressed together, and
+what a share answers in the order in which the batch asked.
 """
 
 from __future__ import annotations
@@ -14,14 +18,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from budgetloom.operators.lookup import attach
 
-#: Bytes of text of one batch, of one hashing step, rows of one sorting step, texts a task remembers, and the number of
-#: occurrences from which a gram's strings are told apart by all their bytes. None changes the result.
-BATCH_BYTES, SEGMENT, SORT_ROWS, REMEMBERED, HOT = 8 << 20, 1 << 16, 1 << 13, 1 << 18, 1000
+#: Bytes of text of one batch, of one hashing step, rows of one sorting step, texts a task remembers, the number of
+#: occurrences from which a gram's strings are told apart by all their bytes, how many of these a task holds at once, and
+#: the bits by which grams are counted. None changes the result.
+BATCH_BYTES, SEGMENT, SORT_ROWS, REMEMBERED, HOT, HELD_STRINGS, KEY_BITS = 8 << 20, 1 << 16, 1 << 13, 1 << 18, 1000, 1 << 20, 40
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
@@ -29,10 +34,53 @@ _LOW = np.uint64((1 << 21) - 1)
 
 
 def gram_size(length: int) -> int:
-    """Bytes of a sample gram: a power of two, at least a quarter of the string, that leaves at most 63 places for it."""
+    """Bytes of a sample gram: the largest power of two up to two thirds of the string, or twice that, that leaves at most 63 places for it.
+
+    The longer it is, the fewer grams texts share that have no string in common, however many texts there are.
+    """
     if not 20 <= length <= 120:
         raise ValueError(f"length must be 20 to 120: {length}")
-    return 1 << (max(-(-length // 4), length - 62) - 1).bit_length()
+    k = 1 << (2 * length // 3).bit_length() - 1
+    return k if length - k < 63 else 2 * k
+
+
+# --- packed rows ---------------------------------------------------------------------------------
+
+
+_ZSTD = pa.Codec("zstd", compression_level=3)
+
+
+def _pack(*columns: np.ndarray) -> bytes:
+    """Whole numbers of 64 bits: of each column all lowest bytes, then all next ones; zeros at the top are left out, and bytes are compressed where that is shorter."""
+    out = []
+    for values in columns:
+        raw = np.ascontiguousarray(values).astype(np.uint64, copy=False)
+        planes = -(-int(raw.max(initial=0)).bit_length() // 8)
+        out.append(len(raw).to_bytes(4) + bytes([planes]))
+        for plane in raw.astype("<u8", copy=False).view(np.uint8).reshape(-1, 8).T[:planes]:
+            plain = plane.tobytes()
+            small = _ZSTD.compress(plain, asbytes=True)
+            out += [min(len(small), len(plain)).to_bytes(4), small if len(small) < len(plain) else plain]
+    return b"".join(out)
+
+
+def _unpack(packed: bytes) -> list[np.ndarray]:
+    out, at = [], 0
+    while at < len(packed):
+        n, planes = int.from_bytes(packed[at : at + 4]), packed[at + 4]
+        at += 5
+        raw = np.zeros((n, 8), np.uint8)
+        for k in range(planes):
+            size = int.from_bytes(packed[at : at + 4])
+            plane = packed[at + 4 : at + 4 + size]
+            raw[:, k] = np.frombuffer(plane if size == n else _ZSTD.decompress(plane, n, asbytes=True), np.uint8)
+            at += 4 + size
+        out.append(raw.view("<u8").ravel().astype(np.uint64, copy=False))
+    return out
+
+
+def _gaps(ascending: np.ndarray) -> np.ndarray:
+    return np.diff(ascending, prepend=ascending.dtype.type(0))
 
 
 # --- sampling ------------------------------------------------------------------------------------
@@ -82,11 +130,18 @@ def sampled_runs(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.nd
     return h, lo, n, lead
 
 
-def _gather(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> pa.Array:
-    """Slices of ``data`` as an Arrow binary column."""
+def _gather(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Slices of ``data``, one after another."""
     offsets = np.r_[0, np.cumsum(sizes)]
-    picked = data[np.repeat(starts - offsets[:-1], sizes) + np.arange(offsets[-1])]
-    return pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(picked)])
+    return data[np.repeat(starts - offsets[:-1], sizes) + np.arange(offsets[-1])]
+
+
+def _string_keys(data: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """Keys of 40 bits of the ``size`` bytes at each position."""
+    view, up = np.lib.stride_tricks.sliding_window_view(data, size), _powers(size)[0]
+    sums = [(view[at[i : i + SORT_ROWS]].astype(np.uint64) + np.uint64(1)) @ up for i in range(0, len(at), SORT_ROWS)]
+    g = np.concatenate([np.zeros(0, np.uint64), *sums])
+    return _mixed(g ^ (g >> np.uint64(32)))
 
 
 # --- one batch of texts --------------------------------------------------------------------------
@@ -109,6 +164,15 @@ class _Batch:
         self.hash, self.lo, self.n, self.lead = sampled_runs(self.data, self.ends, length)
         self.text = np.searchsorted(self.ends, self.lo, "right")
 
+    def grams(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct keys of the runs' grams, ascending, the runs in their order, how many each key has, and whether they are of several texts."""
+        key = _mixed(self.hash)
+        order = np.argsort(key, kind="stable")  # runs come text by text
+        key, text = key[order], self.text[order]
+        head = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][: len(key)])
+        last = np.r_[head[1:], len(key)][: len(head)] - 1
+        return key[head], order, last - head + 1, text[head] != text[last]
+
     def positions(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Every position of the runs, and its number within its run."""
         n = self.n[runs]
@@ -124,60 +188,113 @@ def _same_strings(data: np.ndarray, at: np.ndarray, length: int) -> tuple[np.nda
     return order, group[order]
 
 
-def _grams(table: pa.Table, length: int) -> pa.Table:
-    """Distinct grams of a batch, with the number of their runs and of the texts that hold them."""
-    b = _Batch(table, length)
-    order = np.lexsort((b.text, b.hash))
-    h, t = b.hash[order], b.text[order]
-    new = np.r_[True, h[1:] != h[:-1]][: len(h)]
-    first = np.flatnonzero(new)
-    texts = np.add.reduceat(new | np.r_[True, t[1:] != t[:-1]][: len(h)], first, dtype=np.int32) if len(h) else np.zeros(0, np.int32)
-    runs = np.diff(np.r_[first, len(h)]).astype(np.int32)
-    batch = np.full(len(first), table.column("batch")[0].as_py(), np.int32)
-    return pa.table({"h": h[first], "batch": batch, "runs": runs, "texts": texts})
+def _mixed(h: np.ndarray) -> np.ndarray:
+    """40 well-spread bits of hashes: least hashes are low ones."""
+    return (h.view(np.uint64) * BASE) >> np.uint64(64 - KEY_BITS)
 
 
-_PLACES = "h long, batch int, run int, place int, hot boolean, first long, lead int, bytes binary"
+def _shares(key: np.ndarray, shares: int) -> np.ndarray:
+    """Which of the shares, ranges of the keys, each key is in."""
+    return ((key * np.uint64(shares)) >> np.uint64(KEY_BITS)).astype(np.int64)
 
 
-def _contexts(texts: pa.Table, shared: pa.Table, length: int) -> pa.Table:
-    """The bytes around the samples of shared grams, which are all hot or none: one row for each run, or for hot grams one for each distinct string."""
-    schema = pa.schema([("h", pa.int64()), ("batch", pa.int32()), ("run", pa.int32()), ("place", pa.int32()), ("hot", pa.bool_()), ("first", pa.int64()), ("lead", pa.int32()), ("bytes", pa.binary())])
-    if not texts.num_rows or not shared.num_rows:
-        return schema.empty_table()
-    b, wanted, hot = _Batch(texts, length), shared.column("h").to_numpy(), shared.column("hot")[0].as_py()
-    runs = np.flatnonzero(np.isin(b.hash, wanted))
-    number = texts.column("batch")[0].as_py()
+def _bounds(share: np.ndarray, shares: int) -> Iterator[tuple[int, int, int]]:
+    """Number, start and end of every share that ascending numbers have elements in."""
+    edge = np.searchsorted(share, np.arange(shares + 1))
+    return ((int(k), int(edge[k]), int(edge[k + 1])) for k in np.flatnonzero(edge[1:] > edge[:-1]))
+
 
-    def rows(run, place, first, lead, data):
-        n = len(run)
-        return pa.table([b.hash[run], np.full(n, number, np.int32), run.astype(np.int32), place.astype(np.int32), np.full(n, hot), first, lead.astype(np.int32), data], schema=schema)
+_GRAMS = pa.schema([("share", pa.int32()), ("batch", pa.int32()), ("packed", pa.binary())])
 
-    if not hot:
-        return rows(runs, np.zeros(len(runs)), b.first[b.text[runs]], b.lead[runs], _gather(b.data, b.lo[runs], b.n[runs] + length - 1))
-    at, place = b.positions(runs)
-    run = np.repeat(runs, b.n[runs])
-    order, group = _same_strings(b.data, at, length)
-    head = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
-    one, least = order[head], np.minimum.reduceat(b.first[b.text[run[order]]], head)
-    return rows(run[one], place[one], least, b.lead[run[one]] - place[one], _gather(b.data, at[one], np.full(len(one), length)))
+
+def _grams(table: pa.Table, length: int, shares: int, hot: int) -> pa.Table:
+    """Distinct grams of a batch, with the number of their runs and whether several texts hold them: a row for each share of the keys."""
+    keys, _, runs, several = _Batch(table, length).grams()
+    told = np.minimum(runs, hot + 1) * 2 + several
+    out = [(k, _pack(_gaps(keys[a:b]), told[a:b])) for k, a, b in _bounds(_shares(keys, shares), shares)]
+    batch = np.full(len(out), table.column("batch")[0].as_py(), np.int32)
+    return pa.table([pa.array([k for k, _ in out], pa.int32()), batch, pa.array([x for _, x in out], pa.binary())], schema=_GRAMS)
+
+
+def _shared(table: pa.Table, hot: int) -> pa.Table:
+    """For the grams of a share, as each batch told them: 0 where one text holds the gram, 1 where several do, 2 if it has more than ``hot`` runs then."""
+    told = [_unpack(x) for x in table.column("packed").to_pylist()]
+    ends = np.cumsum([len(gaps) for gaps, _ in told])
+    key, runs = np.concatenate([np.cumsum(gaps) for gaps, _ in told]), np.concatenate([x for _, x in told])
+    told.clear()
+    order = np.argsort(key)
+    key, runs = key[order], runs[order]
+    head = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    size = np.diff(np.r_[head, len(key)])
+    several = (size > 1) | (runs[head] & np.uint64(1) == 1)
+    kind = several.astype(np.uint8) + (several & (np.add.reduceat(runs >> np.uint64(1), head) > hot))
+    out = np.empty(len(key), np.uint8)
+    out[order] = np.repeat(kind, size)
+    packed = [_pack(x) for x in np.split(out, ends[:-1])]
+    return pa.table([table.column("share"), table.column("batch"), pa.array(packed, pa.binary())], schema=_GRAMS)
+
+
+_PLACES = pa.schema([("share", pa.int32()), ("batch", pa.int32()), ("hot", pa.bool_()), ("packed", pa.binary()), ("bytes", pa.binary())])
+
+
+def _contexts(texts: pa.Table, shared: pa.Table, length: int, shares: int) -> pa.Table:
+    """The bytes around the samples of shared grams, for each run, or for hot grams for each distinct string: a row for each share of the grams, or of the hot strings."""
+    if not texts.num_rows or not shared.num_rows:
+        return _PLACES.empty_table()
+    b = _Batch(texts, length)
+    number = texts.column("batch")[0].as_py()
+    keys, order, size, _ = b.grams()
+    flags = sorted(zip(shared.column("share").to_pylist(), shared.column("packed").to_pylist()))
+    kind = np.zeros(len(b.hash), np.uint8)
+    kind[order] = np.repeat(np.concatenate([_unpack(x)[0] for _, x in flags]), size)
+    out = []
+
+    def add(share, hot, columns, starts, sizes):
+        by_share = np.argsort(share, kind="stable")
+        for k, x, y in _bounds(share[by_share], shares):
+            part = by_share[x:y]
+            run, *rest = (c[part] for c in columns)
+            data = _gather(b.data, starts[part], sizes[part])
+            out.append((k, number, hot, _pack(_gaps(run), *rest), _ZSTD.compress(data, asbytes=True)))
+
+    runs = np.flatnonzero(kind == 1)
+    add(_shares(_mixed(b.hash[runs]), shares), False, (runs, b.n[runs], b.lead[runs], b.first[b.text[runs]]), b.lo[runs], b.n[runs] + length - 1)
+    runs = np.flatnonzero(kind == 2)
+    if len(runs):
+        at, place = b.positions(runs)
+        run = np.repeat(runs, b.n[runs])
+        order, group = _same_strings(b.data, at, length)
+        head = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+        least = np.minimum.reduceat(b.first[b.text[run[order]]], head)
+        one = order[head]
+        by_place = np.argsort(one)
+        one, least = one[by_place], least[by_place]
+        add(_shares(_string_keys(b.data, at[one], length), shares), True, (run[one], place[one], least), at[one], np.full(len(one), length))
+    return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out), _PLACES)], schema=_PLACES) if out else _PLACES.empty_table()
 
 
 def _cut(texts: pa.Table, marks: pa.Table, length: int) -> pa.Table:
     """Removed spans of each text of a batch, and the hash of what is left."""
     b = _Batch(texts, length)
     gone = np.zeros(len(b.data) + 1, np.int8)
-    hot = marks.column("hot").to_numpy(zero_copy_only=False)
-    run, mask, place = (marks.column(c).to_numpy() for c in ("run", "mask", "place"))
+    none = (np.zeros(0, np.uint64),) * 2
+    told = {True: [none], False: [none]}
+    for hot, packed in zip(marks.column("hot").to_pylist(), marks.column("packed").to_pylist()):
+        gaps, what = _unpack(packed)
+        told[hot].append((np.cumsum(gaps), what))
     hit = []
-    r, m = run[~hot], mask[~hot].view(np.uint64)
+    r, m = (np.concatenate(x) for x in zip(*told[False]))
+    r = r.astype(np.int64)
+    m ^= (np.uint64(1) << b.n[r].astype(np.uint64)) - np.uint64(1)
     for bit in range(int(b.n.max(initial=0))):
         hit.append(b.lo[r[(m >> np.uint64(bit)) & np.uint64(1) == 1]] + bit)
-    if hot.any():  # a hot string is marked at one of its places in the batch
-        runs = np.flatnonzero(np.isin(b.hash, b.hash[run[hot]]))
+    run, place = (np.concatenate(x).astype(np.int64) for x in zip(*told[True]))
+    if len(run):  # a hot string is told at one of its places in the batch, whether an earlier text of another batch has it or only texts of this one
+        earlier_elsewhere, place = place & 1 == 1, place >> 1
+        runs = np.flatnonzero(np.isin(b.hash, b.hash[run]))
         at, _ = b.positions(runs)
         first = b.first[np.repeat(b.text[runs], b.n[runs])]
-        marked = np.isin(at, (b.lo[run] + place)[hot & (mask != 0)])
+        marked = np.isin(at, (b.lo[run] + place)[earlier_elsewhere])
         order, group = _same_strings(b.data, at, length)
         head = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
         least = np.minimum.reduceat(first[order], head)[group]
@@ -348,38 +465,79 @@ def earlier_masks(h: np.ndarray, first: np.ndarray, lead: np.ndarray, data: np.n
     return np.add.reduceat(bit, np.cumsum(n) - n).view(np.int64)
 
 
-_MARKS = pa.schema([("batch", pa.int32()), ("run", pa.int32()), ("place", pa.int32()), ("hot", pa.bool_()), ("mask", pa.int64())])
+_MARKS = pa.schema([("batch", pa.int32()), ("hot", pa.bool_()), ("packed", pa.binary())])
 
 
-def _masks(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Masks of context rows that come sorted by gram; rows of one gram are judged together."""
-    held: list[pa.RecordBatch] = []
+def _runs(packed: bytes) -> list[np.ndarray]:
+    run, *rest = (x.view(np.int64) for x in _unpack(packed))
+    return [np.cumsum(run), *rest]
 
-    def judged(rows: pa.Table) -> pa.RecordBatch:
-        rows = rows.combine_chunks()
-        data = rows.column("bytes").chunk(0)
-        offsets = np.frombuffer(data.buffers()[1], np.int32)[data.offset : data.offset + len(data) + 1].astype(np.int64)
-        raw = np.frombuffer(data.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
-        h, first, lead = (rows.column(c).to_numpy() for c in ("h", "first", "lead"))
-        mask = earlier_masks(h, first, lead, raw, offsets - offsets[0], length)
-        hit = np.flatnonzero(mask)
-        n = len(hit)
-        return pa.RecordBatch.from_arrays([rows.column("batch").to_numpy()[hit], rows.column("run").to_numpy()[hit], np.zeros(n, np.int32), np.zeros(n, bool), mask[hit]], schema=_MARKS)
 
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        held.append(batch)
-        if sum(x.num_rows for x in held) < SORT_ROWS:
+def _masks(rows: list[tuple], length: int) -> Iterator[tuple]:
+    """Masks of the runs of a share's grams, batch by batch; rows of one gram are judged together."""
+    if not rows:
+        return
+    run, n, lead, first = (np.concatenate(x) for x in zip(*(_runs(packed) for _, packed, _ in rows)))
+    ends = np.cumsum([int.from_bytes(packed[:4]) for _, packed, _ in rows])
+    sizes = n + length - 1
+    begin = np.cumsum(sizes) - sizes
+    of_row = np.add.reduceat(sizes, np.r_[0, ends[:-1]])
+    data = np.frombuffer(b"".join(_ZSTD.decompress(x, int(z), asbytes=True) for (_, _, x), z in zip(rows, of_row)), np.uint8)
+    h = _string_keys(data, begin + lead, gram_size(length))
+    order = np.argsort(h, kind="stable")
+    new = np.flatnonzero(np.r_[True, np.diff(h[order]) != 0])
+    mask = np.zeros(len(run), np.int64)
+    start = 0
+    while start < len(order):  # whole grams, of SORT_ROWS rows or more
+        later = np.searchsorted(new, start + SORT_ROWS)
+        stop = new[later] if later < len(new) else len(order)
+        x = order[start:stop]
+        mask[x] = earlier_masks(h[x], first[x], lead[x], _gather(data, begin[x], sizes[x]), np.r_[0, np.cumsum(sizes[x])], length)
+        start = stop
+    flipped = mask ^ ((1 << n) - 1)  # most runs are found whole
+    for (batch, _, _), a, b in zip(rows, np.r_[0, ends[:-1]], ends):
+        hit = a + np.flatnonzero(mask[a:b])
+        if len(hit):
+            yield batch, False, _pack(_gaps(run[hit]), flipped[hit])
+
+
+def _common(rows: list[tuple], length: int) -> Iterator[tuple]:
+    """The hot strings of a share, batch by batch: each one's place, and whether a batch has it in an earlier text."""
+    if not rows:
+        return
+    told = [_runs(packed) for _, packed, _ in rows]
+    total = sum(len(run) for run, _, _ in told)
+    steps = np.uint64(1 + total // HELD_STRINGS)
+    earlier = [np.zeros(len(run), np.int64) for run, _, _ in told]
+    for step in range(int(steps)):  # so that many strings' bytes are held at a time
+        data, who, first = [], [], []
+        for k, ((_, _, x), (run, _, least)) in enumerate(zip(rows, told)):
+            raw = np.frombuffer(_ZSTD.decompress(x, len(run) * length, asbytes=True), np.uint8)
+            now = np.arange(len(run))
+            if steps > 1:
+                now = now[_string_keys(raw, now * length, length) % steps == step]
+            data.append(raw.reshape(-1, length)[now])
+            who.append(np.stack([np.full(len(now), k), now]))
+            first.append(least[now])
+        strings = np.concatenate(data).ravel()
+        if not len(strings):
             continue
-        rows = pa.Table.from_batches(held)
-        last = rows.column("h")[-1].as_py()
-        cut = int(np.searchsorted(rows.column("h").to_numpy(), last))
-        if cut:
-            yield judged(rows.slice(0, cut))
-        held = rows.slice(cut).combine_chunks().to_batches()
-    if held:
-        yield judged(pa.Table.from_batches(held))
+        (row, at), least = np.concatenate(who, axis=1), np.concatenate(first)
+        order, group = _same_strings(strings, np.arange(len(row)) * length, length)
+        head = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+        behind = order[np.minimum.reduceat(least[order], head)[group] < least[order]]
+        for k in np.unique(row[behind]):
+            earlier[k][at[behind[row[behind] == k]]] = 1
+    for (batch, _, _), (run, place, _), x in zip(rows, told, earlier):
+        yield batch, True, _pack(_gaps(run), place * 2 + x)
+
+
+def _judged(table: pa.Table, length: int) -> pa.Table:
+    rows = {True: [], False: []}
+    for batch, hot, packed, data in zip(*(table.column(c).to_pylist() for c in ("batch", "hot", "packed", "bytes"))):
+        rows[hot].append((batch, packed, data))
+    out = [*_masks(rows[False], length), *_common(rows[True], length)]
+    return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out), _MARKS)], schema=_MARKS) if out else _MARKS.empty_table()
 
 
 # --- the job -------------------------------------------------------------------------------------
@@ -435,20 +593,11 @@ def removed_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", leng
     parts = 1 + size // BATCH_BYTES
 
     texts = able.mapInArrow(lambda it: _once_per_task(it, parts), "batch int, digest binary, id long, body binary").repartition("batch")
-    grams = texts.groupBy("batch").applyInArrow(lambda t: _grams(t, length), "h long, batch int, runs int, texts int")
-    every = Window.partitionBy("h")
-    counted = grams.select("h", "batch", F.sum("texts").over(every).alias("n"), (F.sum("runs").over(every) > HOT).alias("hot"))
-    shared = counted.where("n > 1").select("batch", "h", "hot")
-
-    def places(hot: bool) -> DataFrame:
-        of_kind = shared.where(F.col("hot") == hot)
-        return texts.groupBy("batch").cogroup(of_kind.groupBy("batch")).applyInArrow(lambda t, s: _contexts(t, s, length), _PLACES)
-
-    plain = places(False).select("h", "batch", "run", "first", "lead", "bytes").repartition("h").sortWithinPartitions("h")
-    sorted_ = plain.mapInArrow(lambda it: _masks(it, length), "batch int, run int, place int, hot boolean, mask long")
-    least = F.min("first").over(Window.partitionBy("bytes"))
-    common = places(True).select("batch", "run", "place", "hot", F.when(least < F.col("first"), 1).otherwise(0).cast("long").alias("mask"))
-    marks = sorted_.unionByName(common)
+    shares, hot = min(parts, 64 + parts // 2), HOT
+    grams = texts.groupBy("batch").applyInArrow(lambda t: _grams(t, length, shares, hot), "share int, batch int, packed binary")
+    shared = grams.groupBy("share").applyInArrow(lambda t: _shared(t, hot), "share int, batch int, packed binary")
+    places = texts.groupBy("batch").cogroup(shared.groupBy("batch")).applyInArrow(lambda t, s: _contexts(t, s, length, shares), "share int, batch int, hot boolean, packed binary, bytes binary")
+    marks = places.groupBy("share").applyInArrow(lambda t: _judged(t, length), "batch int, hot boolean, packed binary")
     spans = "digest binary, n_removed long, kept_sha256 string, removed array<struct<start: long, end: long>>"
     cut = texts.groupBy("batch").cogroup(marks.groupBy("batch")).applyInArrow(lambda t, m: _cut(t, m, length) if t.num_rows else _cut_none(), spans)
 

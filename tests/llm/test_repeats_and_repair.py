@@ -7,6 +7,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -143,6 +144,75 @@ def test_suffixes_come_out_sorted():
     assert texts == sorted(texts) and sorted(got) == sorted(at)
 
 
+def prose(seed, words=400, n=500):
+    """Texts of few words, so that short strings recur by chance, every fifth of them with half of an earlier one."""
+    rng = random.Random(seed)
+    known = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(words)]
+    texts = []
+    for i in range(n):
+        t = " ".join(rng.choice(known) for _ in range(500))
+        texts.append(t if i % 5 else t[:1500] + rng.choice(texts or [""])[:1500])
+    return list(enumerate(texts))
+
+
+def test_what_the_steps_exchange_stays_small(spark, monkeypatch):
+    """Disk: shuffle files of the whole job, per byte of text, with many batches."""
+    monkeypatch.setattr(suffix_dedup, "BATCH_BYTES", 100_000)
+    rows = prose(7)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).localCheckpoint()
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {p for d in manager.localDirs() for p in Path(d.getPath()).glob("*/shuffle_*.data")}
+    before = files()
+    found = suffix_dedup.removed_spans(df)
+    assert sum(r["n_removed"] > 0 for r in found.collect()) >= 90
+    written, size = sum(p.stat().st_size for p in files() - before), sum(len(t) for _, t in rows)
+    assert written < 1.6 * size
+
+
+def test_grams_shared_by_chance_are_few(spark):
+    """A gram longer than half of the string: texts without a string in common share few, so that little is compared, whatever the number of texts."""
+    rng = random.Random(8)
+    known = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(400)]
+    seen = Counter()
+    for _ in range(300):
+        data = np.frombuffer(" ".join(rng.choice(known) for _ in range(500)).encode(), np.uint8)
+        h, _, _, _ = suffix_dedup.sampled_runs(data, np.array([len(data)]), 50)
+        seen.update(set(h.tolist()))
+    assert sum(n for n in seen.values() if n > 1) < 0.05 * sum(seen.values())
+
+
+def test_gram_sizes():
+    for length in range(20, 121):
+        k = suffix_dedup.gram_size(length)
+        assert k & (k - 1) == 0 and 1 < length - k + 1 <= 63 and length <= 3 * k
+
+
+def test_packed_columns_come_back():
+    rng = np.random.default_rng(9)
+    columns = [rng.integers(-(1 << 63), (1 << 63) - 1, 300), np.zeros(40, np.int64), np.zeros(0, np.int64), np.arange(70_000), np.array([1 << 32, 5], np.uint64)]
+    back = suffix_dedup._unpack(suffix_dedup._pack(*columns))
+    assert [x.view(np.int64).tolist() for x in back] == [c.tolist() for c in columns]
+    assert [x.tolist() for x in suffix_dedup._runs(suffix_dedup._pack(suffix_dedup._gaps(columns[3]), columns[0]))] == [columns[3].tolist(), columns[0].tolist()]
+
+
+def test_hot_strings_are_compared_in_steps_as_at_once(monkeypatch):
+    rng = np.random.default_rng(10)
+    kinds = rng.integers(97, 123, (30, 50)).astype(np.uint8)
+    rows, want, least = [], [], {}
+    told = [(batch, rng.permutation(30)[:20], rng.integers(0, 50, 20)) for batch in range(6)]
+    for _, kind, first in told:
+        for k, f in zip(kind, first):
+            least[k] = min(f, least.get(k, f))
+    for batch, kind, first in told:
+        rows.append((batch, suffix_dedup._pack(suffix_dedup._gaps(np.arange(20)), np.arange(20) % 7, first), suffix_dedup._ZSTD.compress(kinds[kind].tobytes(), asbytes=True)))
+        want.append([2 * (i % 7) + (least[k] < f) for i, (k, f) in enumerate(zip(kind, first))])
+    for held in (1 << 20, 11):
+        monkeypatch.setattr(suffix_dedup, "HELD_STRINGS", held)
+        got = list(suffix_dedup._common(rows, 50))
+        assert [g[:2] for g in got] == [(batch, True) for batch in range(6)]
+        assert [suffix_dedup._runs(g[2])[1].tolist() for g in got] == want
+
+
 # --- spelling ------------------------------------------------------------------------------------
 
 
